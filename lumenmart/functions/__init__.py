@@ -9,4 +9,5 @@ from lumenmart.functions.exprs import (  # noqa: F401
     ratio,
     seconds_between,
     surrogate_key,
+    surrogate_key_of,
 )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,18 +17,23 @@ def _col(c: Column | str) -> Column:
 
 def surrogate_key(c: Column | str) -> Column:
     """First 60 bits of md5(text) as a non-negative bigint."""
-    return F.conv(F.substring(F.md5(_col(c).cast("string")), 1, 15), 16, 10).cast("bigint")
+    if isinstance(c, str):
+        return F.expr(f"cast(conv(substring(md5(cast({c} as string)), 1, 15), 16, 10) as bigint)")
+    return F.conv(F.substring(F.md5(c.cast("string")), 1, 15), 16, 10).cast("bigint")
+
+
+def surrogate_key_of(text: str) -> int:
+    """The same key for a text known on the driver (lookup arguments)."""
+    return int(hashlib.md5(text.encode()).hexdigest()[:15], 16)
 
 
-def date_key(c: Column | str) -> Column:
+def date_key(c: str) -> Column:
     """YYYYMMDD as int, for dates and both timestamp types."""
-    c = _col(c)
-    return F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)
+    return F.expr(f"year({c}) * 10000 + month({c}) * 100 + day({c})")
 
 
-def key_to_date(c: Column | str) -> Column:
-    c = _col(c)
-    return F.make_date((c / 10000).cast("int"), ((c % 10000) / 100).cast("int"), c % 100)
+def key_to_date(c: str) -> Column:
+    return F.expr(f"make_date({c} div 10000, cast({c} div 100 % 100 as int), {c} % 100)")
 
 
 def month_key(c: Column | str) -> Column:
@@ -43,12 +50,15 @@ def json_int(payload: Column | str, name: str) -> Column:
 
 
 def clean_name(c: Column | str) -> Column:
-    """Trim and fold every whitespace run (also non-breaking blanks)."""
-    return F.trim(F.regexp_replace(_col(c), r"(?U)\s+", " "))
+    """Trim and fold every whitespace run into one blank."""
+    return F.trim(F.regexp_replace(_col(c), r"\s+", " "))
 
 
 def ratio(num: Column | str, den: Column | str, scale: int = 4) -> Column:
     """Exact decimal num/den, rounded half up; null when den is 0 or null."""
+    if isinstance(num, str) and isinstance(den, str):
+        exact = f"cast({num} as decimal(20,0)) / nullif(cast({den} as decimal(20,0)), 0)"
+        return F.expr(f"cast(round({exact}, {scale}) as double)")
     n = _col(num).cast("decimal(20,0)")
     d = _col(den).cast("decimal(20,0)")
     return F.round(n / F.nullif(d, F.lit(0).cast("decimal(20,0)")), scale).cast("double")

@@ -17,7 +17,7 @@ def _calendar(days: DataFrame, term_months: tuple[int, ...] | None) -> DataFrame
     iso_dow = F.weekday(d) + 1
     in_term = F.lit(True) if term_months is None else F.month(d).isin(*term_months)
     return days.select(
-        date_key(d).alias("date_sk"),
+        date_key("full_date").alias("date_sk"),
         d,
         F.year(d).alias("year"),
         F.quarter(d).alias("quarter"),

@@ -16,6 +16,10 @@ from lumenmart.functions import (
 from lumenmart.sources.contract import COLD_START_EVENTS, CORE_ACTIONS, DEFAULT_PERIOD, RATING_EVENTS
 
 
+# Payload fields that dimension keys are made of.
+KEY_FIELDS = "course_id string, discipline_id string, academic_period string, ano_periodo string, docente string"
+
+
 def is_known(sk: str) -> Column:
     return F.col(sk) != UNKNOWN_SK
 
@@ -40,17 +44,19 @@ def fct_events(events: DataFrame, dim_users: DataFrame, default_period: str = DE
     current = dim_users.where("is_current").select(
         "user_id", F.col("user_sk").alias("_user_sk"), F.col("course_sk").alias("_course_sk")
     )
-    course = json_field("payload_json", "course_id", "discipline_id")
-    period = json_field("payload_json", "academic_period", "ano_periodo")
-    return events.join(current, "user_id", "left").select(
+    course = F.coalesce("_p.course_id", "_p.discipline_id")
+    period = F.coalesce("_p.academic_period", "_p.ano_periodo", F.lit(default_period))
+    # The payload is parsed once for all of its fields.
+    parsed = events.withColumn("_p", F.from_json("payload_json", KEY_FIELDS))
+    return parsed.join(current, "user_id", "left").select(
         surrogate_key("raw_event_id").alias("event_sk"),
         F.col("raw_event_id").alias("event_id"),
         "event_date_sk",
         F.coalesce("_user_sk", F.lit(UNKNOWN_SK).cast("bigint")).alias("user_sk"),
         surrogate_key("screen_name").alias("screen_sk"),
         F.coalesce(surrogate_key(course), "_course_sk").alias("course_sk"),
-        surrogate_key(clean_name(json_field("payload_json", "docente"))).alias("professor_sk"),
-        surrogate_key(F.coalesce(period, F.lit(default_period))).alias("period_sk"),
+        surrogate_key(clean_name("_p.docente")).alias("professor_sk"),
+        surrogate_key(period).alias("period_sk"),
         "session_id",
         "platform",
         "app_version",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,25 +29,39 @@ TABLES = (
 
 
 class Star:
-    """Staging, dimensions and facts over three landing tables and the run log."""
+    """Staging, dimensions and facts over three landing tables and the run log.
 
-    def __init__(self, raw_events: DataFrame, raw_users: DataFrame, raw_disciplines: DataFrame, runs: DataFrame):
-        self.raw_events, self.raw_users, self.raw_disciplines, self.runs = raw_events, raw_users, raw_disciplines, runs
+    `landing` names the readers of analytics_events, usuarios,
+    curriculo_disciplinas and pipeline_runs; only what a query uses is opened.
+    """
+
+    def __init__(self, spark: SparkSession, landing: dict[str, Callable[[], DataFrame]]):
+        self.spark = spark
+        self._landing = landing
         self._event_filter: Column | None = None
         self._user_filter: Column | None = None
         self._run_filter: Column | None = None
 
-    @property
-    def spark(self) -> SparkSession:
-        return self.raw_events.sparkSession
-
     @staticmethod
     def of_sample(spark: SparkSession, sf_dir: str) -> Star:
         src = SampleSource(spark, sf_dir)
-        star = Star(src.analytics_events(), src.usuarios(), src.curriculo_disciplinas(), src.pipeline_runs())
+        names = ("analytics_events", "usuarios", "curriculo_disciplinas", "pipeline_runs")
+        star = Star(spark, {name: getattr(src, name) for name in names})
         star.sample = src
         return star
 
+    @cached_property
+    def raw_events(self) -> DataFrame:
+        return self._landing["analytics_events"]()
+
+    @cached_property
+    def raw_users(self) -> DataFrame:
+        return self._landing["usuarios"]()
+
+    @cached_property
+    def raw_disciplines(self) -> DataFrame:
+        return self._landing["curriculo_disciplinas"]()
+
     def filtered(
         self,
         date_from: str | None = None,
@@ -59,7 +74,7 @@ class Star:
         run_status: str | None = None,
     ) -> Star:
         """Dashboard filters, applied to the facts before any aggregation."""
-        out = Star(self.raw_events, self.raw_users, self.raw_disciplines, self.runs)
+        out = Star(self.spark, self._landing)
         keep = F.lit(True)
         if date_from:
             keep = keep & (F.col("event_ts") >= F.lit(date_from).cast("timestamp_ntz"))
@@ -97,7 +112,8 @@ class Star:
 
     @cached_property
     def pipeline_runs(self) -> DataFrame:
-        return self.runs if self._run_filter is None else self.runs.where(self._run_filter)
+        runs = self._landing["pipeline_runs"]()
+        return runs if self._run_filter is None else runs.where(self._run_filter)
 
     # dimensions
     @cached_property
@@ -154,14 +170,10 @@ class StoredStar(Star):
     """The same tables, read from where the loader wrote them."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self._spark, self._root = spark, root.rstrip("/")
-        self._event_filter = self._user_filter = self._run_filter = None
-
-    @property
-    def spark(self) -> SparkSession:
-        return self._spark
+        super().__init__(spark, {})
+        self._root = root.rstrip("/")
 
     def __getattribute__(self, name: str):
         if name in TABLES or name == "pipeline_runs":
-            return self._spark.read.parquet(f"{self._root}/{name}")
+            return self.spark.read.parquet(f"{self._root}/{name}")
         return super().__getattribute__(name)

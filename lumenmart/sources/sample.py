@@ -7,10 +7,10 @@ discipline per `part` row, one user change per signup event.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.functions import date_key
+from lumenmart.functions import surrogate_key
 from lumenmart.sources.catalog import event_catalog
 
 # Fixed values of the mapping.
@@ -28,12 +28,19 @@ APP_VERSIONS = ("1.0.0", "1.1.0", "1.2.0")
 ADMIN_ACTIONS = ("content_removed", "user_role_changed", "content_approved")
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
+def _pick(values: tuple[str, ...], index: str) -> str:
+    """SQL text: the value at a zero-based index."""
+    return f"element_at(array({', '.join(repr(v) for v in values)}), cast({index} as int) + 1)"
 
 
-def _text(*parts: Column | str) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+# Stating the schemas saves a footer read per query.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+}
 
 
 class SampleSource:
@@ -42,61 +49,62 @@ class SampleSource:
         self.sf_dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def events(self) -> DataFrame:
+        """The event rows; a table with fewer splits than cores is spread over them.
+
+        A large table has more splits than that and is read as it is.
+        """
+        e = self.table("events")
+        cores = self.spark.sparkContext.defaultParallelism
+        return e if e.rdd.getNumPartitions() >= cores else e.repartition(cores, "event_id")
 
     def analytics_events(self, events: DataFrame | None = None) -> DataFrame:
         """Landing rows of the telemetry log; takes a stream as well."""
-        e = self.table("events") if events is None else events
-        k = F.get_json_object("props", "$.k").cast("int")
-        user = F.col("user_id")
-        name = F.lit(None).cast("string")
-        for kind, names in EVENT_NAMES.items():
-            name = F.when(F.col("event_type") == kind, _pick(names, F.col("k") % len(names))).otherwise(name)
-        first = _pick(FIRST_NAMES, F.floor(F.col("k") / 10) % 10)
-        # One user in five writes the first name with one letter too many.
-        first = F.when(user % 5 == 4, F.concat(first, F.lit("h"))).otherwise(first)
-        last = _pick(LAST_NAMES, F.col("k") % 10)
-        # Three ways of spacing the same name.
+        e = self.events() if events is None else events
+        names = " ".join(f"WHEN '{kind}' THEN {_pick(v, f'k % {len(v)}')}" for kind, v in EVENT_NAMES.items())
+        # One user in five writes the first name with one letter too many, and
+        # there are three ways of spacing a name.
+        first = f"concat({_pick(FIRST_NAMES, 'k div 10 % 10')}, if(user_id % 5 = 4, 'h', ''))"
+        last = _pick(LAST_NAMES, "k % 10")
         teacher = (
-            F.when(user % 3 == 0, F.concat_ws(" ", F.lit("Prof."), first, last))
-            .when(user % 3 == 1, F.concat(F.lit("  Prof.  "), first, F.lit("   "), last, F.lit(" ")))
-            .otherwise(F.concat(F.lit("Prof. "), first, F.lit("  "), last))
+            f"CASE user_id % 3 WHEN 0 THEN concat('Prof. ', {first}, ' ', {last}) "
+            f"WHEN 1 THEN concat('  Prof.  ', {first}, '   ', {last}, ' ') "
+            f"ELSE concat('Prof. ', {first}, '  ', {last}) END"
         )
-        kc = F.col("k")
-        payload = _text(
-            '{"k": ', kc,
-            ', "course_id": ', kc,
-            ', "academic_period": "', F.year("ts"), ".", F.when(F.month("ts") <= 6, 1).otherwise(2),
-            '", "dificuldade": ', kc % 5 + 1,
-            F.when(kc % 10 == 9, F.lit("")).otherwise(_text(', "esforco": ', F.floor(kc / 5) % 5 + 1)),
-            ', "passou": ', F.when(kc % 7 == 0, F.lit("false")).otherwise(F.lit("true")),
-            ', "result_count": ', kc % 6,
-            ', "latency_ms": ', F.floor(F.col("value") * 10).cast("bigint"),
-            ', "action_type": "', _pick(ADMIN_ACTIONS, kc % 3), '"',
-            F.when(kc % 13 == 12, F.lit("")).otherwise(_text(', "docente": "', teacher, '"')),
-            "}",
-        )
+        payload = f"""concat(
+            '{{"k": ', k,
+            ', "course_id": ', k,
+            ', "academic_period": "', year(ts), if(month(ts) <= 6, '.1', '.2'),
+            '", "dificuldade": ', k % 5 + 1,
+            if(k % 10 = 9, '', concat(', "esforco": ', k div 5 % 5 + 1)),
+            ', "passou": ', if(k % 7 = 0, 'false', 'true'),
+            ', "result_count": ', k % 6,
+            ', "latency_ms": ', cast(floor(value * 10) as bigint),
+            ', "action_type": "', {_pick(ADMIN_ACTIONS, "k % 3")}, '"',
+            if(k % 13 = 12, '', concat(', "docente": "', {teacher}, '"')),
+            '}}')"""
         catalog = F.broadcast(event_catalog(self.spark))
-        half_day = F.when(F.hour("ts") < 12, F.lit("a")).otherwise(F.lit("p"))
-        lateness = F.when(kc >= 95, kc + 2 * 86400).otherwise(kc)
+        day = "year(ts) * 10000 + month(ts) * 100 + day(ts)"
         return (
-            e.withColumn("k", k)
-            .withColumn("event_name", name)
+            e.withColumn("k", F.expr("cast(get_json_object(props, '$.k') as int)"))
+            .withColumn("event_name", F.expr(f"CASE event_type {names} END"))
             .join(catalog, "event_name", "left")
-            .select(
-                F.col("event_id").cast("string").alias("id"),
+            .selectExpr(
+                "cast(event_id as string) AS id",
                 "event_name",
                 "category",
                 "priority",
                 "schema_version",
-                F.concat_ws("-", user.cast("string"), date_key("ts").cast("string"), half_day).alias("session_id"),
+                f"concat_ws('-', user_id, {day}, if(hour(ts) < 12, 'a', 'p')) AS session_id",
                 "user_id",
-                _pick(PLATFORMS, kc % 3).alias("platform"),
-                _pick(APP_VERSIONS, kc % 3).alias("app_version"),
-                F.when(kc % 11 != 10, F.concat_ws("_", F.lower("category"), (kc % 7).cast("string"))).alias("screen_name"),
-                F.col("ts").alias("timestamp"),
-                payload.alias("payload"),
-                F.timestamp_add("SECOND", lateness, F.col("ts")).alias("created_at"),
+                f"{_pick(PLATFORMS, 'k % 3')} AS platform",
+                f"{_pick(APP_VERSIONS, 'k % 3')} AS app_version",
+                "if(k % 11 <> 10, concat_ws('_', lower(category), k % 7), null) AS screen_name",
+                "ts AS timestamp",
+                f"{payload} AS payload",
+                "timestampadd(SECOND, if(k >= 95, k + 2 * 86400, k), ts) AS created_at",
             )
         )
 
@@ -106,6 +114,54 @@ class SampleSource:
         late = events.where(F.timestamp_diff("DAY", "timestamp", "created_at") >= 2)
         return events.unionByName(late)
 
+    def event_records(self) -> DataFrame:
+        """Event file records: ISO text time, gaps to be filled, some broken payloads."""
+        k = F.get_json_object("payload", "$.k").cast("int")
+        stamp = F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+        none = F.lit(None).cast("string")
+        return self.analytics_events().select(
+            F.col("id").alias("event_id"),
+            "event_name",
+            none.alias("category"),
+            none.alias("priority"),
+            F.when(k % 4 != 3, F.col("schema_version")).alias("schema_version"),
+            "session_id",
+            F.when(k % 9 != 8, F.col("user_id")).alias("user_id"),
+            F.when(k % 5 != 4, F.col("platform")).alias("platform"),
+            F.when(k % 6 != 5, F.col("app_version")).alias("app_version"),
+            "screen_name",
+            # Half of the clients write Z, the others an offset of two hours.
+            F.when(k % 2 == 0, F.concat(stamp, F.lit("Z"))).otherwise(F.concat(stamp, F.lit("+02:00"))).alias("event_ts"),
+            F.when(k % 10 == 9, F.lit('{"k": ')).otherwise(F.col("payload")).alias("payload_json"),
+        )
+
+    def operational_users(self) -> DataFrame:
+        """User rows as the application stores them, personal columns included."""
+        key = F.col("c_custkey")
+        created = F.date_add(F.lit("2023-12-25").cast("date"), (key % 20).cast("int")).cast("timestamp_ntz")
+        return self.table("customer").select(
+            key.alias("id"),
+            F.col("c_name").alias("nome"),
+            F.when(key % 30 != 29, created).alias("created_at"),
+            F.when(key % 10 != 0, "inativo").alias("status"),
+        )
+
+    def operational_enrolments(self) -> DataFrame:
+        """Enrolments; one user in five has none, so the join must keep users."""
+        key = F.col("c_custkey")
+        return self.table("customer").where(key % 5 != 4).select(
+            key.alias("usuario_id"), F.col("c_nationkey").alias("faculdade_id"), (key % 100).alias("curso_id")
+        )
+
+    def operational_disciplines(self) -> DataFrame:
+        key = F.col("p_partkey")
+        return self.table("part").select(
+            key.alias("id"),
+            F.when(key % 3 == 0, "").otherwise(F.col("p_brand")).alias("codigo"),
+            F.when(key % 4 != 0, F.col("p_name")).alias("nome"),
+            F.when(key % 5 != 0, F.col("p_size") * 10).alias("carga_horaria"),
+        )
+
     def usuarios(self) -> DataFrame:
         key = F.col("c_custkey")
         return self.table("customer").select(
@@ -121,20 +177,19 @@ class SampleSource:
         )
 
     def curriculo_disciplinas(self) -> DataFrame:
-        key = F.col("p_partkey")
-        return self.table("part").select(
-            key.alias("id_disciplina"),
-            _text("DISC", key).alias("codigo_disciplina"),
-            F.col("p_name").alias("nome_disciplina"),
-            (key % 4 + 2).cast("int").alias("creditos"),
-            ((key % 4 + 2) * 15).cast("int").alias("ch_total"),
+        return self.table("part").selectExpr(
+            "p_partkey AS id_disciplina",
+            "concat('DISC', p_partkey) AS codigo_disciplina",
+            "p_name AS nome_disciplina",
+            "cast(p_partkey % 4 + 2 as int) AS creditos",
+            "cast((p_partkey % 4 + 2) * 15 as int) AS ch_total",
         )
 
     def user_changes(self) -> DataFrame:
         """Profile as reported by each signup event: (user_id, changed_at, seq, role, status)."""
         k = F.get_json_object("props", "$.k").cast("int")
         return (
-            self.table("events")
+            self.events()
             .where(F.col("event_type") == "signup")
             .select(
                 "user_id",
@@ -147,29 +202,30 @@ class SampleSource:
 
     def pipeline_runs(self) -> DataFrame:
         """One load run per day of events, split into its three stages."""
-        day = F.to_date("ts")
-        runs = self.table("events").groupBy(day.alias("d")).agg(F.count("*").alias("n"))
-        stages = F.explode(
-            F.array(
-                F.struct(F.lit("extract").alias("stage"), F.lit(0).alias("pos"), (F.col("n") % 90).alias("centis")),
-                F.struct(F.lit("transform").alias("stage"), F.lit(1).alias("pos"), (F.col("n") % 170).alias("centis")),
-                F.struct(F.lit("quality").alias("stage"), F.lit(2).alias("pos"), (F.col("n") % 50).alias("centis")),
-            )
+        runs = self.events().groupBy(F.to_date("ts").alias("d")).agg(F.count("*").alias("n"))
+        stages = runs.selectExpr(
+            "d",
+            "n",
+            "inline(array(struct('extract' AS stage, 0 AS pos, n % 90 AS centis), "
+            "struct('transform', 1, n % 170), struct('quality', 2, n % 50)))",
+        )
+        timed = stages.selectExpr(
+            "*",
+            "concat_ws('-', 'run', year(d) * 10000 + month(d) * 100 + day(d), stage) AS run_id",
+            "timestampadd(MINUTE, 60 + pos, cast(d as timestamp_ntz)) AS start_time",
+            "day(d) % 7 = 0 AS failed",
         )
-        start = F.timestamp_add("MINUTE", F.lit(60) + F.col("s.pos"), F.col("d").cast("timestamp_ntz"))
-        failed = F.dayofmonth("d") % 7 == 0
-        run_id = F.concat_ws("-", F.lit("run"), date_key("d").cast("string"), F.col("s.stage"))
-        return runs.withColumn("s", stages).select(
-            F.conv(F.substring(F.md5(run_id), 1, 15), 16, 10).cast("bigint").alias("run_sk"),
-            run_id.alias("run_id"),
+        return timed.select(
+            surrogate_key("run_id").alias("run_sk"),
+            "run_id",
             F.lit("load_events").alias("dag_id"),
             F.lit("sample").alias("lane"),
-            F.col("s.stage").alias("stage"),
-            start.alias("start_time"),
-            F.timestamp_add("MICROSECOND", F.col("s.centis") * 10000, start).alias("end_time"),
-            (F.col("s.centis").cast("decimal(10,2)") / 100).cast("decimal(10,2)").alias("duration_seconds"),
+            "stage",
+            "start_time",
+            F.expr("timestampadd(MICROSECOND, centis * 10000, start_time)").alias("end_time"),
+            F.expr("cast(cast(centis as decimal(10,2)) / 100 as decimal(10,2))").alias("duration_seconds"),
             F.col("n").alias("rows_extracted"),
-            F.when(failed, F.lit(0)).otherwise(F.col("n")).cast("bigint").alias("rows_loaded"),
-            F.when(failed, "FAILED").otherwise("SUCCESS").alias("status"),
-            F.when(failed, "load stopped").alias("error_message"),
+            F.expr("if(failed, 0L, n)").alias("rows_loaded"),
+            F.expr("if(failed, 'FAILED', 'SUCCESS')").alias("status"),
+            F.expr("if(failed, 'load stopped', null)").alias("error_message"),
         )
