@@ -206,8 +206,7 @@ class SampleSource:
         stages = runs.selectExpr(
             "d",
             "n",
-            "inline(array(struct('extract' AS stage, 0 AS pos, n % 90 AS centis), "
-            "struct('transform', 1, n % 170), struct('quality', 2, n % 50)))",
+            "stack(3, 'extract', 0, n % 90, 'transform', 1, n % 170, 'quality', 2, n % 50) AS (stage, pos, centis)",
         )
         timed = stages.selectExpr(
             "*",
