@@ -64,7 +64,7 @@ def merge_snapshot(
 
 
 def history_from_changes(
-    changes: DataFrame, key: str, ts: str, seq: str, tracked: list[str], slot_seconds: int = 86400
+    changes: DataFrame, key: str, ts: str, seq: str, tracked: list[str], slot_seconds: int = 3600
 ) -> DataFrame:
     """Version table from a change log: runs of equal states become one version.
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 import json
 import uuid
-from datetime import datetime
+from dataclasses import dataclass, field
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from lumenmart.functions import month_key, surrogate_key
 from lumenmart.sources.contract import EPOCH, PIPELINE_RUNS
@@ -76,20 +76,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", "false").parquet(path)
 
 
-def write_months(df: DataFrame, path: str, ts: str, sort_by: list[str], files_per_month: int = 8, mode: str = "append") -> None:
-    """Write month folders. A month is spread over several tasks by a hash of
-    the sort key, so the newest month does not end up in one task; rows are
-    sorted in each file so that row groups can be skipped."""
-    part = F.pmod(F.xxhash64(*sort_by), F.lit(files_per_month))
-    (
-        df.withColumn(MONTH, month_key(ts))
-        .repartition(F.col(MONTH), part)
-        .sortWithinPartitions(MONTH, *sort_by)
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
+def write_months(df: DataFrame, path: str, ts: str, sort_by: list[str], mode: str = "append") -> None:
+    """Write month folders.
+
+    The rebalance hint lets Spark size the output by volume: a large month is
+    split over many tasks and a small batch ends in few files. Rows are sorted
+    in each file, so that row groups can be skipped by key.
+    """
+    out = with_month(df, ts).hint("rebalance", F.col(MONTH)).sortWithinPartitions(MONTH, *sort_by)
+    out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(MONTH).parquet(path)
+
+
+def with_month(df: DataFrame, ts: str) -> DataFrame:
+    return df.withColumn(MONTH, month_key(ts))
 
 
 def months_of(df: DataFrame) -> list[str]:
@@ -103,26 +102,41 @@ def only_months(df: DataFrame, months: list[str]) -> DataFrame:
     return df.where(keep | F.col(MONTH).isNull()) if NULL_MONTH in months else df.where(keep)
 
 
-def append_events(spark: SparkSession, path: str, batch: DataFrame, key: str, ts: str) -> int:
-    """Idempotent append: returns the number of rows that were really added.
+@dataclass(frozen=True)
+class Loaded:
+    extracted: int
+    added: int
+    newest: datetime | None
+
 
-    A retry carries the same timestamp, so only the months of the batch are read.
-    The new rows go to a staging folder first: they are then counted and
-    appended from there, and a retry of either step sees the same rows.
+def append_events(spark: SparkSession, path: str, batch: DataFrame, key: str, ts: str) -> Loaded:
+    """Idempotent append of the rows whose key is not stored yet.
+
+    The batch goes to a staging folder first, so its size, its newest time and
+    the rows to add all come from one reading of the source; the rows to add
+    are staged too (`<path>__added`, for the steps that follow). A retry carries
+    the same timestamp, hence only the months of the batch are searched.
     """
-    stage = f"{path.rstrip('/')}__stage_{uuid.uuid4().hex[:12]}"
-    batch = batch.withColumn(MONTH, month_key(ts))
-    if table_exists(spark, path):
-        known = only_months(read_table(spark, path), months_of(batch)).select(key)
-    else:
-        known = batch.select(key).limit(0)
-    insert_if_absent(known, batch, key, [ts, *[c for c in batch.columns if c not in (key, ts)]]).write.parquet(stage)
-    staged = read_table(spark, stage)
-    added = staged.count()
-    if added:
-        write_months(staged.drop(MONTH), path, ts, [key])
-    drop_table(spark, stage)
-    return added
+    path = path.rstrip("/")
+    with_month(batch, ts).write.mode("overwrite").parquet(f"{path}__stage")
+    staged = read_table(spark, f"{path}__stage")
+    size = staged.agg(F.count("*").alias("n"), F.max(ts).alias("newest")).first()
+    known = staged.select(key).limit(0)
+    if size["n"] and table_exists(spark, path):
+        known = only_months(read_table(spark, path), months_of(staged)).select(key)
+    order = [ts, *[c for c in batch.columns if c not in (key, ts)]]
+    insert_if_absent(known, staged.drop(MONTH), key, order).write.mode("overwrite").parquet(f"{path}__added")
+    new = added_rows(spark, path)
+    n = new.count()
+    if n:
+        write_months(new, path, ts, [key])
+    drop_table(spark, f"{path}__stage")
+    return Loaded(size["n"], n, size["newest"])
+
+
+def added_rows(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that the last append of a table added."""
+    return read_table(spark, f"{path.rstrip('/')}__added")
 
 
 def delete_insert_table(spark: SparkSession, path: str, batch: DataFrame, key: str, ts: str) -> None:
@@ -132,16 +146,16 @@ def delete_insert_table(spark: SparkSession, path: str, batch: DataFrame, key: s
     (a corrected event may have moved). A month left without rows is rewritten
     empty, since a dynamic overwrite alone would keep its old files.
     """
-    stage = f"{path.rstrip('/')}__stage_{uuid.uuid4().hex[:12]}"
+    stage = f"{path.rstrip('/')}__stage"
     if not table_exists(spark, path):
         write_months(batch, path, ts, [key])
         return
     old = read_table(spark, path)
-    batch_months = months_of(batch.withColumn(MONTH, month_key(ts)))
+    batch_months = months_of(with_month(batch, ts))
     holding = months_of(old.select(key, MONTH).join(batch.select(key), key, "left_semi"))
     touched = sorted({*batch_months, *holding})
     kept = only_months(old, touched).drop(MONTH)
-    write_months(delete_insert(kept, batch, key), stage, ts, [key])
+    write_months(delete_insert(kept, batch, key), stage, ts, [key], mode="overwrite")
     staged = read_table(spark, stage)
     left = set(months_of(staged))
     write_months(staged.drop(MONTH), path, ts, [key], mode="overwrite")
@@ -180,11 +194,10 @@ class Watermarks:
         self.spark, self.path = spark, path
 
     def _last(self, source: str):
-        try:
-            log = self.spark.read.schema("source string, value string, seq bigint").parquet(self.path)
-            return log.where(F.col("source") == source).orderBy(F.desc("seq")).limit(1).first()
-        except AnalysisException:
+        if not table_exists(self.spark, self.path):
             return None
+        log = self.spark.read.schema("source string, value string, seq bigint").parquet(self.path)
+        return log.where(F.col("source") == source).orderBy(F.desc("seq")).limit(1).first()
 
     def get(self, source: str) -> str:
         row = self._last(source)
@@ -203,48 +216,55 @@ class Watermarks:
         self._put(source, None)
 
 
-def log_run(
-    spark: SparkSession,
-    path: str,
-    dag_id: str,
-    lane: str,
-    stage: str,
-    start: datetime,
-    end: datetime,
-    rows_extracted: int = 0,
-    rows_loaded: int = 0,
-    status: str = "SUCCESS",
-    error: str | None = None,
-    run_id: str | None = None,
-) -> str:
-    """Append one audit row; returns its run id."""
-    run_id = run_id or str(uuid.uuid4())
-    seconds = round((end - start).total_seconds(), 2)
-    row = spark.createDataFrame(
-        [(run_id, dag_id, lane, stage, start, end, seconds, rows_extracted, rows_loaded, status, error)],
-        "run_id string, dag_id string, lane string, stage string, start_time timestamp_ntz, end_time timestamp_ntz, "
-        "duration_seconds double, rows_extracted bigint, rows_loaded bigint, status string, error_message string",
-    )
-    row = row.withColumn("run_sk", surrogate_key("run_id"))
-    row = row.withColumn("duration_seconds", F.col("duration_seconds").cast("decimal(10,2)"))
-    row.select(*PIPELINE_RUNS.fieldNames()).coalesce(1).write.mode("append").parquet(path)
-    return run_id
-
-
-def log_stream_progress(spark: SparkSession, path: str, query, dag_id: str) -> int:
+_RUN_ROW = (
+    "run_id string, dag_id string, lane string, stage string, start_time timestamp_ntz, end_time timestamp_ntz, "
+    "duration_seconds double, rows_extracted bigint, rows_loaded bigint, status string, error_message string"
+)
+
+
+@dataclass(frozen=True)
+class Run:
+    """One audit row: a stage of a run, with its true row counts."""
+
+    dag_id: str
+    lane: str
+    stage: str
+    start: datetime
+    end: datetime
+    rows_extracted: int = 0
+    rows_loaded: int = 0
+    status: str = "SUCCESS"
+    error: str | None = None
+    run_id: str = field(default_factory=lambda: str(uuid.uuid4()))
+
+    def row(self) -> tuple:
+        seconds = round((self.end - self.start).total_seconds(), 2)
+        return (
+            self.run_id, self.dag_id, self.lane, self.stage, self.start, self.end, seconds,
+            self.rows_extracted, self.rows_loaded, self.status, self.error,
+        )
+
+
+def log_runs(spark: SparkSession, path: str, runs: list[Run]) -> None:
+    """Append audit rows to the run log."""
+    if runs:
+        rows = spark.createDataFrame([r.row() for r in runs], _RUN_ROW).withColumn("run_sk", surrogate_key("run_id"))
+        rows = rows.withColumn("duration_seconds", F.col("duration_seconds").cast("decimal(10,2)"))
+        rows.select(*PIPELINE_RUNS.fieldNames()).coalesce(1).write.mode("append").parquet(path)
+
+
+def stream_runs(query, dag_id: str) -> list[Run]:
     """Audit rows for the recent micro-batches of a streaming query."""
-    logged = 0
+    runs = []
     for p in query.recentProgress:
-        p = json.loads(p.json) if hasattr(p, "json") and isinstance(p.json, str) else p
+        p = json.loads(p.json) if not isinstance(p, dict) else p
         if not p["numInputRows"]:
             continue
         start = datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
-        millis = p["durationMs"].get("triggerExecution", 0)
-        end = datetime.fromtimestamp(start.timestamp() + millis / 1000)
-        rows = p["numInputRows"]
-        log_run(spark, path, dag_id, "stream", f"batch-{p['batchId']}", start, end, rows, max(p["sink"].get("numOutputRows", -1), 0))
-        logged += 1
-    return logged
+        end = start + timedelta(milliseconds=p["durationMs"].get("triggerExecution", 0))
+        written = max(p["sink"].get("numOutputRows", -1), 0)
+        runs.append(Run(dag_id, "stream", f"batch-{p['batchId']}", start, end, p["numInputRows"], written))
+    return runs
 
 
 def export_rows(mart: DataFrame, order: str | None, path: str | None = None, n: int = 10) -> DataFrame:

@@ -45,7 +45,7 @@ def with_neighbour(
     ts: str,
     out: str,
     forward: bool,
-    slot_seconds: int = 86400,
+    slot_seconds: int = 3600,
 ) -> DataFrame:
     """Add struct `out`: `values` of the next (or previous) row of the same key."""
     d = df.withColumn("_slot", slot_of(F.col(ts), slot_seconds))
@@ -74,7 +74,7 @@ def as_of(
     fact_ts: str,
     version_ts: str,
     values: list[str],
-    slot_seconds: int = 86400,
+    slot_seconds: int = 3600,
 ) -> DataFrame:
     """Facts with `values` of the newest version that is not younger than the fact.
 

@@ -579,6 +579,10 @@ QUERIES: dict[str, str] = {
     "stream_session_windows": f"""SELECT user_id, events_count, session_start, session_end
         FROM ({sessionized('stg_e', 'user_id', 'event_ts', "INTERVAL '29 minutes 59.999999 seconds'")})
         WHERE session_end + INTERVAL 30 MINUTE <= {CLOSED}""",
+    "stream_trailing_actives": """SELECT d AS activity_date, count(DISTINCT user_id) AS dau,
+            (SELECT count(DISTINCT user_id) FROM ae x WHERE x."timestamp"::DATE BETWEEN d - 6 AND d) AS wau,
+            (SELECT count(DISTINCT user_id) FROM ae x WHERE x."timestamp"::DATE BETWEEN d - 29 AND d) AS mau
+        FROM (SELECT *, "timestamp"::DATE AS d FROM ae) GROUP BY d""",
     "stream_upsert": f"SELECT *, strftime(event_ts, '%Y-%m') AS event_month FROM ({_REPLACED})",
     "orders_trailing_customers": """SELECT d AS order_day, count(DISTINCT o_custkey) AS customers_1d,
             (SELECT count(DISTINCT o_custkey) FROM orders x WHERE x.o_orderdate::DATE BETWEEN d - 6 AND d) AS customers_7d,

@@ -146,35 +146,40 @@ def metric_bounds(engagement: DataFrame, content: DataFrame) -> DataFrame:
 # --- the suite -----------------------------------------------------------------
 
 
-def _row_rules(table: str, as_of: str) -> dict[str, Column]:
-    """check name -> condition that a failing row meets."""
-    rules = {f"not_null.{table}.{c}": F.col(c).isNull() for c in NOT_NULL.get(table, ())}
+def _row_rules(table: str, as_of: str) -> dict[str, str]:
+    """check name -> SQL condition that a failing row meets."""
+    rules = {f"not_null.{table}.{c}": f"{c} IS NULL" for c in NOT_NULL.get(table, ())}
     for (t, column), values in ACCEPTED.items():
         if t == table:
-            value = platform_group("platform") if column == "platform_group" else F.col(column)
-            rules[f"accepted_values.{table}.{column}"] = value.isNotNull() & ~value.isin(*values)
+            value = "if(platform LIKE 'mobile%', 'mobile', platform)" if column == "platform_group" else column
+            rules[f"accepted_values.{table}.{column}"] = f"{value} NOT IN ({', '.join(repr(v) for v in values)})"
     if table == "fct_events":
-        limit = F.timestamp_add("MINUTE", F.lit(5), F.lit(as_of).cast("timestamp_ntz"))
-        rules["event_not_in_future"] = F.col("event_ts") > limit
+        rules["event_not_in_future"] = f"event_ts > timestamp_ntz'{as_of}' + INTERVAL 5 MINUTES"
     if table == "fct_ratings":
-        rules["rating_scores_in_range"] = ~F.col("dificuldade").between(1, 5) | ~F.col("esforco").between(1, 5)
+        rules["rating_scores_in_range"] = "dificuldade NOT BETWEEN 1 AND 5 OR esforco NOT BETWEEN 1 AND 5"
     if table == "fct_sessions":
-        rules["session_duration_not_negative"] = F.col("session_duration_seconds") < 0
+        rules["session_duration_not_negative"] = "session_duration_seconds < 0"
     return rules
 
 
+def _row_failures(df: DataFrame, rules: dict[str, str]) -> DataFrame:
+    """(check, failures) of all row rules of a table, in one pass."""
+    sums = df.selectExpr(*[f"count_if({cond}) AS c{i}" for i, cond in enumerate(rules.values())])
+    cells = ", ".join(f"'{check}', c{i}" for i, check in enumerate(rules))
+    return sums.selectExpr(f"stack({len(rules)}, {cells}) AS (check, failures)")
+
+
 def _pairs(df: DataFrame, columns: dict[int, str], key_type: str) -> DataFrame:
     """(check number, key) rows for several key columns, read in one pass."""
-    cells = [F.struct(F.lit(n).alias("n"), F.col(c).cast(key_type).alias("key")) for n, c in columns.items()]
-    return df.select(F.explode(F.array(*cells)).alias("p")).select("p.*").where(F.col("key").isNotNull())
+    cells = ", ".join(f"{n}, cast({c} as {key_type})" for n, c in columns.items())
+    return df.selectExpr(f"stack({len(columns)}, {cells}) AS (n, key)").where("key IS NOT NULL")
 
 
 def _named(counts: DataFrame, names: list[str]) -> DataFrame:
     """(check number, failures) to (check, failures), also for checks without any key."""
-    every = counts.sparkSession.sql(
-        f"SELECT * FROM VALUES {', '.join(f'({i}, {chr(39)}{n}{chr(39)})' for i, n in enumerate(names))} AS t(n, check)"
-    )
-    return every.join(counts, "n", "left").select("check", F.coalesce("failures", F.lit(0)).alias("failures"))
+    rows = ", ".join(f"({i}, '{name}')" for i, name in enumerate(names))
+    every = counts.sparkSession.sql(f"SELECT * FROM VALUES {rows} AS t(n, check)")
+    return every.join(counts, "n", "left").selectExpr("check", "coalesce(failures, 0L) AS failures")
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:
@@ -186,12 +191,7 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def dq_suite(star: Star, as_of: str) -> DataFrame:
     """(check, failures) for every declared check."""
-    rule_rows = []
-    for table in NOT_NULL:
-        rules = _row_rules(table, as_of)
-        one = getattr(star, table).agg(*[hits(cond).alias(f"c{i}") for i, cond in enumerate(rules.values())])
-        cells = [F.struct(F.lit(check).alias("check"), F.col(f"c{i}").alias("failures")) for i, check in enumerate(rules)]
-        rule_rows.append(one.select(F.explode(F.array(*cells)).alias("r")).select("r.*"))
+    rule_rows = [_row_failures(getattr(star, table), _row_rules(table, as_of)) for table in NOT_NULL]
 
     names: list[str] = []
     keys: dict[str, list[DataFrame]] = {"bigint": [], "string": []}
@@ -200,7 +200,7 @@ def dq_suite(star: Star, as_of: str) -> DataFrame:
         keys[kind].append(_pairs(getattr(star, table), {len(names): key}, kind))
         names.append("event_id_not_repeated" if key == "event_id" else f"unique.{table}.{key}")
     repeated = [
-        _union(frames).groupBy("n", "key").agg(F.count("*").alias("rows")).groupBy("n").agg(hits(F.col("rows") > 1).alias("failures"))
+        _union(frames).groupBy("n", "key").agg(F.count("*").alias("rows")).groupBy("n").agg(F.expr("count_if(rows > 1) AS failures"))
         for frames in keys.values()
     ]
     unique = _named(_union(repeated), names)
@@ -211,9 +211,8 @@ def dq_suite(star: Star, as_of: str) -> DataFrame:
         _pairs(getattr(star, table), {number[table, fk]: fk for fk in fks}, "bigint") for table, fks in FOREIGN_KEYS.items()
     ]
     members = [
-        getattr(star, dim).select(
-            F.explode(F.array(*[F.lit(number[t, fk]) for t, fk, d, _ in links if d == dim])).alias("n"),
-            F.col(key).cast("bigint").alias("key"),
+        getattr(star, dim).selectExpr(
+            f"explode(array({', '.join(str(number[t, fk]) for t, fk, d, _ in links if d == dim)})) AS n", f"cast({key} as bigint) AS key"
         )
         for dim, key in sorted({(d, k) for _, _, d, k in links})
     ]

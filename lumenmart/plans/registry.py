@@ -15,6 +15,7 @@ from lumenmart.operators.ranking import exact_percentiles, trailing_actives
 from lumenmart.operators.slots import inactivity_sessions
 from lumenmart.operators.staging import stg_users
 from lumenmart.plans import marts, metrics, quality, workloads
+from lumenmart.plans.loader import MARTS, materialise
 from lumenmart.plans.star import TABLES, Star
 from lumenmart.session import configure, shared_dir
 from lumenmart.sources import readers
@@ -29,24 +30,8 @@ LATE_SECONDS = 86400
 SALT = "campus"
 
 
-def _marts(s: Star) -> dict[str, Callable[[], DataFrame]]:
-    return {
-        "mrt_acquisition": lambda: marts.mrt_acquisition(s.fct_daily_user_activity, s.dim_users),
-        "mrt_activation": lambda: marts.mrt_activation(s.fct_events, s.dim_users),
-        "mrt_retention": lambda: marts.mrt_retention(s.fct_daily_user_activity, s.dim_users),
-        "mrt_engagement": lambda: marts.mrt_engagement(s.fct_daily_user_activity, s.fct_sessions, s.dim_users),
-        "mrt_content": lambda: marts.mrt_content(s.fct_ratings, s.fct_events),
-        "mrt_product": lambda: marts.mrt_product(s.fct_daily_user_activity, s.fct_ratings, s.fct_sessions),
-        "mrt_quality": lambda: marts.mrt_quality(s.fct_events),
-        "mrt_data_engineering": lambda: marts.mrt_data_engineering(s.pipeline_runs),
-        "mrt_monetization_readiness": lambda: marts.mrt_monetization_readiness(
-            s.fct_sessions, s.fct_events, s.fct_daily_user_activity
-        ),
-    }
-
-
 def mart(s: Star, name: str) -> DataFrame:
-    return _marts(s)[name]()
+    return MARTS[name](s)
 
 
 def _facts_by_day(s: Star) -> dict[str, tuple[DataFrame, str]]:
@@ -226,6 +211,13 @@ def stream_session_windows(s: Star) -> DataFrame:
     )
 
 
+def stream_trailing_actives(s: Star) -> DataFrame:
+    """Exact trailing actives: the stream keeps one row per user and day, and the
+    rollup counts from these."""
+    days = jobs.stored(s.spark, jobs.user_days(_event_stream(s), "400 days"), "stream-user-days")
+    return trailing_actives(days, "user_id", "activity_date", {"wau": 7, "mau": 30}).withColumnRenamed("active", "dau")
+
+
 def stream_sliding_actives(s: Star) -> DataFrame:
     return jobs.stored(s.spark, jobs.sliding_actives(_event_stream(s)), "stream-actives")
 
@@ -301,10 +293,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "scd2_asof": scd2_asof,
     "scd2_merge": scd2_merge,
     # marts
-    **{name: (lambda s, name=name: mart(s, name)) for name in (
-        "mrt_acquisition", "mrt_activation", "mrt_retention", "mrt_engagement", "mrt_content", "mrt_product",
-        "mrt_quality", "mrt_data_engineering", "mrt_monetization_readiness",
-    )},
+    **MARTS,
     "mrt_monetization_fixed_institution": lambda s: marts.mrt_monetization_readiness(
         s.fct_sessions, s.fct_events, s.fct_daily_user_activity, surrogate_key_of("1")
     ),
@@ -372,7 +361,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "admin_actions": lambda s: metrics.admin_actions(s.fct_events),
     "reengagement_rate": lambda s: metrics.reengagement_rate(s.fct_events),
     # quality
-    "dq_suite": lambda s: quality.dq_suite(s, AS_OF),
+    "dq_suite": lambda s: quality.dq_suite(materialise(s, shared_dir(s.spark, "dq")), AS_OF),
     "dq_future_events": lambda s: quality.future_events(s.fct_events, "2024-01-20 00:00:00"),
     "dq_repeated_ids": lambda s: quality.repeated_keys(s.sample.deliveries(), "id"),
     "dq_orphan_courses": lambda s: quality.orphan_keys(
@@ -399,6 +388,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "stream_append": stream_append,
     "stream_daily_activity": stream_daily_activity,
     "stream_session_windows": stream_session_windows,
+    "stream_trailing_actives": stream_trailing_actives,
     "stream_sliding_actives": stream_sliding_actives,
     "stream_upsert": stream_upsert,
     # the generic operators on other entities

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lumenmart.functions import surrogate_key
 from lumenmart.operators import dimensions as dims
 from lumenmart.operators import facts, history, staging
+from lumenmart.operators.sinks import table_exists
 from lumenmart.sources.sample import SampleSource
 
 TABLES = (
@@ -169,11 +170,25 @@ class Star:
 class StoredStar(Star):
     """The same tables, read from where the loader wrote them."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, fixed: bool = False):
         super().__init__(spark, {})
         self._root = root.rstrip("/")
+        # Tables that never change again are opened once.
+        self._opened: dict[str, DataFrame] | None = {} if fixed else None
 
     def __getattribute__(self, name: str):
-        if name in TABLES or name == "pipeline_runs":
-            return self.spark.read.parquet(f"{self._root}/{name}")
+        if name in TABLES or name in ("pipeline_runs", "stg_events", "stg_users"):
+            if self._opened is None:
+                return self._stored(name)
+            if name not in self._opened:
+                self._opened[name] = self._stored(name)
+            return self._opened[name]
         return super().__getattribute__(name)
+
+    def _stored(self, name: str) -> DataFrame:
+        path = f"{self._root}/{name}"
+        if name.startswith("stg_") and not table_exists(self.spark, path):
+            # A loaded warehouse keeps landing tables; staging is a view on them.
+            landing = {"stg_events": "analytics_events", "stg_users": "usuarios"}[name]
+            return getattr(staging, name)(self.spark.read.parquet(f"{self._root}/{landing}"))
+        return self.spark.read.parquet(path).drop("event_month", "_day")

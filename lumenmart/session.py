@@ -21,6 +21,8 @@ RUNTIME_CONF = {
     # The JVM never compiles methods above this size; wide projections run much
     # faster split into several methods than as one interpreted loop.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Session windows of one key are merged before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 

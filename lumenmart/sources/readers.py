@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.functions import month_key
 from lumenmart.sources import contract as C
 from lumenmart.sources.catalog import event_catalog
 
@@ -91,13 +90,17 @@ def incremental(
     watermark: str,
     full_refresh: bool = False,
     limit: int | None = None,
+    lookback_days: int = 0,
     ts: str = "timestamp",
     key: str = "id",
 ) -> DataFrame:
     """Rows strictly after the watermark. A limit takes the oldest rows first,
-    so that the next watermark never jumps over unread ones."""
+    so that the next watermark never jumps over unread ones. A lookback reads
+    some days again, for events that arrive after younger ones were loaded;
+    the append drops those already stored."""
     if not full_refresh:
-        events = events.where(F.col(ts) > utc(F.lit(watermark)))
+        after = F.timestamp_add("DAY", F.lit(-lookback_days), utc(F.lit(watermark)))
+        events = events.where(F.col(ts) > after)
     if limit is not None:
         events = events.orderBy(ts, key).limit(limit)
     return events
@@ -150,6 +153,3 @@ def time_range(df: DataFrame, start: str, end: str, ts: str = "event_ts") -> Dat
         out = out.where(F.col("event_month").between(start[:7], end[:7]))
     return out
 
-
-def with_month(df: DataFrame, ts: str) -> DataFrame:
-    return df.withColumn("event_month", month_key(ts))

@@ -86,6 +86,13 @@ def session_windows(raw: DataFrame, gap: str = "30 minutes", delay: str = "3 day
     )
 
 
+def user_days(raw: DataFrame, delay: str = "3 days") -> DataFrame:
+    """First event of each (user, day); state is kept for `delay`."""
+    days = raw.select("user_id", F.to_date("timestamp").alias("activity_date"))
+    timed = days.withColumn("day_ts", F.col("activity_date").cast("timestamp")).withWatermark("day_ts", delay)
+    return timed.dropDuplicatesWithinWatermark(["user_id", "activity_date"]).select("user_id", "activity_date")
+
+
 def sliding_actives(raw: DataFrame, days: int = 7, delay: str = "3 days") -> DataFrame:
     """Approximate distinct users of the trailing `days` days, per day."""
     w = F.window("event_ts", f"{days} days", "1 day")
