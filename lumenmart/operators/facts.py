@@ -69,6 +69,26 @@ def fct_events(events: DataFrame, dim_users: DataFrame, default_period: str = DE
     )
 
 
+def event_rows(events: DataFrame) -> DataFrame:
+    """The event fact without what needs a user row, for queries that count
+    events or sessions and never look at users: no join, no shuffle."""
+    return events.select(
+        surrogate_key("raw_event_id").alias("event_sk"),
+        F.col("raw_event_id").alias("event_id"),
+        "event_date_sk",
+        surrogate_key("screen_name").alias("screen_sk"),
+        "session_id",
+        "platform",
+        "app_version",
+        "event_name",
+        "category",
+        "priority",
+        "schema_version",
+        "event_ts",
+        "payload_json",
+    )
+
+
 def fct_daily_user_activity(
     events: DataFrame, dim_users: DataFrame, core_actions: tuple[str, ...] = CORE_ACTIONS
 ) -> DataFrame:

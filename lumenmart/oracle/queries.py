@@ -144,7 +144,7 @@ def first_weeks(source: str, out: str) -> str:
 
 
 def last_days(n: int) -> str:
-    return f"user_sk <> {U} AND event_date > (SELECT max(event_date) FROM ev WHERE user_sk <> {U}) - {n}"
+    return f"user_sk <> {U} AND event_date > (SELECT max(event_date) FROM ev) - {n}"
 
 
 def _funnel() -> str:
@@ -301,7 +301,6 @@ def _growth_rows() -> str:
 
 
 _SEEN = "SELECT session_id, event_ts, event_id, screen_sk FROM fe WHERE screen_sk IS NOT NULL"
-_LATEST = f"max(event_date) FILTER (user_sk <> {U})"
 _CORRECTED = f"""SELECT raw_event_id AS event_id, created_at AS event_ts, event_name FROM stg_e
     WHERE epoch(created_at - event_ts) > {LATE}"""
 _REPLACED = f"""SELECT raw_event_id AS event_id,

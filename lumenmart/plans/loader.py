@@ -26,12 +26,12 @@ MARTS: dict[str, Callable[[Star], DataFrame]] = {
     "mrt_activation": lambda s: marts.mrt_activation(s.fct_events, s.dim_users),
     "mrt_retention": lambda s: marts.mrt_retention(s.fct_daily_user_activity, s.dim_users),
     "mrt_engagement": lambda s: marts.mrt_engagement(s.fct_daily_user_activity, s.fct_sessions, s.dim_users),
-    "mrt_content": lambda s: marts.mrt_content(s.fct_ratings, s.fct_events),
+    "mrt_content": lambda s: marts.mrt_content(s.fct_ratings, s.event_rows),
     "mrt_product": lambda s: marts.mrt_product(s.fct_daily_user_activity, s.fct_ratings, s.fct_sessions),
-    "mrt_quality": lambda s: marts.mrt_quality(s.fct_events),
+    "mrt_quality": lambda s: marts.mrt_quality(s.event_rows),
     "mrt_data_engineering": lambda s: marts.mrt_data_engineering(s.pipeline_runs),
     "mrt_monetization_readiness": lambda s: marts.mrt_monetization_readiness(
-        s.fct_sessions, s.fct_events, s.fct_daily_user_activity
+        s.fct_sessions, s.event_rows, s.fct_daily_user_activity
     ),
 }
 

@@ -3,7 +3,7 @@ narrower rule than the metric's definition."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lumenmart.functions import json_field, json_int, key_to_date, ratio, seconds_between
@@ -243,28 +243,26 @@ def session_percentiles(sessions: DataFrame) -> DataFrame:
     return out.withColumnRenamed("n", "sessions")
 
 
-def recent_feature_users(events: DataFrame, window_days: int) -> tuple[DataFrame, Column]:
-    """(feature_key, user_sk) and the number of users of the trailing window that ends on the last day."""
-    days = event_days(events).where(is_known("user_sk"))
-    start = days.agg(F.date_sub(F.max("event_date"), window_days - 1)).scalar()
-    recent = days.where(F.col("event_date") >= start)
-    used = recent.groupBy(F.col("category").alias("feature_key"), "user_sk").agg(
-        F.count("*").alias("n"), hits(F.col("event_name").isin(*HIGH_VALUE_EVENTS)).alias("valuable")
+def recent_feature_users(events: DataFrame, event_rows: DataFrame, window_days: int) -> DataFrame:
+    """Per user and feature of the window that ends on the last day with events:
+    whether a paywall candidate was used."""
+    last = event_rows.agg(F.max("event_date_sk").alias("last_sk")).select(key_to_date("last_sk")).scalar()
+    recent = event_days(events).where(is_known("user_sk") & (F.col("event_date") > F.date_sub(last, window_days)))
+    return recent.groupBy("user_sk", F.col("category").alias("feature_key")).agg(
+        flag(F.col("event_name").isin(*HIGH_VALUE_EVENTS)).alias("valuable")
     )
-    mau = used.groupBy("user_sk").agg(F.lit(1).alias("one")).agg(F.count("*")).scalar()
-    return used, mau
 
 
-def feature_adoption(events: DataFrame, window_days: int = 30) -> DataFrame:
-    used, mau = recent_feature_users(events, window_days)
+def feature_adoption(events: DataFrame, event_rows: DataFrame, window_days: int = 30) -> DataFrame:
+    used = recent_feature_users(events, event_rows, window_days)
+    mau = used.select("user_sk").distinct().agg(F.count("*")).scalar()
     features = used.groupBy("feature_key").agg(F.count("*").alias("feature_users")).withColumn("mau", mau)
     return features.withColumn("adoption_rate", ratio("feature_users", "mau"))
 
 
-def high_value_usage(events: DataFrame, window_days: int = 30) -> DataFrame:
+def high_value_usage(events: DataFrame, event_rows: DataFrame, window_days: int = 30) -> DataFrame:
     """One row: users of a paywall candidate among the window's users."""
-    used, _ = recent_feature_users(events, window_days)
-    per_user = used.groupBy("user_sk").agg(F.sum("valuable").alias("valuable"))
+    per_user = recent_feature_users(events, event_rows, window_days).groupBy("user_sk").agg(F.max("valuable").alias("valuable"))
     row = per_user.agg(hits(F.col("valuable") > 0).alias("high_value_users"), F.count("*").alias("mau"))
     return row.withColumn("usage_rate", ratio("high_value_users", "mau"))
 

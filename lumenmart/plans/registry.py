@@ -36,7 +36,7 @@ def mart(s: Star, name: str) -> DataFrame:
 
 def _facts_by_day(s: Star) -> dict[str, tuple[DataFrame, str]]:
     return {
-        "fct_events": (s.fct_events, "event_date_sk"),
+        "fct_events": (s.event_rows, "event_date_sk"),
         "fct_daily_user_activity": (s.fct_daily_user_activity, "date_sk"),
         "fct_ratings": (s.fct_ratings, "date_sk"),
         "fct_sessions": (s.fct_sessions, "session_start_date_sk"),
@@ -295,7 +295,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     # marts
     **MARTS,
     "mrt_monetization_fixed_institution": lambda s: marts.mrt_monetization_readiness(
-        s.fct_sessions, s.fct_events, s.fct_daily_user_activity, surrogate_key_of("1")
+        s.fct_sessions, s.event_rows, s.fct_daily_user_activity, surrogate_key_of("1")
     ),
     # dashboard cards and filters
     **{name: (lambda s, name=name: workloads.card(mart(s, workloads.CARDS[name][0]), name)) for name in workloads.CARDS},
@@ -318,12 +318,12 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "workload_b_all_days": lambda s: workloads.course_scores(s.fct_ratings, s.dim_courses),
     "workload_c": lambda s: workloads.user_durations(s.fct_sessions, s.dim_users, LOOKUP_DAY),
     "workload_c_all_days": lambda s: workloads.user_durations(s.fct_sessions, s.dim_users),
-    "month_scan": lambda s: workloads.month_scan(s.fct_events, "2024-01-01", "2024-02-01"),
+    "month_scan": lambda s: workloads.month_scan(s.event_rows, "2024-01-01", "2024-02-01"),
     "stickiness_scalar": lambda s: metrics.stickiness_scalar(s.fct_daily_user_activity),
     "latest_run": lambda s: workloads.latest_run(s.pipeline_runs),
     # catalogue metrics
     "user_growth": lambda s: metrics.user_growth(s.dim_users),
-    "registration_rate": lambda s: metrics.registration_rate(s.fct_events),
+    "registration_rate": lambda s: metrics.registration_rate(s.event_rows),
     "university_growth": lambda s: metrics.university_growth(s.fct_daily_user_activity),
     "course_growth": lambda s: metrics.course_growth(s.fct_events),
     "activation_by_definition": lambda s: metrics.activation_by_definition(s.fct_events, s.dim_users),
@@ -336,33 +336,33 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "rolling_retention": lambda s: metrics.rolling_retention(s.fct_daily_user_activity, s.dim_users),
     "wau_mau": lambda s: metrics.wau_mau(s.fct_daily_user_activity),
     "session_percentiles": lambda s: metrics.session_percentiles(s.fct_sessions),
-    "feature_adoption": lambda s: metrics.feature_adoption(s.fct_events),
-    "bounce_by_definition": lambda s: metrics.bounce_by_definition(s.fct_events),
+    "feature_adoption": lambda s: metrics.feature_adoption(s.fct_events, s.event_rows),
+    "bounce_by_definition": lambda s: metrics.bounce_by_definition(s.event_rows),
     "power_users": lambda s: metrics.power_users(s.fct_sessions),
     "user_deciles": lambda s: metrics.user_deciles(s.fct_sessions),
     "dormant_users": lambda s: metrics.dormant_users(s.fct_daily_user_activity),
-    "empty_search_by_definition": lambda s: metrics.empty_search_by_definition(s.fct_events),
+    "empty_search_by_definition": lambda s: metrics.empty_search_by_definition(s.event_rows),
     "funnel_conversion": lambda s: metrics.funnel_conversion(s.fct_events),
-    "flow_abandonment": lambda s: metrics.flow_abandonment(s.fct_events),
+    "flow_abandonment": lambda s: metrics.flow_abandonment(s.event_rows),
     "feature_ranking": lambda s: metrics.feature_ranking(s.fct_events),
-    "navigation_flow": lambda s: metrics.navigation_flow(s.fct_events, s.dim_screens),
-    "frontend_error_sessions": lambda s: metrics.frontend_error_sessions(s.fct_events),
-    "failure_shares": lambda s: metrics.failure_shares(s.fct_events),
-    "latency_percentiles": lambda s: metrics.latency_percentiles(s.fct_events),
+    "navigation_flow": lambda s: metrics.navigation_flow(s.event_rows, s.dim_screens),
+    "frontend_error_sessions": lambda s: metrics.frontend_error_sessions(s.event_rows),
+    "failure_shares": lambda s: metrics.failure_shares(s.event_rows),
+    "latency_percentiles": lambda s: metrics.latency_percentiles(s.event_rows),
     "etl_duration_by_stage": lambda s: metrics.etl_duration_by_stage(s.pipeline_runs),
-    "event_volume": lambda s: metrics.event_volume(s.fct_events),
-    "data_freshness": lambda s: metrics.data_freshness(s.fct_events, AS_OF),
+    "event_volume": lambda s: metrics.event_volume(s.event_rows),
+    "data_freshness": lambda s: metrics.data_freshness(s.event_rows, AS_OF),
     "duplicate_events": lambda s: metrics.duplicate_events(s.sample.deliveries()),
     "late_events": lambda s: metrics.late_events(s.stg_events, LATE_SECONDS),
     "warehouse_growth": lambda s: metrics.warehouse_growth(_facts_by_day(s)),
-    "high_value_usage": lambda s: metrics.high_value_usage(s.fct_events),
+    "high_value_usage": lambda s: metrics.high_value_usage(s.fct_events, s.event_rows),
     "institution_topn": lambda s: metrics.institution_topn(s.fct_daily_user_activity),
     "engagement_corr": lambda s: metrics.engagement_corr(s.fct_events),
-    "admin_actions": lambda s: metrics.admin_actions(s.fct_events),
-    "reengagement_rate": lambda s: metrics.reengagement_rate(s.fct_events),
+    "admin_actions": lambda s: metrics.admin_actions(s.event_rows),
+    "reengagement_rate": lambda s: metrics.reengagement_rate(s.event_rows),
     # quality
     "dq_suite": lambda s: quality.dq_suite(materialise(s, shared_dir(s.spark, "dq")), AS_OF),
-    "dq_future_events": lambda s: quality.future_events(s.fct_events, "2024-01-20 00:00:00"),
+    "dq_future_events": lambda s: quality.future_events(s.event_rows, "2024-01-20 00:00:00"),
     "dq_repeated_ids": lambda s: quality.repeated_keys(s.sample.deliveries(), "id"),
     "dq_orphan_courses": lambda s: quality.orphan_keys(
         s.fct_ratings, "course_sk", s.dim_courses.where(F.col("creditos") != 5), "course_sk"
@@ -372,7 +372,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "schema_drift": lambda s: quality.schema_drift(s.raw_events.withColumn("extra", F.lit(1)).drop("created_at")),
     "payload_types": lambda s: quality.unknown_payload_types(s.raw_events),
     "health_probe": lambda s: quality.health_probe(s, TABLES),
-    "threshold_breaches": lambda s: quality.breaches(mart(s, "mrt_quality"), s.pipeline_runs, s.fct_events, AS_OF),
+    "threshold_breaches": lambda s: quality.breaches(mart(s, "mrt_quality"), s.pipeline_runs, s.event_rows, AS_OF),
     # loads
     "incremental_append": incremental_append,
     "upsert_users": users_upsert,

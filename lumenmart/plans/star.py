@@ -39,6 +39,7 @@ class Star:
     def __init__(self, spark: SparkSession, landing: dict[str, Callable[[], DataFrame]]):
         self.spark = spark
         self._landing = landing
+        self._filters_users = False
         self._event_filter: Column | None = None
         self._user_filter: Column | None = None
         self._run_filter: Column | None = None
@@ -91,6 +92,7 @@ class Star:
         if period:
             keep = keep & (F.col("period_sk") == surrogate_key(F.lit(period)))
         out._event_filter = keep
+        out._filters_users = university_id is not None or course_id is not None or period is not None
         if university_id is not None:
             out._user_filter = F.col("university_id") == university_id
         if run_status:
@@ -154,6 +156,14 @@ class Star:
         # With a user filter the other users' events have no user row left.
         return fact if self._user_filter is None else fact.where(facts.is_known("user_sk"))
 
+    @cached_property
+    def event_rows(self) -> DataFrame:
+        """`fct_events` for queries that need no user columns."""
+        if self._filters_users:
+            return self.fct_events
+        rows = facts.event_rows(self.stg_events)
+        return rows if self._event_filter is None else rows.where(self._event_filter)
+
     @cached_property
     def fct_daily_user_activity(self) -> DataFrame:
         return facts.fct_daily_user_activity(self.fct_events, self.dim_users)
@@ -177,6 +187,8 @@ class StoredStar(Star):
         self._opened: dict[str, DataFrame] | None = {} if fixed else None
 
     def __getattribute__(self, name: str):
+        if name == "event_rows":
+            name = "fct_events"
         if name in TABLES or name in ("pipeline_runs", "stg_events", "stg_users"):
             if self._opened is None:
                 return self._stored(name)
