@@ -97,7 +97,8 @@ def professor_aliases(events: DataFrame) -> DataFrame:
     put an unbounded group into one task.
     """
     raw = json_field("payload_json", "docente")
-    spellings = events.select(raw.alias("original_docente_string")).where("original_docente_string IS NOT NULL").distinct()
+    # The null name is dropped after the aggregate, so the payload is read once per row.
+    spellings = events.groupBy(raw.alias("original_docente_string")).agg(F.count(raw).alias("n")).where("n > 0").drop("n")
     clean = clean_name("original_docente_string")
     return spellings.select(
         surrogate_key(clean).alias("professor_sk"),

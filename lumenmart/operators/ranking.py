@@ -70,9 +70,10 @@ def exact_percentiles(df: DataFrame, keys: list[str], value: str, probs: dict[st
     `width` give each value's rank offset, so every window is bounded either by
     the number of buckets or by the distinct values in one bucket.
     """
-    v = df.where(F.col(value).isNotNull())
-    fine = v.groupBy(*keys, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    fine = fine.withColumn("_b", F.floor(F.col("_v") / width))
+    # Nulls are dropped by their count, after the aggregate: a filter on the value
+    # would be pushed down and evaluate a computed value twice per row.
+    fine = df.groupBy(*keys, F.col(value).alias("_v")).agg(F.count(value).alias("_n")).where(F.col("_n") > 0)
+    fine = fine.withColumn("_b", F.coalesce(F.floor(F.col("_v") / width), F.lit(0)))
     coarse = fine.groupBy(*keys, "_b").agg(F.sum("_n").alias("_bn"))
     in_order = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*keys)

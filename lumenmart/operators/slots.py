@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 
 def slot_of(ts: Column, seconds: int) -> Column:
-    """Number of the time slot that a timestamp falls into."""
+    """Start of the time slot that a timestamp falls into, in microseconds."""
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
-    return F.floor(micros / (seconds * 1000000)).cast("bigint")
+    return micros - F.pmod(micros, F.lit(seconds * 1000000))
 
 
 def next_pairs(df: DataFrame, key: str, order: list[str], value: str, ts: str, slot_seconds: int = 3600) -> DataFrame:
@@ -47,8 +47,12 @@ def with_neighbour(
     forward: bool,
     slot_seconds: int = 3600,
 ) -> DataFrame:
-    """Add struct `out`: `values` of the next (or previous) row of the same key."""
-    d = df.withColumn("_slot", slot_of(F.col(ts), slot_seconds))
+    """Add struct `out`: `values` of the next (or previous) row of the same key.
+
+    Rows without a key are dropped; both uses of the input then filter alike,
+    and Spark computes it once.
+    """
+    d = df.where(F.col(key).isNotNull()).withColumn("_slot", slot_of(F.col(ts), slot_seconds))
     payload = F.struct(*values)
     in_slot = Window.partitionBy(key, "_slot").orderBy(*order)
     by_slot = Window.partitionBy(key).orderBy("_slot")

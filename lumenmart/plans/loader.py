@@ -203,26 +203,41 @@ class Warehouse:
 
 
 def materialise(star: Star, root: str) -> StoredStar:
-    """Write a star's tables once, for jobs that read them many times."""
+    """Write a star's tables once, for jobs that read them many times: staging
+    first, then what is made from it, then the rollups of the event fact."""
     spark = star.spark
     root = root.rstrip("/")
-    star.fct_events.write.parquet(f"{root}/fct_events")
-    stored = spark.read.parquet(f"{root}/fct_events")
-    tables = {
-        "stg_events": star.stg_events.select("raw_event_id", "category", "priority", "platform"),
-        "stg_users": star.stg_users,
-        "dim_users": star.dim_users,
-        "dim_courses": star.dim_courses,
-        "dim_universities": star.dim_universities,
-        "dim_date": star.dim_date,
-        "dim_academic_periods": star.dim_academic_periods,
-        "dim_screens": star.dim_screens,
-        "dim_professors": star.dim_professors,
-        "fct_daily_user_activity": facts.fct_daily_user_activity(stored, star.dim_users),
-        "fct_ratings": facts.fct_ratings(stored),
-        "fct_sessions": facts.fct_sessions(stored),
-        "pipeline_runs": star.pipeline_runs,
-    }
-    together([lambda n=n, d=d: d.write.parquet(f"{root}/{n}") for n, d in tables.items()], 6)
-    return StoredStar(spark, root, fixed=True)
 
+    def write(tables: dict[str, DataFrame]) -> None:
+        together([lambda n=n, d=d: d.write.parquet(f"{root}/{n}") for n, d in tables.items()], 6)
+
+    write(
+        {
+            "stg_events": star.stg_events,
+            "stg_users": star.stg_users,
+            "dim_users": star.dim_users,
+            "dim_courses": star.dim_courses,
+            "dim_universities": star.dim_universities,
+            "pipeline_runs": star.pipeline_runs,
+        }
+    )
+    events, users = spark.read.parquet(f"{root}/stg_events"), spark.read.parquet(f"{root}/dim_users")
+    calendar = dims.dim_date_for(events)
+    write(
+        {
+            "fct_events": facts.fct_events(events, users),
+            "dim_date": calendar,
+            "dim_academic_periods": dims.dim_academic_periods(calendar),
+            "dim_screens": dims.dim_screens(events),
+            "dim_professors": dims.dim_professors(events),
+        }
+    )
+    fact = spark.read.parquet(f"{root}/fct_events")
+    write(
+        {
+            "fct_daily_user_activity": facts.fct_daily_user_activity(fact, users),
+            "fct_ratings": facts.fct_ratings(fact),
+            "fct_sessions": facts.fct_sessions(fact),
+        }
+    )
+    return StoredStar(spark, root, fixed=True)
