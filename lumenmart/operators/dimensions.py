@@ -121,29 +121,43 @@ def dim_professors(events: DataFrame) -> DataFrame:
 
 
 def resolve_professors(professors: DataFrame) -> DataFrame:
-    """Fuzzy resolution: names one edit apart map to the smallest of them.
-
-    Each name emits the forms it has after losing at most one letter. Names one
-    insertion, deletion, replacement or swap apart share such a form, so a
-    minimum per form replaces the comparison of all pairs: length + 1 rows per
-    distinct name, and an aggregate that combines on the map side.
+    """Fuzzy resolution: each name maps to the smallest name within one edit
+    (Levenshtein distance of the lower-cased names at most 1).
+
+    No pairs are compared. Each name emits the forms it has without its i-th
+    letter. Names that differ in letter i only share the form (i, rest), so a
+    minimum per such form finds the smallest. A name with one letter more than
+    another has the other's full text among its forms: there the full name
+    sees the smallest longer one, and the longer ones see the full name. That is
+    2 * length + 1 rows per distinct name, reduced on the map side.
     """
     name = F.col("docente_name_clean")
     folded = F.lower(name)
     forms = F.transform(
-        F.sequence(F.lit(0), F.length(folded)),
-        lambda i: F.when(i == 0, folded).otherwise(
-            F.concat(F.substring(folded, F.lit(1), i - 1), F.substring(folded, i + 1, F.length(folded)))
+        F.sequence(F.lit(1), F.length(folded)),
+        lambda i: F.struct(
+            i.alias("at"), F.concat(F.substring(folded, F.lit(1), i - 1), F.substring(folded, i + 1, F.length(folded))).alias("form")
         ),
     )
-    emitted = professors.select("professor_sk", name, F.explode(F.array_distinct(forms)).alias("form"))
-    smallest = emitted.groupBy("form").agg(F.min("docente_name_clean").alias("resolved_name"))
-    best = (
-        emitted.join(smallest, "form")
-        .groupBy("professor_sk", "docente_name_clean")
-        .agg(F.min("resolved_name").alias("resolved_name"))
+    cut = professors.select(name, F.explode(forms).alias("f")).select("docente_name_clean", "f.at", "f.form")
+    shorter = cut.select(name, F.lit(0).alias("at"), "form").distinct()
+    full = professors.select(name, F.lit(-1).alias("at"), folded.alias("form"))
+    emitted = cut.unionByName(shorter).unionByName(full)
+
+    # at > 0: same length; at = 0 and -1: shorter forms and full names, compared with each other.
+    group = F.greatest("at", F.lit(0))
+    best = emitted.groupBy(group.alias("grp"), "form").agg(
+        F.min(F.when(F.col("at") >= 0, name)).alias("cut_name"), F.min(F.when(F.col("at") == -1, name)).alias("full_name")
+    )
+    found = emitted.withColumn("grp", group).join(best, ["grp", "form"])
+    candidate = F.when(F.col("at") == 0, F.col("full_name")).otherwise(F.least("cut_name", "full_name"))
+    resolved = found.groupBy("docente_name_clean").agg(F.min(F.least(name, candidate)).alias("resolved_name"))
+    return resolved.select(
+        surrogate_key("docente_name_clean").alias("professor_sk"),
+        "docente_name_clean",
+        "resolved_name",
+        surrogate_key("resolved_name").alias("resolved_sk"),
     )
-    return best.select("professor_sk", "docente_name_clean", "resolved_name", surrogate_key("resolved_name").alias("resolved_sk"))
 
 
 def dim_users(versions: DataFrame) -> DataFrame:

@@ -361,7 +361,8 @@ QUERIES: dict[str, str] = {
             '["' || raw || '"]' AS raw_name_variations_json FROM spellings""",
     "dim_professors_fuzzy": f"""SELECT professor_sk, docente_name_clean, resolved_name, {sk('resolved_name')} AS resolved_sk
         FROM (SELECT a.professor_sk, a.docente_name_clean, min(b.docente_name_clean) AS resolved_name
-            FROM forms a JOIN forms b USING (form) GROUP BY 1, 2)""",
+            FROM d_prof a JOIN d_prof b ON levenshtein(lower(a.docente_name_clean), lower(b.docente_name_clean)) <= 1
+            GROUP BY 1, 2)""",
     "fct_events": "SELECT * FROM fe",
     "fct_daily_user_activity": "SELECT * FROM da",
     "fct_ratings": "SELECT * FROM fr",
@@ -624,11 +625,6 @@ QUERIES["cohort_week_pivot"] = QUERIES["cohort_week_pivot"].replace("{matrix}",
 LOCAL_CTES: dict[str, dict[str, str]] = {
     "funnel_conversion": _FUNNEL_CTES,
     "mrt_content_university": {"one_univ": f"SELECT user_sk FROM d_users WHERE university_sk = {sk('1')}"},
-    "dim_professors_fuzzy": {
-        "forms": """SELECT DISTINCT professor_sk, docente_name_clean,
-            CASE WHEN i = 0 THEN n ELSE substr(n, 1, i - 1) || substr(n, i + 1) END AS form
-        FROM (SELECT *, unnest(range(0, length(n) + 1)) AS i FROM (SELECT *, lower(docente_name_clean) AS n FROM d_prof))"""
-    },
     # The period filter acts on the fact, so everything above it is rebuilt on the filtered fact.
     "mrt_engagement_period": {"fe": f"SELECT * FROM fe0 WHERE {_PERIOD}"},
 }
