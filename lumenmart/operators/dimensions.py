@@ -110,9 +110,12 @@ def professor_aliases(events: DataFrame) -> DataFrame:
 
 def dim_professors(events: DataFrame) -> DataFrame:
     """One row per cleaned name (the alias rows are in `professor_aliases`)."""
+    return professors_of(professor_aliases(events))
+
+
+def professors_of(aliases: DataFrame) -> DataFrame:
     return (
-        professor_aliases(events)
-        .groupBy("professor_sk", "docente_name_clean")
+        aliases.groupBy("professor_sk", "docente_name_clean")
         .agg(
             F.min("original_docente_string").alias("original_docente_string"),
             F.count("*").alias("name_variations"),

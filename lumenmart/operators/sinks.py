@@ -35,7 +35,11 @@ def insert_if_absent(existing: DataFrame, batch: DataFrame, key: str, order: lis
 
 
 def upsert(existing: DataFrame, batch: DataFrame, key: str, overwrite: list[str]) -> DataFrame:
-    """Table after an upsert that changes only `overwrite` on existing keys."""
+    """Table after an upsert that changes only `overwrite` on existing keys.
+
+    Repeated keys of a batch count once, or the join would repeat their rows.
+    """
+    batch = first_per_key(batch, key, [c for c in batch.columns if c != key])
     new = batch.select(F.col(key), F.struct(*batch.columns).alias("new"))
     old = existing.select(F.col(key), F.struct(*existing.columns).alias("old"))
     both = old.join(new, key, "full")
@@ -96,6 +100,10 @@ def months_of(df: DataFrame) -> list[str]:
     return sorted(NULL_MONTH if r[0] is None else r[0] for r in df.select(MONTH).distinct().collect())
 
 
+def between_months(df: DataFrame, first: str, last: str) -> DataFrame:
+    return df.where(F.col(MONTH).between(first, last))
+
+
 def only_months(df: DataFrame, months: list[str]) -> DataFrame:
     named = [m for m in months if m != NULL_MONTH]
     keep = F.col(MONTH).isin(*named) if named else F.lit(False)
@@ -129,7 +137,7 @@ def append_events(spark: SparkSession, path: str, batch: DataFrame, key: str, ts
     new = added_rows(spark, path)
     n = new.count()
     if n:
-        write_months(new, path, ts, [key])
+        write_months(new, path, ts, [ts, key])
     drop_table(spark, f"{path}__stage")
     return Loaded(size["n"], n, size["newest"])
 
@@ -139,7 +147,9 @@ def added_rows(spark: SparkSession, path: str) -> DataFrame:
     return read_table(spark, f"{path.rstrip('/')}__added")
 
 
-def delete_insert_table(spark: SparkSession, path: str, batch: DataFrame, key: str, ts: str) -> None:
+def delete_insert_table(
+    spark: SparkSession, path: str, batch: DataFrame, key: str, ts: str, sort_by: list[str] | None = None
+) -> None:
     """Delete+insert on a month-partitioned table, touched months only.
 
     Touched are the batch's months and every month that holds one of its keys
@@ -147,18 +157,19 @@ def delete_insert_table(spark: SparkSession, path: str, batch: DataFrame, key: s
     empty, since a dynamic overwrite alone would keep its old files.
     """
     stage = f"{path.rstrip('/')}__stage"
+    sort_by = sort_by or [ts, key]
     if not table_exists(spark, path):
-        write_months(batch, path, ts, [key])
+        write_months(batch, path, ts, sort_by)
         return
     old = read_table(spark, path)
     batch_months = months_of(with_month(batch, ts))
     holding = months_of(old.select(key, MONTH).join(batch.select(key), key, "left_semi"))
     touched = sorted({*batch_months, *holding})
     kept = only_months(old, touched).drop(MONTH)
-    write_months(delete_insert(kept, batch, key), stage, ts, [key], mode="overwrite")
+    write_months(delete_insert(kept, batch, key), stage, ts, sort_by, mode="overwrite")
     staged = read_table(spark, stage)
     left = set(months_of(staged))
-    write_months(staged.drop(MONTH), path, ts, [key], mode="overwrite")
+    write_months(staged.drop(MONTH), path, ts, sort_by, mode="overwrite")
     for month in touched:
         if month not in left:
             drop_table(spark, f"{path.rstrip('/')}/{MONTH}={month}")

@@ -13,6 +13,7 @@ from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lumenmart.functions import key_to_date
 from lumenmart.operators import dimensions as dims
@@ -35,6 +36,9 @@ MARTS: dict[str, Callable[[Star], DataFrame]] = {
     ),
 }
 
+# Marts whose rows depend on one event day only -> its column.
+DAILY_MARTS = {"mrt_content": "metric_date", "mrt_quality": "error_date"}
+
 # Checks that the reported client platforms cannot meet; the platform group is checked instead.
 WARN_ONLY = ("accepted_values.fct_events.platform", "accepted_values.stg_events.platform")
 
@@ -68,6 +72,9 @@ class Warehouse:
     def table(self, name: str) -> DataFrame:
         return sinks.read_table(self.spark, self.path(name))
 
+    def mart(self, name: str) -> DataFrame:
+        return self.table(name).drop(sinks.MONTH, "_day")
+
     @contextmanager
     def audited(self, stage: str) -> Iterator[dict]:
         """Run a step and note it for the run log, also when it fails."""
@@ -115,53 +122,85 @@ class Warehouse:
             versions = history.first_snapshot(users)
         sinks.replace_table(self.spark, versions, path)
 
-    def write_dimensions(self) -> None:
-        events = staging.stg_events(self.table("analytics_events").drop(sinks.MONTH))
-        users = staging.stg_users(self.table("usuarios"))
-        calendar = dims.dim_date_for(events)
+    def write_dimensions(self, new_rows: DataFrame) -> None:
+        """User and reference dimensions from their tables; what comes from events
+        grows by what the new rows add, so history is not read again."""
+        events = staging.stg_events(new_rows)
+        spans, screens, aliases = events.select("event_ts"), events.select("screen_name", "category"), dims.professor_aliases(events)
+        if sinks.table_exists(self.spark, self.path("dim_date")):
+            known = self.table("dim_date").select(F.col("full_date").cast("timestamp_ntz").alias("event_ts"))
+            spans = spans.unionByName(known)
+            screens = screens.unionByName(self.table("dim_screens").select("screen_name", F.col("feature_key").alias("category")))
+            aliases = aliases.unionByName(self.table("professor_aliases")).distinct()
+        calendar = dims.dim_date_for(spans)
         tables = {
             "dim_users": dims.dim_users(self.table("dim_users_snapshot")),
             "dim_courses": dims.dim_courses(staging.stg_disciplines(self.table("curriculo_disciplinas"))),
-            "dim_universities": dims.dim_universities(users),
-            "dim_screens": dims.dim_screens(events),
-            "dim_professors": dims.dim_professors(events),
-            "professor_aliases": dims.professor_aliases(events),
+            "dim_universities": dims.dim_universities(staging.stg_users(self.table("usuarios"))),
+            "dim_screens": dims.dim_screens(screens),
             "dim_date": calendar,
             "dim_academic_periods": dims.dim_academic_periods(calendar),
+            "professor_aliases": aliases,
         }
         together([lambda n=n, d=d: sinks.replace_table(self.spark, d, self.path(n)) for n, d in tables.items()])
+        professors = dims.professors_of(self.table("professor_aliases"))
+        sinks.replace_table(self.spark, professors, self.path("dim_professors"))
 
     def write_events_fact(self, new_rows: DataFrame) -> None:
         """Only the rows of this run; they replace facts with the same event id."""
         fact = facts.fct_events(staging.stg_events(new_rows), self.star.dim_users)
         sinks.delete_insert_table(self.spark, self.path("fct_events"), fact, "event_id", "event_ts")
 
-    def write_rollups(self, new_rows: DataFrame) -> None:
-        """Rebuild what the new rows touch: days and ratings by month, sessions by id."""
+    def write_rollups(self, new_rows: DataFrame) -> list[str]:
+        """Rebuild what the new rows touch: days and ratings by month, sessions by
+        id. Returns the touched months."""
         months = sinks.months_of(new_rows)
         touched = sinks.only_months(self.table("fct_events"), months)
         users = self.star.dim_users
 
-        def months_from(df: DataFrame, table: str, day: str) -> None:
-            stamped = df.withColumn("_day", key_to_date(day).cast("timestamp_ntz"))
-            sinks.write_months(stamped, self.path(table), "_day", [day], mode="overwrite")
-
-        def sessions() -> None:
-            ids = new_rows.select("session_id").distinct()
-            changed = self.table("fct_events").join(ids, "session_id", "left_semi")
-            rows = facts.fct_sessions(changed).withColumn("_day", key_to_date("session_start_date_sk").cast("timestamp_ntz"))
-            sinks.delete_insert_table(self.spark, self.path("fct_sessions"), rows, "session_id", "_day")
+        def months_from(df: DataFrame, table: str, sort_by: list[str]) -> None:
+            stamped = df.withColumn("_day", key_to_date("date_sk").cast("timestamp_ntz"))
+            sinks.write_months(stamped, self.path(table), "_day", sort_by, mode="overwrite")
 
         together(
             [
-                lambda: months_from(facts.fct_daily_user_activity(touched, users), "fct_daily_user_activity", "date_sk"),
-                lambda: months_from(facts.fct_ratings(touched), "fct_ratings", "date_sk"),
-                sessions,
+                lambda: months_from(
+                    facts.fct_daily_user_activity(touched, users), "fct_daily_user_activity", ["date_sk", "user_sk"]
+                ),
+                lambda: months_from(facts.fct_ratings(touched), "fct_ratings", ["date_sk", "course_sk"]),
+                lambda: self._write_sessions(new_rows),
             ]
         )
+        return months
 
-    def write_marts(self) -> None:
-        together([lambda n=n, b=b: sinks.replace_table(self.spark, b(self.star), self.path(n)) for n, b in MARTS.items()])
+    def _write_sessions(self, new_rows: DataFrame) -> None:
+        """Rebuild the sessions that got new events, from the months they reach into."""
+        ids = new_rows.select("session_id").distinct()
+        reach = new_rows.select(F.to_date("timestamp").alias("first"), F.to_date("timestamp").alias("last"))
+        path = self.path("fct_sessions")
+        if sinks.table_exists(self.spark, path):
+            stored = self.table("fct_sessions").join(ids, "session_id", "left_semi")
+            start = key_to_date("session_start_date_sk")
+            days = F.expr("cast(session_duration_seconds div 86400 as int) + 1")
+            reach = reach.unionByName(stored.select(start.alias("first"), F.date_add(start, days).alias("last")))
+        span = reach.agg(F.date_format(F.min("first"), "yyyy-MM"), F.date_format(F.max("last"), "yyyy-MM")).first()
+        events = sinks.between_months(self.table("fct_events"), *span).join(ids, "session_id", "left_semi")
+        rows = facts.fct_sessions(events).withColumn("_day", key_to_date("session_start_date_sk").cast("timestamp_ntz"))
+        sinks.delete_insert_table(self.spark, path, rows, "session_id", "_day", ["session_start_date_sk", "user_sk"])
+
+    def write_marts(self, months: list[str]) -> None:
+        """Marts with one row per event day are rebuilt for the touched months, the
+        others as a whole, since cohorts and running totals look back."""
+        recent = StoredStar(self.spark, self.root, months=months)
+
+        def by_month(name: str, day: str) -> None:
+            rows = MARTS[name](recent)
+            stamped = rows.withColumn("_day", F.col(day).cast("timestamp_ntz"))
+            sinks.write_months(stamped, self.path(name), "_day", [day], mode="overwrite")
+
+        jobs = [lambda n=n, d=d: by_month(n, d) for n, d in DAILY_MARTS.items()] if months else []
+        whole = [n for n in MARTS if n not in DAILY_MARTS]
+        together(jobs + [lambda n=n: sinks.replace_table(self.spark, MARTS[n](self.star), self.path(n)) for n in whole])
 
     def check(self, as_of: str) -> list[tuple[str, int]]:
         results = quality.dq_suite(self.star, as_of)
@@ -185,14 +224,15 @@ class Warehouse:
                 self.extract_reference(users, disciplines)
             with self.audited("transform"):
                 self.snapshot(as_of)
-                self.write_dimensions()
+                new = sinks.added_rows(self.spark, self.path("analytics_events"))
+                self.write_dimensions(new)
+                months = []
                 if loaded.added:
-                    new = sinks.added_rows(self.spark, self.path("analytics_events"))
                     self.write_events_fact(new)
-                    self.write_rollups(sinks.with_month(new, "timestamp"))
+                    months = self.write_rollups(sinks.with_month(new, "timestamp"))
             self.write_log()
             with self.audited("marts"):
-                self.write_marts()
+                self.write_marts(months)
             with self.audited("quality"):
                 self.check(as_of)
         finally:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lumenmart.functions import surrogate_key
 from lumenmart.operators import dimensions as dims
 from lumenmart.operators import facts, history, staging
-from lumenmart.operators.sinks import table_exists
+from lumenmart.operators.sinks import only_months, table_exists
 from lumenmart.sources.sample import SampleSource
 
 TABLES = (
@@ -180,9 +180,11 @@ class Star:
 class StoredStar(Star):
     """The same tables, read from where the loader wrote them."""
 
-    def __init__(self, spark: SparkSession, root: str, fixed: bool = False):
+    def __init__(self, spark: SparkSession, root: str, fixed: bool = False, months: list[str] | None = None):
         super().__init__(spark, {})
         self._root = root.rstrip("/")
+        # Facts of these months only.
+        self._months = months
         # Tables that never change again are opened once.
         self._opened: dict[str, DataFrame] | None = {} if fixed else None
 
@@ -203,4 +205,7 @@ class StoredStar(Star):
             # A loaded warehouse keeps landing tables; staging is a view on them.
             landing = {"stg_events": "analytics_events", "stg_users": "usuarios"}[name]
             return getattr(staging, name)(self.spark.read.parquet(f"{self._root}/{landing}"))
-        return self.spark.read.parquet(path).drop("event_month", "_day")
+        table = self.spark.read.parquet(path)
+        if self._months is not None and name.startswith("fct_"):
+            table = only_months(table, self._months)
+        return table.drop("event_month", "_day")
