@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenmart.operators.slots import as_of, with_neighbour
+from lumenmart.operators.slots import SLOT_SECONDS, as_of, with_neighbour
 
 TRACKED = ("university_id", "course_id", "role", "status")
 
@@ -64,7 +64,7 @@ def merge_snapshot(
 
 
 def history_from_changes(
-    changes: DataFrame, key: str, ts: str, seq: str, tracked: list[str], slot_seconds: int = 3600
+    changes: DataFrame, key: str, ts: str, seq: str, tracked: list[str], slot_seconds: int = SLOT_SECONDS
 ) -> DataFrame:
     """Version table from a change log: runs of equal states become one version.
 

@@ -11,13 +11,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# Short enough to cut up the densest keys; a sparse key has about one row per
+# slot at any width, so shorter slots cost it nothing.
+SLOT_SECONDS = 600
+
+
 def slot_of(ts: Column, seconds: int) -> Column:
     """Start of the time slot that a timestamp falls into, in microseconds."""
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ts)
     return micros - F.pmod(micros, F.lit(seconds * 1000000))
 
 
-def next_pairs(df: DataFrame, key: str, order: list[str], value: str, ts: str, slot_seconds: int = 3600) -> DataFrame:
+def next_pairs(df: DataFrame, key: str, order: list[str], value: str, ts: str, slot_seconds: int = SLOT_SECONDS) -> DataFrame:
     """(key, value, next_value) for each row that has a successor within its key."""
     d = df.select(key, *order, value, slot_of(F.col(ts), slot_seconds).alias("_slot"))
     inside = (
@@ -45,7 +50,7 @@ def with_neighbour(
     ts: str,
     out: str,
     forward: bool,
-    slot_seconds: int = 3600,
+    slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
     """Add struct `out`: `values` of the next (or previous) row of the same key.
 
@@ -78,7 +83,7 @@ def as_of(
     fact_ts: str,
     version_ts: str,
     values: list[str],
-    slot_seconds: int = 3600,
+    slot_seconds: int = SLOT_SECONDS,
 ) -> DataFrame:
     """Facts with `values` of the newest version that is not younger than the fact.
 

@@ -425,6 +425,9 @@ QUERIES: dict[str, str] = {
     "stickiness_scalar": f"""SELECT dau, active_users, {ratio('dau', 'active_users')} AS stickiness FROM (
         SELECT count(DISTINCT user_sk) FILTER (activity_date = (SELECT max(activity_date) FROM act)) AS dau,
             count(DISTINCT user_sk) AS active_users FROM act)""",
+    "sql_over_views": f"""SELECT {day_of('date_sk')} AS full_date, isodow({day_of('date_sk')}) > 5 AS is_weekend, role,
+            count(DISTINCT user_sk) AS users, sum(events_count)::BIGINT AS events
+        FROM da JOIN d_users USING (user_sk) WHERE is_current GROUP BY 1, 2, 3""",
     "latest_run": """SELECT run_id, stage, status, rows_extracted, rows_loaded::BIGINT AS rows_loaded FROM runs
         ORDER BY start_time DESC LIMIT 1""",
     "user_growth": f"""SELECT metric_date, new_users, total_users, {ratio('new_users - pn', 'pn')} AS new_users_growth_rate,

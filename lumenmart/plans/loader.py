@@ -19,7 +19,7 @@ from lumenmart.functions import key_to_date
 from lumenmart.operators import dimensions as dims
 from lumenmart.operators import facts, history, sinks, staging
 from lumenmart.plans import marts, quality
-from lumenmart.plans.star import Star, StoredStar
+from lumenmart.plans.star import PersonStar, Star, StoredStar
 from lumenmart.sources import readers
 
 MARTS: dict[str, Callable[[Star], DataFrame]] = {
@@ -199,8 +199,9 @@ class Warehouse:
             sinks.write_months(stamped, self.path(name), "_day", [day], mode="overwrite")
 
         jobs = [lambda n=n, d=d: by_month(n, d) for n, d in DAILY_MARTS.items()] if months else []
+        people = PersonStar(self.star)
         whole = [n for n in MARTS if n not in DAILY_MARTS]
-        together(jobs + [lambda n=n: sinks.replace_table(self.spark, MARTS[n](self.star), self.path(n)) for n in whole])
+        together(jobs + [lambda n=n: sinks.replace_table(self.spark, MARTS[n](people), self.path(n)) for n in whole])
 
     def check(self, as_of: str) -> list[tuple[str, int]]:
         results = quality.dq_suite(self.star, as_of)

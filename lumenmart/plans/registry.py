@@ -17,6 +17,7 @@ from lumenmart.operators.staging import stg_users
 from lumenmart.plans import marts, metrics, quality, workloads
 from lumenmart.plans.loader import MARTS, materialise
 from lumenmart.plans.star import TABLES, Star
+from lumenmart.plans.views import publish_views
 from lumenmart.session import configure, shared_dir
 from lumenmart.sources import readers
 from lumenmart.streaming import jobs
@@ -247,6 +248,22 @@ def stream_append(s: Star) -> DataFrame:
 # --- the registry ---------------------------------------------------------------------------
 
 
+def sql_over_views(s: Star) -> DataFrame:
+    """SQL as a dashboard sends it, over published views."""
+    publish_views(s, "fct_daily_user_activity", "dim_users", "dim_date")
+    return s.spark.sql(
+        """
+        SELECT d.full_date, d.is_weekend, u.role, COUNT(*) AS users, SUM(a.events_count) AS events
+        FROM fct_daily_user_activity a
+        JOIN dim_date d ON a.date_sk = d.date_sk
+        JOIN dim_users u ON a.user_sk = u.user_sk
+        WHERE u.is_current = true
+        GROUP BY d.full_date, d.is_weekend, u.role
+        ORDER BY d.full_date DESC
+        """
+    )
+
+
 def _month_routing(s: Star) -> DataFrame:
     months = s.raw_events.groupBy(month_key("timestamp").alias("event_month"))
     return months.agg(F.count("*").alias("events"), F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"))
@@ -321,6 +338,7 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "month_scan": lambda s: workloads.month_scan(s.event_rows, "2024-01-01", "2024-02-01"),
     "stickiness_scalar": lambda s: metrics.stickiness_scalar(s.fct_daily_user_activity),
     "latest_run": lambda s: workloads.latest_run(s.pipeline_runs),
+    "sql_over_views": sql_over_views,
     # catalogue metrics
     "user_growth": lambda s: metrics.user_growth(s.dim_users),
     "registration_rate": lambda s: metrics.registration_rate(s.event_rows),

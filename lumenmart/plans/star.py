@@ -28,6 +28,9 @@ TABLES = (
     "fct_sessions",
 )
 
+# Staging view -> landing table it projects.
+STAGED = {"stg_events": "analytics_events", "stg_users": "usuarios", "stg_disciplines": "curriculo_disciplinas"}
+
 
 class Star:
     """Staging, dimensions and facts over three landing tables and the run log.
@@ -191,7 +194,7 @@ class StoredStar(Star):
     def __getattribute__(self, name: str):
         if name == "event_rows":
             name = "fct_events"
-        if name in TABLES or name in ("pipeline_runs", "stg_events", "stg_users"):
+        if name in TABLES or name in ("pipeline_runs", *STAGED):
             if self._opened is None:
                 return self._stored(name)
             if name not in self._opened:
@@ -203,9 +206,61 @@ class StoredStar(Star):
         path = f"{self._root}/{name}"
         if name.startswith("stg_") and not table_exists(self.spark, path):
             # A loaded warehouse keeps landing tables; staging is a view on them.
-            landing = {"stg_events": "analytics_events", "stg_users": "usuarios"}[name]
-            return getattr(staging, name)(self.spark.read.parquet(f"{self._root}/{landing}"))
+            return getattr(staging, name)(self.spark.read.parquet(f"{self._root}/{STAGED[name]}"))
         table = self.spark.read.parquet(path)
         if self._months is not None and name.startswith("fct_"):
             table = only_months(table, self._months)
         return table.drop("event_month", "_day")
+
+
+class PersonStar(Star):
+    """Inputs of the marts where users have several versions: all versions of a
+    user count as one, under the key of the current version.
+
+    Only closed versions are looked up, so the mapping has one row per past
+    change, and facts of unchanged users keep their key.
+    """
+
+    def __init__(self, star: Star):
+        super().__init__(star.spark, {})
+        self._star = star
+
+    def _by_person(self, fact: DataFrame) -> DataFrame:
+        versions = self._star.dim_users
+        current = versions.where("is_current").select("user_id", F.col("user_sk").alias("_person"))
+        closed = versions.where("NOT is_current").select("user_id", "user_sk").join(current, "user_id")
+        mapped = fact.join(closed.select("user_sk", "_person"), "user_sk", "left")
+        return mapped.withColumn("user_sk", F.coalesce("_person", "user_sk")).drop("_person")
+
+    @cached_property
+    def dim_users(self) -> DataFrame:
+        return self._star.dim_users.where("is_current")
+
+    @cached_property
+    def fct_events(self) -> DataFrame:
+        return self._by_person(self._star.fct_events)
+
+    @cached_property
+    def event_rows(self) -> DataFrame:
+        return self._star.event_rows
+
+    @cached_property
+    def fct_daily_user_activity(self) -> DataFrame:
+        days = self._by_person(self._star.fct_daily_user_activity).groupBy("date_sk", "user_sk")
+        return days.agg(
+            F.max("university_sk").alias("university_sk"),
+            F.sum("events_count").alias("events_count"),
+            F.max("has_completed_core_action").alias("has_completed_core_action"),
+        )
+
+    @cached_property
+    def fct_ratings(self) -> DataFrame:
+        return self._by_person(self._star.fct_ratings)
+
+    @cached_property
+    def fct_sessions(self) -> DataFrame:
+        return self._by_person(self._star.fct_sessions)
+
+    @cached_property
+    def pipeline_runs(self) -> DataFrame:
+        return self._star.pipeline_runs

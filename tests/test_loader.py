@@ -32,9 +32,9 @@ def test_two_loads_and_a_repeat(spark, star, tmp_path):
     assert runs.where("stage = 'extract'").agg(F.sum("rows_loaded")).first()[0] == total
     for name in MARTS:
         assert w.mart(name).count() > 0
-    # Built month by month or at once: the same rows.
-    for name in ("mrt_quality", "mrt_content"):
-        assert sorted(map(tuple, w.mart(name).collect())) == sorted(map(tuple, mart(star, name).collect()))
+    # Built month by month or at once, and with one or two versions per user: the same rows.
+    for name in set(MARTS) - {"mrt_data_engineering"}:
+        assert sorted(map(str, w.mart(name).collect())) == sorted(map(str, mart(star, name).collect())), name
     for table in ("dim_date", "dim_screens", "dim_professors", "dim_academic_periods"):
         assert sorted(map(tuple, w.table(table).collect())) == sorted(map(tuple, getattr(star, table).collect()))
     assert sorted(w.table("fct_sessions").select("session_id", "session_duration_seconds").collect()) == sorted(
