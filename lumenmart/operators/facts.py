@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from lumenmart.functions import (
     UNKNOWN_SK,
     clean_name,
-    json_field,
-    json_int,
     seconds_between,
     surrogate_key,
 )
@@ -19,6 +17,8 @@ from lumenmart.sources.contract import COLD_START_EVENTS, CORE_ACTIONS, DEFAULT_
 # Payload fields that dimension keys are made of.
 KEY_FIELDS = "course_id string, discipline_id string, academic_period string, ano_periodo string, docente string"
 
+SCORE_FIELDS = "dificuldade string, esforco string, passou string"
+
 
 def is_known(sk: str) -> Column:
     return F.col(sk) != UNKNOWN_SK
@@ -132,22 +132,23 @@ def fct_daily_user_activity(
 
 def fct_ratings(events: DataFrame) -> DataFrame:
     """One row per rating event; absent or unreadable scores get the middle value."""
-    passed = F.lower(json_field("payload_json", "passou"))
-    passed = F.when(passed == "true", 1).when(passed == "false", 0).otherwise(passed.try_cast("int"))
     unknown = F.lit(UNKNOWN_SK).cast("bigint")
-    return events.where(F.col("event_name").isin(*RATING_EVENTS)).select(
-        "event_sk",
+    ratings = events.where(F.col("event_name").isin(*RATING_EVENTS)).withColumn("_p", F.from_json("payload_json", SCORE_FIELDS))
+    passed = F.lower("_p.passou")
+    passed = F.when(passed == "true", 1).when(passed == "false", 0).otherwise(passed.try_cast("int"))
+    return ratings.select(
+        F.col("event_sk").alias("rating_sk"),
         F.col("event_id").alias("rating_id"),
         F.col("event_date_sk").alias("date_sk"),
         "user_sk",
         F.coalesce("course_sk", unknown).alias("course_sk"),
         "professor_sk",
         F.coalesce("period_sk", unknown).alias("period_sk"),
-        F.coalesce(json_int("payload_json", "dificuldade"), F.lit(3)).alias("dificuldade"),
-        F.coalesce(json_int("payload_json", "esforco"), F.lit(3)).alias("esforco"),
+        F.coalesce(F.col("_p.dificuldade").try_cast("int"), F.lit(3)).alias("dificuldade"),
+        F.coalesce(F.col("_p.esforco").try_cast("int"), F.lit(3)).alias("esforco"),
         F.coalesce(passed, F.lit(1)).alias("passou"),
         F.col("event_ts").alias("rating_ts"),
-    ).withColumnRenamed("event_sk", "rating_sk")
+    )
 
 
 def fct_sessions(events: DataFrame, cold_starts: tuple[str, ...] = COLD_START_EVENTS) -> DataFrame:

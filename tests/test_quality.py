@@ -95,3 +95,16 @@ def test_payload_types(spark):
     )
     got = sorted((r["event_name"], r["field"]) for r in quality.unknown_payload_types(df).collect())
     assert got == [("discipline_rated", "passou"), ("search_performed", "query_length")]
+
+
+def test_rating_scores_with_odd_payloads(spark):
+    from lumenmart.operators.facts import fct_ratings
+
+    payloads = ['{"dificuldade": 4, "esforco": "2", "passou": true}', '{"dificuldade": "x", "passou": 0}', "{broken", '{"passou": "false"}', "{}"]
+    df = spark.createDataFrame([(str(i), p) for i, p in enumerate(payloads)], "event_id string, payload_json string").selectExpr(
+        "1L AS event_sk", "event_id", "20260101 AS event_date_sk", "1L AS user_sk", "cast(null as bigint) AS course_sk",
+        "cast(null as bigint) AS professor_sk", "7L AS period_sk", "'professor_rated' AS event_name", "payload_json",
+        "timestamp_ntz'2026-01-01 00:00:00' AS event_ts",
+    )
+    got = [(r["dificuldade"], r["esforco"], r["passou"], r["course_sk"]) for r in fct_ratings(df).orderBy("rating_id").collect()]
+    assert got == [(4, 2, 1, -1), (3, 3, 0, -1), (3, 3, 1, -1), (3, 3, 0, -1), (3, 3, 1, -1)]
