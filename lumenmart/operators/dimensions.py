@@ -136,16 +136,16 @@ def resolve_professors(professors: DataFrame) -> DataFrame:
     """
     name = F.col("docente_name_clean")
     folded = F.lower(name)
-    forms = F.transform(
-        F.sequence(F.lit(1), F.length(folded)),
-        lambda i: F.struct(
-            i.alias("at"), F.concat(F.substring(folded, F.lit(1), i - 1), F.substring(folded, i + 1, F.length(folded))).alias("form")
-        ),
-    )
-    cut = professors.select(name, F.explode(forms).alias("f")).select("docente_name_clean", "f.at", "f.form")
-    shorter = cut.select(name, F.lit(0).alias("at"), "form").distinct()
-    full = professors.select(name, F.lit(-1).alias("at"), folded.alias("form"))
-    emitted = cut.unionByName(shorter).unionByName(full)
+
+    def without(i: Column) -> Column:
+        return F.concat(F.substring(folded, F.lit(1), i - 1), F.substring(folded, i + 1, F.length(folded)))
+
+    letters = F.sequence(F.lit(1), F.greatest(F.length(folded), F.lit(1)))
+    same_length = F.transform(letters, lambda i: F.struct(i.alias("at"), without(i).alias("form")))
+    shorter = F.transform(letters, lambda i: F.struct(F.lit(0).alias("at"), without(i).alias("form")))
+    full = F.array(F.struct(F.lit(-1).alias("at"), folded.alias("form")))
+    emitted = professors.select(name, F.explode(F.concat(same_length, F.array_distinct(shorter), full)).alias("f"))
+    emitted = emitted.select("docente_name_clean", "f.at", "f.form")
 
     # at > 0: same length; at = 0 and -1: shorter forms and full names, compared with each other.
     group = F.greatest("at", F.lit(0))

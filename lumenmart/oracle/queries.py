@@ -544,8 +544,8 @@ QUERIES: dict[str, str] = {
     "dq_suite": _suite(),
     "dq_future_events": "SELECT event_id, event_name, event_ts FROM fe WHERE event_ts > TIMESTAMP '2024-01-20 00:05:00'",
     "dq_repeated_ids": "SELECT id, count(*) AS occurrence_count FROM deliveries GROUP BY 1 HAVING count(*) > 1",
-    "dq_orphan_courses": """SELECT course_sk, count(*) AS rows FROM fr
-        WHERE course_sk NOT IN (SELECT course_sk FROM d_courses WHERE creditos <> 5) GROUP BY 1""",
+    "dq_orphan_customers": """SELECT o_custkey, count(*) AS rows FROM orders
+        WHERE o_custkey NOT IN (SELECT user_id FROM events) GROUP BY 1""",
     "dq_metric_bounds": f"""SELECT 'stickiness' AS metric, activity_date AS metric_date, stickiness_dau_mau AS value
             FROM ({ENGAGEMENT}) WHERE stickiness_dau_mau NOT BETWEEN 0 AND 1
         UNION ALL SELECT 'avg_dificuldade', metric_date, avg_dificuldade FROM ({content()})

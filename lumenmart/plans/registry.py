@@ -382,8 +382,8 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "dq_suite": lambda s: quality.dq_suite(materialise(s, shared_dir(s.spark, "dq")), AS_OF),
     "dq_future_events": lambda s: quality.future_events(s.event_rows, "2024-01-20 00:00:00"),
     "dq_repeated_ids": lambda s: quality.repeated_keys(s.sample.deliveries(), "id"),
-    "dq_orphan_courses": lambda s: quality.orphan_keys(
-        s.fct_ratings, "course_sk", s.dim_courses.where(F.col("creditos") != 5), "course_sk"
+    "dq_orphan_customers": lambda s: quality.orphan_keys(
+        s.sample.table("orders"), "o_custkey", s.sample.table("events"), "user_id"
     ),
     "dq_metric_bounds": lambda s: quality.metric_bounds(mart(s, "mrt_engagement"), mart(s, "mrt_content")),
     "event_contract": lambda s: quality.contract_summary(quality.check_contract(s.raw_events)),

@@ -149,10 +149,13 @@ class SampleSource:
         )
 
     def operational_enrolments(self) -> DataFrame:
-        """Enrolments; one user in five has none, so the join must keep users."""
+        """Enrolments; one user in five has neither an institution nor a course yet."""
         key = F.col("c_custkey")
-        return self.table("customer").where(key % 5 != 4).select(
-            key.alias("usuario_id"), F.col("c_nationkey").alias("faculdade_id"), (key % 100).alias("curso_id")
+        enrolled = key % 5 != 4
+        return self.table("customer").select(
+            key.alias("usuario_id"),
+            F.when(enrolled, F.col("c_nationkey")).alias("faculdade_id"),
+            F.when(enrolled, key % 100).alias("curso_id"),
         )
 
     def operational_disciplines(self) -> DataFrame:

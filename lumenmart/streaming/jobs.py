@@ -145,7 +145,9 @@ def run_append(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return run_batches(raw, load, checkpoint)
 
 
-def run_delete_insert(raw: DataFrame, path: str, checkpoint: str, key: str, ts: str, shape: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+def run_delete_insert(
+    raw: DataFrame, path: str, checkpoint: str, key: str, ts: str, shape: Callable[[DataFrame], DataFrame]
+) -> StreamingQuery:
     """Each batch replaces the rows that have its keys."""
     spark = raw.sparkSession
 

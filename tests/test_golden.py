@@ -125,7 +125,8 @@ def test_snapshot_merge(spark):
 
 
 def test_version_at(spark):
-    log = spark.createDataFrame([(42, T1, 1, "Aluno"), (42, T2, 3, "Coordenador")], "user_id bigint, ts timestamp_ntz, seq bigint, role string")
+    changes = [(42, T1, 1, "Aluno"), (42, T2, 3, "Coordenador")]
+    log = spark.createDataFrame(changes, "user_id bigint, ts timestamp_ntz, seq bigint, role string")
     versions = history.history_from_changes(log, "user_id", "ts", "seq", ["role"])
     moments = [(1, T1 - timedelta(seconds=1)), (2, T1), (3, T2 - timedelta(seconds=1)), (4, T2), (5, T2 + timedelta(days=99))]
     facts = spark.createDataFrame([(i, 42, t) for i, t in moments] + [(6, 7, T2)], "id int, user_id bigint, at timestamp_ntz")

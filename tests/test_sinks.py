@@ -100,7 +100,9 @@ def test_watermarks(spark, tmp_path):
 def test_run_log(spark, tmp_path):
     path = str(tmp_path / "runs")
     start, end = datetime(2026, 1, 1, 12), datetime(2026, 1, 1, 12, 0, 2, 450000)
-    sinks.log_runs(spark, path, [sinks.Run("load", "sample", "extract", start, end, 488, 480), sinks.Run("load", "sample", "gate", start, end, status="FAILED", error="x")])
+    extract = sinks.Run("load", "sample", "extract", start, end, 488, 480)
+    failed = sinks.Run("load", "sample", "gate", start, end, status="FAILED", error="x")
+    sinks.log_runs(spark, path, [extract, failed])
     sinks.log_runs(spark, path, [])
     got = {r["stage"]: r for r in sinks.read_table(spark, path).collect()}
     assert float(got["extract"]["duration_seconds"]) == 2.45

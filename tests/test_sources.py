@@ -72,7 +72,8 @@ def test_operational_users_leave_personal_columns_out(spark):
 
 
 def test_operational_disciplines(spark):
-    d = spark.createDataFrame([(7, " ", None, None), (8, "MAT1", "Calculo", 90)], "id bigint, codigo string, nome string, carga_horaria int")
+    rows = [(7, " ", None, None), (8, "MAT1", "Calculo", 90)]
+    d = spark.createDataFrame(rows, "id bigint, codigo string, nome string, carga_horaria int")
     assert [tuple(r) for r in readers.disciplines_from_operational(d).orderBy("id_disciplina").collect()] == [
         (7, "DISC7", "Disciplina 7", 4, 60),
         (8, "MAT1", "Calculo", 4, 90),
