@@ -115,46 +115,51 @@ class Loaded:
     extracted: int
     added: int
     newest: datetime | None
+    months: list[str]
 
 
 def append_events(spark: SparkSession, path: str, batch: DataFrame, key: str, ts: str) -> Loaded:
     """Idempotent append of the rows whose key is not stored yet.
 
-    The batch goes to a staging folder first, so its size, its newest time and
-    the rows to add all come from one reading of the source; the rows to add
-    are staged too (`<path>__added`, for the steps that follow). A retry carries
-    the same timestamp, hence only the months of the batch are searched.
+    The batch goes to a staging folder first, so its size, its newest time, its
+    months and the rows to add all come from one reading of the source. A retry
+    carries the same timestamp, hence only the months of the batch are searched.
     """
     path = path.rstrip("/")
-    with_month(batch, ts).write.mode("overwrite").parquet(f"{path}__stage")
-    staged = read_table(spark, f"{path}__stage")
+    stage, fresh = f"{path}__stage", f"{path}__added"
+    with_month(batch, ts).write.mode("overwrite").parquet(stage)
+    staged = read_table(spark, stage)
     size = staged.agg(F.count("*").alias("n"), F.max(ts).alias("newest")).first()
+    months = months_of(staged) if size["n"] else []
     known = staged.select(key).limit(0)
-    if size["n"] and table_exists(spark, path):
-        known = only_months(read_table(spark, path), months_of(staged)).select(key)
+    if months and table_exists(spark, path):
+        known = only_months(read_table(spark, path), months).select(key)
     order = [ts, *[c for c in batch.columns if c not in (key, ts)]]
-    insert_if_absent(known, staged.drop(MONTH), key, order).write.mode("overwrite").parquet(f"{path}__added")
-    new = added_rows(spark, path)
+    insert_if_absent(known, staged.drop(MONTH), key, order).write.mode("overwrite").parquet(fresh)
+    new = read_table(spark, fresh)
     n = new.count()
     if n:
         write_months(new, path, ts, [ts, key])
-    drop_table(spark, f"{path}__stage")
-    return Loaded(size["n"], n, size["newest"])
-
-
-def added_rows(spark: SparkSession, path: str) -> DataFrame:
-    """The rows that the last append of a table added."""
-    return read_table(spark, f"{path.rstrip('/')}__added")
+    drop_table(spark, stage)
+    drop_table(spark, fresh)
+    return Loaded(size["n"], n, size["newest"], months)
 
 
 def delete_insert_table(
-    spark: SparkSession, path: str, batch: DataFrame, key: str, ts: str, sort_by: list[str] | None = None
+    spark: SparkSession,
+    path: str,
+    batch: DataFrame,
+    key: str,
+    ts: str,
+    sort_by: list[str] | None = None,
+    keys_may_move: bool = True,
 ) -> None:
     """Delete+insert on a month-partitioned table, touched months only.
 
     Touched are the batch's months and every month that holds one of its keys
-    (a corrected event may have moved). A month left without rows is rewritten
-    empty, since a dynamic overwrite alone would keep its old files.
+    (a corrected event may have moved). A month left without rows is dropped,
+    since a dynamic overwrite alone would keep its old files. Where a key always
+    keeps its month, `keys_may_move=False` saves the search through the table.
     """
     stage = f"{path.rstrip('/')}__stage"
     sort_by = sort_by or [ts, key]
@@ -163,7 +168,7 @@ def delete_insert_table(
         return
     old = read_table(spark, path)
     batch_months = months_of(with_month(batch, ts))
-    holding = months_of(old.select(key, MONTH).join(batch.select(key), key, "left_semi"))
+    holding = months_of(old.select(key, MONTH).join(batch.select(key), key, "left_semi")) if keys_may_move else []
     touched = sorted({*batch_months, *holding})
     kept = only_months(old, touched).drop(MONTH)
     write_months(delete_insert(kept, batch, key), stage, ts, sort_by, mode="overwrite")

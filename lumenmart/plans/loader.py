@@ -101,6 +101,22 @@ class Warehouse:
         batch = readers.incremental(events, self.watermarks.get(source), full_refresh, limit, self.lookback_days)
         return sinks.append_events(self.spark, self.path("analytics_events"), batch, "id", "timestamp")
 
+    def pending(self, months: list[str]) -> DataFrame:
+        """Landing rows that the fact does not have yet, kept in a table until the
+        run is complete: a run that was cut short leaves its rows here, and the
+        next one takes them through all steps again."""
+        path = self.path("pending_events")
+        landed = sinks.only_months(self.table("analytics_events"), months)
+        if sinks.table_exists(self.spark, self.path("fct_events")):
+            done = sinks.only_months(self.table("fct_events"), months).select(F.col("event_id").alias("id"))
+            landed = landed.join(done, "id", "left_anti").select(*landed.columns)
+        rows = landed.drop(sinks.MONTH)
+        if sinks.table_exists(self.spark, path):
+            left_over = self.table("pending_events")
+            rows = rows.join(left_over.select("id"), "id", "left_anti").select(*rows.columns).unionByName(left_over)
+        sinks.replace_table(self.spark, rows, path)
+        return self.table("pending_events")
+
     def extract_reference(self, users: DataFrame, disciplines: DataFrame) -> None:
         path = self.path("usuarios")
         if sinks.table_exists(self.spark, path):
@@ -149,7 +165,7 @@ class Warehouse:
     def write_events_fact(self, new_rows: DataFrame) -> None:
         """Only the rows of this run; they replace facts with the same event id."""
         fact = facts.fct_events(staging.stg_events(new_rows), self.star.dim_users)
-        sinks.delete_insert_table(self.spark, self.path("fct_events"), fact, "event_id", "event_ts")
+        sinks.delete_insert_table(self.spark, self.path("fct_events"), fact, "event_id", "event_ts", keys_may_move=False)
 
     def write_rollups(self, new_rows: DataFrame) -> list[str]:
         """Rebuild what the new rows touch: days and ratings by month, sessions by
@@ -225,10 +241,10 @@ class Warehouse:
                 self.extract_reference(users, disciplines)
             with self.audited("transform"):
                 self.snapshot(as_of)
-                new = sinks.added_rows(self.spark, self.path("analytics_events"))
+                new = self.pending(loaded.months)
                 self.write_dimensions(new)
                 months = []
-                if loaded.added:
+                if new.limit(1).count():
                     self.write_events_fact(new)
                     months = self.write_rollups(sinks.with_month(new, "timestamp"))
             self.write_log()
@@ -238,6 +254,7 @@ class Warehouse:
                 self.check(as_of)
         finally:
             self.write_log()
+        sinks.drop_table(self.spark, self.path("pending_events"))
         if loaded.newest is not None:
             self.watermarks.update(f"events_{self.lane}", loaded.newest.isoformat() + "+00:00")
         return loaded

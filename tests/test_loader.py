@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from lumenmart.plans.loader import MARTS, Warehouse
@@ -43,15 +44,28 @@ def test_two_loads_and_a_repeat(spark, star, tmp_path):
     assert w.table("quality_results").where("failures > 0").count() == 2  # raw platform names, warnings only
 
 
-def test_failed_step_is_logged(spark, star, tmp_path):
+def test_cut_short_run_is_completed_by_the_next(spark, star, tmp_path, monkeypatch):
     w = Warehouse(spark, str(tmp_path / "wh"))
     src = star.sample
-    try:
-        w.run(src.analytics_events(), src.usuarios().drop("perfil"), src.curriculo_disciplinas(), "2024-02-01 00:00:00")
-        raise AssertionError("should fail")
-    except Exception as e:
-        assert "should fail" not in str(e)
+    inputs = (src.analytics_events(), src.usuarios(), src.curriculo_disciplinas(), "2024-02-01 00:00:00")
+    write = w.write_rollups
+
+    def lost(rows):
+        raise RuntimeError("machine lost")
+
+    monkeypatch.setattr(w, "write_rollups", lost)
+    with pytest.raises(RuntimeError, match="machine lost"):
+        w.run(*inputs)
     got = {r["stage"]: r["status"] for r in w.table("pipeline_runs").collect()}
-    assert got["extract"] == "SUCCESS" and "FAILED" in got.values()
-    # The watermark did not move, so the next run reads the same events again.
+    assert got == {"extract": "SUCCESS", "reference": "SUCCESS", "transform": "FAILED"}
+    # Landing and facts are written, the rollups are not, and the watermark has not moved.
+    assert w.table("fct_events").count() == star.raw_events.count()
     assert w.watermarks.get("events_sample").startswith("1970")
+
+    monkeypatch.setattr(w, "write_rollups", write)
+    again = w.run(*inputs)
+    assert again.added == 0
+    assert w.table("fct_events").count() == star.raw_events.count()
+    assert w.table("fct_sessions").count() == star.fct_sessions.count()
+    assert sorted(map(str, w.mart("mrt_engagement").collect())) == sorted(map(str, mart(star, "mrt_engagement").collect()))
+    assert w.watermarks.get("events_sample").startswith("2024-01-30")

@@ -42,7 +42,8 @@ def test_append_twice_adds_nothing(spark, tmp_path):
     assert [r[0] for r in content(spark, path)] == ["a", "b", "c"]
     assert content(spark, path)[1][2] == 2  # the stored row wins
     nothing = sinks.append_events(spark, path, b.where("false"), "id", "ts")
-    assert (nothing.extracted, nothing.added, nothing.newest) == (0, 0, None)
+    assert (nothing.extracted, nothing.added, nothing.newest, nothing.months) == (0, 0, None, [])
+    assert first.months == ["2026-01", "2026-02"] and sorted(os.listdir(tmp_path)) == ["t"]
 
 
 def test_delete_insert_moves_rows_between_months(spark, tmp_path):
