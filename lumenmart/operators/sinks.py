@@ -67,8 +67,11 @@ def _path(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Also brings back the previous table when a swap was cut short."""
+    path = path.rstrip("/")
     fs, p = _path(spark, path)
-    return fs.exists(p)
+    _, old = _path(spark, f"{path}__old")
+    return fs.exists(p) or (fs.exists(old) and fs.rename(old, p))
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
@@ -186,9 +189,9 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str, *partition_by:
     path = path.rstrip("/")
     fresh, old = f"{path}__next", f"{path}__old"
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(fresh)
-    drop_table(spark, old)
     fs, target = _path(spark, path)
-    if fs.exists(target):
+    if table_exists(spark, path):
+        drop_table(spark, old)
         fs.rename(target, _path(spark, old)[1])
     fs.rename(_path(spark, fresh)[1], target)
     drop_table(spark, old)

@@ -85,6 +85,15 @@ def test_replace_table_reading_itself(spark, tmp_path):
     assert sorted(os.listdir(tmp_path)) == ["t"]
 
 
+def test_swap_cut_short(spark, tmp_path):
+    path = str(tmp_path / "t")
+    assert not sinks.table_exists(spark, path)
+    sinks.replace_table(spark, spark.range(5), path)
+    os.rename(path, path + "__old")  # as if lost between the two renames
+    assert sinks.table_exists(spark, path)
+    assert sinks.read_table(spark, path).count() == 5
+
+
 def test_watermarks(spark, tmp_path):
     w = sinks.Watermarks(spark, str(tmp_path / "w"))
     assert w.get("events") == EPOCH
