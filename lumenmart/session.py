@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -48,16 +50,29 @@ def local_session(cores: int | str = "*", app: str = "lumenmart", memory: str =
     return configure(spark)
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``.
+_fallback_root: dict[str, str] = {}
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, read from the session.
 
-    The setting is read from the session. Only a local session may fall back to
-    a temporary folder: on a cluster that would be invisible to other machines.
+    Only a local session may do without the setting or name a folder of the
+    machine: on a cluster such a folder would be invisible to other machines.
+    A local session without the setting gets one temporary folder, which goes
+    when the process ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
-        root = tempfile.mkdtemp(prefix="lumenmart-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if root:
+        return root.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
+    app = spark.sparkContext.applicationId
+    if app not in _fallback_root:
+        _fallback_root[app] = tempfile.mkdtemp(prefix="lumenmart-")
+        atexit.register(shutil.rmtree, _fallback_root[app], ignore_errors=True)
+    return _fallback_root[app]
+
+
+def shared_dir(spark: SparkSession, name: str) -> str:
+    """The name of a fresh folder below ``shared_root``."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
