@@ -8,11 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.llm import bpe, simhash, token_files
-from lumenmart.llm.common import table
+from lumenmart.llm import bpe, quality, simhash, token_files
+from lumenmart.llm.common import held_out, table
 from lumenmart.session import shared_dir
 
 
+def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = quality.fit(docs, table(spark, sf_dir, "labels").where(~out))
+    scored = quality.with_quality(docs, model, threshold=0.3)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op3_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=2)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
@@ -40,6 +48,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_neighbours": op1_quality_neighbours,
     "op3_simhash_anchors": op3_simhash_anchors,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_token_files": op10_token_files,
