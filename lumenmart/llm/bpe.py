@@ -79,7 +79,7 @@ def _segments(model: bytes, pattern: str) -> Segments:
         one = whole.get(piece)
         return np.array([one] if one is not None else sp.encode(piece), dtype="<i4").tobytes()
 
-    memo = Memo(ids, 200_000)
+    memo = Memo(ids, 100_000)
     return Segments(lambda text: b"".join([memo[p] for p in find(text)]))
 
 

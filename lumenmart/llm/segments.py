@@ -18,7 +18,7 @@ import pyarrow as pa
 
 _RUN = re.compile(r"\s[ \n]|[ \n]\s")
 #: Pieces that a process keeps; the memo starts anew beyond it, which costs time only.
-MEMO_PIECES = 500_000
+MEMO_PIECES = 200_000
 
 
 class Memo(dict):
@@ -41,7 +41,7 @@ class Segments:
 
     def __init__(self, piece: Callable[[str], bytes]):
         self.piece = piece
-        self.first = Memo(piece)
+        self.first = Memo(piece, MEMO_PIECES // 4)
         self.spaced = Memo(lambda p: piece(" " + p))
         self.line_break = piece("\n")
 

@@ -48,7 +48,7 @@ def _segments(tokenizer_json: str) -> Segments:
     # Each pre-token is encoded once here, so the library's own cache of merges only costs time.
     getattr(tokenizer.model, "_resize_cache", lambda _: None)(1)
     merge, cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
-    memo = Memo(lambda p: np.array([t.id for t in merge(p)], dtype="<i4").tobytes(), 200_000)
+    memo = Memo(lambda p: np.array([t.id for t in merge(p)], dtype="<i4").tobytes(), 100_000)
 
     def piece(text: str) -> bytes:
         if len(text) > 200:
