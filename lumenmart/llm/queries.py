@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.llm import bpe, quality, simhash, token_files
+from lumenmart.llm import bpe, quality, simhash, token_files, toxicity
 from lumenmart.llm.common import held_out, table
 from lumenmart.session import shared_dir
 
@@ -26,6 +26,14 @@ def op3_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = held_out(F.col("doc_id"), 5, 0)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~out))
+    scored = toxicity.with_toxicity(docs, model, threshold=0.5)
+    return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -50,6 +58,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_neighbours": op1_quality_neighbours,
     "op3_simhash_anchors": op3_simhash_anchors,
+    "op5_toxicity_automata": op5_toxicity_automata,
     "op7_byte_bpe": op7_byte_bpe,
     "op10_token_files": op10_token_files,
 }
