@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.llm import bpe, quality, simhash, token_files, toxicity
+from lumenmart.llm import bpe, quality, rules, simhash, token_files, toxicity
 from lumenmart.llm.common import held_out, table
 from lumenmart.session import shared_dir
 
@@ -46,6 +46,12 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    verdict = rules.outliers(table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text"))
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return verdict.select(*names, F.round("distance", 3).alias("distance"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
@@ -60,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_anchors": op3_simhash_anchors,
     "op5_toxicity_automata": op5_toxicity_automata,
     "op7_byte_bpe": op7_byte_bpe,
+    "op8_robust_outliers": op8_robust_outliers,
     "op10_token_files": op10_token_files,
 }
 ORACLE_SQL: dict[str, str] = {}
