@@ -19,12 +19,11 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenmart.llm.segments import Memo, Segments, id_lists
+from lumenmart.llm.segments import Segments, id_bytes, id_lists
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -74,13 +73,12 @@ def _segments(model: bytes, pattern: str) -> Segments:
     whole = {sp.id_to_piece(i): i for i in range(sp.get_piece_size() - 1)}
     find = regex.compile(pattern).findall
 
-    def ids(pre_token: str) -> bytes:
+    def merge(pre_token: str) -> bytes:
         piece = pre_token.encode().decode("latin-1").translate(letters)
         one = whole.get(piece)
-        return np.array([one] if one is not None else sp.encode(piece), dtype="<i4").tobytes()
+        return id_bytes([one] if one is not None else sp.encode(piece))
 
-    memo = Memo(ids, 100_000)
-    return Segments(lambda text: b"".join([memo[p] for p in find(text)]))
+    return Segments(find, merge)
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", result: str = "ids") -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.llm import bpe, quality, rules, simhash, token_files, toxicity
+from lumenmart.llm import bpe, quality, rules, simhash, token_files, toxicity, vectors
 from lumenmart.llm.common import held_out, table
 from lumenmart.session import shared_dir
 
@@ -26,6 +26,10 @@ def op3_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_inverted_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op5_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = held_out(F.col("doc_id"), 5, 0)
@@ -64,6 +68,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_neighbours": op1_quality_neighbours,
     "op3_simhash_anchors": op3_simhash_anchors,
+    "op4_inverted_multi_index": op4_inverted_multi_index,
     "op5_toxicity_automata": op5_toxicity_automata,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_robust_outliers": op8_robust_outliers,

@@ -5,45 +5,62 @@ of white space. So a text may be cut before every space and around every line
 break whose neighbours are not white space, and the pieces encoded on their
 own. Pieces repeat a lot, so each process encodes a piece once and keeps its
 ids as little-endian 32-bit integers. Texts with longer runs of white space
-are encoded in one go.
+are cut by the tokenizer's own pattern as a whole.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
 
 _RUN = re.compile(r"\s[ \n]|[ \n]\s")
-#: Pieces that a process keeps; the memo starts anew beyond it, which costs time only.
-MEMO_PIECES = 200_000
+#: A Latin word and the punctuation after it are two pre-tokens, found here without the pattern.
+_WORD = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)").fullmatch
+#: Pieces that a process keeps, twice: those in use and those of the generation before.
+MEMO_PIECES = 150_000
 
 
 class Memo(dict):
-    """A dictionary that makes missing values and has a bounded size."""
+    """A dictionary that makes missing values. Of the last ``most`` values and as many before, those in use are kept."""
 
     def __init__(self, make: Callable, most: int = MEMO_PIECES):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.old = make, most, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.old.get(key, self)
+        if value is self:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
         self[key] = value
         return value
 
 
+def id_bytes(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}i", *ids)
+
+
 class Segments:
-    """``encode(text)`` gives the ids' bytes; ``piece`` encodes any text exactly."""
+    """``encode(text)`` gives the ids' bytes, from ``cut`` (text to pre-tokens) and ``merge`` (pre-token to ids' bytes)."""
+
+    def __init__(self, cut: Callable[[str], list[str]], merge: Callable[[str], bytes], most: int = MEMO_PIECES):
+        self.cut = cut
+        self.pre_token = Memo(merge, most)
+        self.first = Memo(self.piece, most // 4)
+        self.spaced = Memo(lambda p: self.piece(" " + p), most)
+        self.line_break = self.piece("\n")
 
-    def __init__(self, piece: Callable[[str], bytes]):
-        self.piece = piece
-        self.first = Memo(piece, MEMO_PIECES // 4)
-        self.spaced = Memo(lambda p: piece(" " + p))
-        self.line_break = piece("\n")
+    def piece(self, text: str) -> bytes:
+        known = self.pre_token
+        if word := _WORD(text):
+            return known[word[1]] + known[word[2]] if word[2] else known[word[1]]
+        return b"".join([known[p] for p in self.cut(text)])
 
     def encode(self, text: str) -> bytes:
         if _RUN.search(text):

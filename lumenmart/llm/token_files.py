@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from lumenmart.llm.segments import Memo, Segments, id_lists
+from lumenmart.llm.bpe import byte_letters
+from lumenmart.llm.segments import MEMO_PIECES, Segments, id_bytes, id_lists
 
 #: ORC layout: row groups of 1,000 documents, stripes of 32 MB.
 LAYOUT = {
@@ -47,15 +48,16 @@ def _segments(tokenizer_json: str) -> Segments:
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     # Each pre-token is encoded once here, so the library's own cache of merges only costs time.
     getattr(tokenizer.model, "_resize_cache", lambda _: None)(1)
-    merge, cut = tokenizer.model.tokenize, tokenizer.pre_tokenizer.pre_tokenize_str
-    memo = Memo(lambda p: np.array([t.id for t in merge(p)], dtype="<i4").tobytes(), 100_000)
+    letters = str.maketrans(byte_letters())
+    model, pre = tokenizer.model, tokenizer.pre_tokenizer
 
-    def piece(text: str) -> bytes:
-        if len(text) > 200:
-            return np.array(tokenizer.encode(text, add_special_tokens=False).ids, dtype="<i4").tobytes()
-        return b"".join([memo[p] for p, _ in cut(text)])
+    def merge(pre_token: str) -> bytes:
+        return id_bytes([t.id for t in model.tokenize(pre_token.encode().decode("latin-1").translate(letters))])
 
-    return Segments(piece)
+    def cut(text: str) -> list[str]:
+        return [text[a:b] for _, (a, b) in pre.pre_tokenize_str(text)]
+
+    return Segments(cut, merge, 2 * MEMO_PIECES)
 
 
 def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
