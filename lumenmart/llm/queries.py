@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.llm import bpe, quality, rules, simhash, token_files, toxicity, vectors
+from lumenmart.llm import bpe, lines, quality, rules, simhash, token_files, toxicity, vectors
 from lumenmart.llm.common import held_out, table
 from lumenmart.session import shared_dir
 
@@ -56,6 +56,11 @@ def op8_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdict.select(*names, F.round("distance", 3).alias("distance"))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
     token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
@@ -72,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_toxicity_automata": op5_toxicity_automata,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_robust_outliers": op8_robust_outliers,
+    "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
 }
 ORACLE_SQL: dict[str, str] = {}
