@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.llm import bpe, lines, quality, rules, simhash, token_files, toxicity, vectors
+from lumenmart.llm import bpe, ctw, lines, quality, rules, simhash, token_files, toxicity, vectors
 from lumenmart.llm.common import held_out, table
 from lumenmart.session import shared_dir
 
@@ -38,6 +38,10 @@ def op5_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 7, 2))
+
+
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_anchors": op3_simhash_anchors,
     "op4_inverted_multi_index": op4_inverted_multi_index,
     "op5_toxicity_automata": op5_toxicity_automata,
+    "op6_context_tree": op6_context_tree,
     "op7_byte_bpe": op7_byte_bpe,
     "op8_robust_outliers": op8_robust_outliers,
     "op9_line_dedup": op9_line_dedup,
