@@ -114,3 +114,19 @@ def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", result: str
             yield pa.array([b"".join(map(tokens, x.values.to_numpy().tolist())) if x.is_valid else b"" for x in batch], pa.binary())
 
     return df.withColumn(result, bytes_of(F.col(ids)))
+
+
+def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """Adds the ids and the bytes decoded from them in one pass, with one Python process per task."""
+    model = serialised_model(ranks)
+
+    @F.arrow_udf("struct<ids:array<int>,decoded:binary>")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        segments, tokens = _segments(model, pattern), _token_bytes(model).__getitem__
+        for batch in batches:
+            buffers = [segments.encode(x.as_py() or "") for x in batch]
+            back = [b"".join(map(tokens, memoryview(b).cast("i"))) for b in buffers]
+            yield pa.StructArray.from_arrays([id_lists(buffers), pa.array(back, pa.binary())], ["ids", "decoded"])
+
+    pair = df.withColumn("_pair", both(F.col(text)))
+    return pair.withColumns({ids: F.col("_pair.ids"), decoded: F.col("_pair.decoded")}).drop("_pair")
