@@ -143,8 +143,8 @@ def tree_table(grams: DataFrame) -> DataFrame:
         return pd.concat([pd.DataFrame({"bit": b, "key": x["keys"], "zeros": x["zeros"], "ones": x["ones"], "whole": x["all"]}) for b, x in enumerate(levels[2])])
 
     # two context bytes and a node of the byte: at most 2**16 * 255 rows, some 2,000 * 60 in texts
-    rows = grams.groupBy("tail").applyInPandas(tops, "bit int, key bigint, zeros double, ones double, whole double").orderBy("bit", "key")
-    found = rows.toPandas()
+    rows = grams.groupBy("tail").applyInPandas(tops, "bit int, key bigint, zeros double, ones double, whole double")
+    found = rows.toArrow().to_pandas().sort_values(["bit", "key"])
     upper: dict[int, list[dict]] = {0: [], 1: [], 2: []}
     for bit in range(8):
         own = found[found["bit"] == bit]
@@ -215,8 +215,8 @@ def _grams(words: DataFrame, ends: int) -> DataFrame:
 def _word_lengths(words: DataFrame, table: DataFrame) -> DataFrame:
     """``word``, ``n`` and ``logp``, the sum over the word's grams."""
     if table.count() <= TABLE_GRAMS:
-        rows = table.orderBy("gram").toPandas()  # 16 bytes for each gram, up to TABLE_GRAMS
-        grams, logp = rows["gram"].to_numpy(), rows["logp"].to_numpy().astype(np.float32)
+        rows = table.select("gram", F.col("logp").cast("float")).toArrow().sort_by("gram")  # 12 bytes for each of TABLE_GRAMS at most
+        grams, logp = rows["gram"].to_numpy(), rows["logp"].to_numpy()
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

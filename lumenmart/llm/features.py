@@ -35,19 +35,26 @@ def _shape(data: bytes) -> np.ndarray:
     return np.clip(shares, 0, 1)
 
 
+def shape_terms(data: bytes) -> np.ndarray:
+    """Each share split between two of its twelve steps."""
+    out = np.zeros(SHAPES * STEPS, np.float32)
+    at = np.sqrt(_shape(data)) * (STEPS - 1)
+    step = np.minimum(at.astype(int), STEPS - 2)
+    first = np.arange(SHAPES) * STEPS + step
+    out[first] += 1 - (at - step)
+    out[first + 1] += at - step
+    return out
+
+
 def term_vector(text: str) -> np.ndarray:
-    """Log counts of trigrams per 2,000, then each share split between two of its twelve steps."""
+    """Log counts of trigrams per 2,000, then the shape terms."""
     data = text.encode()
     out = np.zeros(WIDTH, np.float32)
     b = np.frombuffer(data, np.uint8).astype(np.int32)
     if len(b) > 2:
         code = (b[:-2] * 7919 + b[1:-1] * 104729 + b[2:] * 1299709 >> 3) & TRIGRAMS - 1
         out[:TRIGRAMS] = np.log1p(np.bincount(code, minlength=TRIGRAMS) * (2000 / len(code)))
-    at = np.sqrt(_shape(data)) * (STEPS - 1)
-    step = np.minimum(at.astype(int), STEPS - 2)
-    first = TRIGRAMS + np.arange(SHAPES) * STEPS + step
-    out[first] += 1 - (at - step)
-    out[first + 1] += at - step
+    out[TRIGRAMS:] = shape_terms(data)
     return out
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.llm import bpe, ctw, lines, quality, rules, simhash, token_files, toxicity, vectors
+from lumenmart.llm import bpe, ctw, lines, mixing, quality, rules, simhash, token_files, toxicity, vectors
 from lumenmart.llm.common import held_out, table
 from lumenmart.session import shared_dir
 
@@ -21,6 +21,19 @@ def op1_quality_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", out.alias("held_out"), "score", "predicted")
 
 
+#: Domains by their labels, and the share of words that each should have.
+DOMAINS = {"toxic": "toxic = 1", "poor": "quality = 0", "clean": "quality = 1"}
+TARGETS = {"toxic": 0.02, "poor": 0.03, "clean": 0.95}
+
+
+def op2_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = mixing.fit_domains(docs, table(spark, sf_dir, "labels"), DOMAINS)
+    rated = mixing.mixed(docs, model, TARGETS)
+    shares = [F.get("posteriors", F.lit(i)).alias(f"p_{name}") for i, name in enumerate(model.names)]
+    return rated.select("doc_id", "tokens", *shares, F.round("rate", 6).alias("rate"), "copies")
+
+
 def op3_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), threshold=2)
     return groups.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
@@ -75,6 +88,7 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_neighbours": op1_quality_neighbours,
+    "op2_soft_mixing": op2_soft_mixing,
     "op3_simhash_anchors": op3_simhash_anchors,
     "op4_inverted_multi_index": op4_inverted_multi_index,
     "op5_toxicity_automata": op5_toxicity_automata,
