@@ -14,6 +14,12 @@ Equal lines are brought down to one row first. Of the rest, long lines take
 part only if another line shares one of their halves, since one edit leaves a
 half unchanged: each line hashes its halves as cut for its own length and for
 a length one less, and half keys that occur once drop out.
+
+Hashes of variants are polynomials of the words' hashes, so all variants of a
+line come from one array of running sums. Before rows are joined with a small
+part of them, the keys of that part are put into a bitmap of fixed size, which
+is broadcast (``BITS`` / 8 bytes), so that the other rows stay where they are.
+The texts are shuffled once, when the lines to drop meet their documents.
 """
 
 from __future__ import annotations
@@ -25,32 +31,82 @@ from lumenmart.llm.common import WORD_GAP, saved
 
 #: Words of the shortest line that is compared, and of the shortest whose halves are looked at first.
 MIN_WORDS, HALVED = 5, 10
+#: Bits of a bitmap: 4 MB. With far more keys than bits all rows pass, and the joins do the work alone.
+BITS = 1 << 25
+#: Primes and bases of the polynomial hashes.
+PRIMES, BASES = (2147483647, 2147483629), (1000003, 998244353 % 2147483629)
+
+
+def _bitmap(keys: DataFrame, key: Column) -> DataFrame:
+    """At most ``BITS`` / 32768 rows of 4 KB: the bits that the keys' hashes set."""
+    place = F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
+    bits = keys.select(place.alias("place")).groupBy(F.bitmap_bucket_number("place").alias("_bucket"))
+    return bits.agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("_bits"))
+
+
+def _maybe_in(rows: DataFrame, key: Column, bitmap: DataFrame) -> DataFrame:
+    """Rows whose key may be one of the bitmap's; none that is gets lost."""
+    place = F.pmod(F.xxhash64(key), F.lit(BITS)) + 1
+    rows = rows.withColumns({"_bucket": F.bitmap_bucket_number(place), "_bit": F.bitmap_bit_position(place)})
+    hit = F.expr("shiftright(cast(conv(hex(substring(_bits, cast(_bit div 8 as int) + 1, 1)), 16, 10) as int), cast(_bit % 8 as int)) & 1") == 1
+    return rows.join(F.broadcast(bitmap), "_bucket").where(hit).drop("_bucket", "_bit", "_bits")
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(F.lower(line), WORD_GAP), lambda w: w != "")
+    return F.split(F.lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))), WORD_GAP)
 
 
 def _documents(df: DataFrame, doc_id: str, text: str) -> DataFrame:
     return df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
 
 
+def _halves() -> list[Column]:
+    """Keys of the first and last words, cut for ``n`` words and for one less; one of the four cuts always repeats."""
+    first = lambda k: F.xxhash64(F.lit(1), F.slice("words", 1, k.cast("int")))
+    last = lambda k: F.xxhash64(F.lit(2), F.slice("words", F.col("n") - k.cast("int") + 1, k.cast("int")))
+    n, odd = F.col("n"), F.col("n") % 2 == 1
+    down, up = F.floor(n / 2), F.ceil(n / 2)
+    # lines just too short to need a shared half still show theirs to longer ones
+    halved = lambda key: F.when(n >= HALVED - 1, key)
+    return [halved(first(down)), halved(last(up)), halved(F.when(odd, last(down)).otherwise(first(down - 1)))]
+
+
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc_id``, ``pos``, ``words``, ``n`` and the line's hashes ``h1`` and ``h2``."""
+    """``doc_id``, ``pos``, ``n``, the line's hashes ``h1`` and ``h2``, and its half keys ``k0`` to ``k2``."""
     each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
     each = each.select("doc_id", "pos", _words(F.col("line")).alias("words")).withColumn("n", F.size("words")).where(F.col("n") >= min_words)
-    line = F.array_join("words", " ")
-    return each.withColumns({"h1": F.xxhash64(line), "h2": F.crc32(line.cast("binary"))})
+    return each.select("doc_id", "pos", "n", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), *(k.alias(f"k{i}") for i, k in enumerate(_halves())))
 
 
-def _halves() -> Column:
-    """Keys of the first and last words, cut for ``n`` words and for one less; one of the four cuts always repeats."""
-    first = lambda k: F.xxhash64(F.lit(1), F.array_join(F.slice("words", 1, k.cast("int")), " "))
-    last = lambda k: F.xxhash64(F.lit(2), F.array_join(F.slice("words", F.col("n") - k.cast("int") + 1, k.cast("int")), " "))
-    n, odd = F.col("n"), F.col("n") % 2 == 1
-    down, up = F.floor(n / 2), F.ceil(n / 2)
-    third = F.when(odd, last(down)).otherwise(first(down - 1))
-    return F.array(first(down), last(up), third)
+def _running_sums(prime: int, base: int) -> Column:
+    """Sums of the words' hashes times powers of the base, modulo the prime; the first is 0."""
+    start = F.struct(F.array(F.lit(0).cast("bigint")).alias("sums"), F.lit(1).cast("bigint").alias("power"))
+
+    def step(state: Column, word: Column) -> Column:
+        following = (F.element_at(state["sums"], -1) + F.pmod(F.xxhash64(word), F.lit(prime)) * state["power"]) % prime
+        return F.struct(F.array_append(state["sums"], following).alias("sums"), (state["power"] * base % prime).alias("power"))
+
+    return F.aggregate("words", start, step, lambda state: state["sums"])
+
+
+def _without(sums: Column, place: Column, prime: int, base: int) -> Column:
+    """Hash of the line without the word at ``place``, or of the whole line for 0: what follows moves down one power."""
+    rest = (F.element_at(sums, -1) - F.get(sums, place) + prime) % prime
+    left_out = (F.get(sums, F.greatest(place - 1, F.lit(0))) + rest * pow(base, -1, prime)) % prime
+    return F.when(place == 0, F.element_at(sums, -1)).otherwise(left_out)
+
+
+def _variants(lines: DataFrame) -> DataFrame:
+    """``first``, ``place`` (0: nothing left out) and ``key`` of the line without the word there."""
+    hashes = list(zip(("_s0", "_s1"), PRIMES, BASES, strict=True))
+    lines = lines.withColumns({name: _running_sums(prime, base) for name, prime, base in hashes})
+
+    def variant(place: Column) -> Column:
+        high, low = (_without(F.col(name), place, prime, base) for name, prime, base in hashes)
+        return F.struct(place.alias("place"), F.shiftleft(high, 31).bitwiseOR(low).alias("key"))
+
+    each = F.transform(F.sequence(F.lit(0), F.size("words")), variant)
+    return lines.select("first", F.explode(each).alias("v")).select("first", "v.*")
 
 
 def _within_one_word(x: Column, y: Column) -> Column:
@@ -60,40 +116,40 @@ def _within_one_word(x: Column, y: Column) -> Column:
     return lead(x, y) + lead(F.reverse(x), F.reverse(y)) >= longer - 1
 
 
+def _candidates(distinct: DataFrame) -> DataFrame:
+    """``doc_id`` and ``pos`` of the different lines that may have one within an edit."""
+    keys = distinct.where(F.col("n") >= HALVED - 1).select(F.explode(F.array("k0", "k1", "k2")).alias("key"), "n", "doc_id", "pos")
+    shared = saved(keys.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key"), "shared-halves")
+    near = _maybe_in(keys.where(F.col("n") >= HALVED), F.col("key"), _bitmap(shared, F.col("key"))).join(shared, "key", "leftsemi")
+    return near.select("doc_id", "pos").unionByName(distinct.where(F.col("n") < HALVED).select("doc_id", "pos")).distinct()
+
+
 def _earlier_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """``h1``, ``h2`` of the lines that have an earlier, different line within one word."""
-    # lines just too short to need a shared half still show theirs to longer ones
-    halves = distinct.where(F.col("n") >= HALVED - 1).select(F.explode("halves").alias("key"), "doc_id", "pos")
-    shared = halves.groupBy("key").agg(F.count("*").alias("times")).where("times > 1").select("key")
-    near = halves.join(shared, "key", "leftsemi").select("doc_id", "pos")
-    short = distinct.where(F.col("n") < HALVED).select("doc_id", "pos")
-    wanted = near.unionByName(short).groupBy("doc_id").agg(F.collect_set("pos").alias("wanted"))  # a document's own lines
-    wanted = saved(wanted.withColumnRenamed("doc_id", "_id"), "line-candidates")
-    found = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).withColumn("lines", F.split("text", "\n"))
-    found = found.select("doc_id", F.explode("wanted").alias("pos"), "lines").select("doc_id", "pos", _words(F.get("lines", F.col("pos"))).alias("words"))
-    line = F.array_join("words", " ")
-    first = F.struct("doc_id", "pos").alias("first")
-    lines = saved(found.where(F.size("words") >= 1).select(F.xxhash64(line).alias("h1"), F.crc32(line.cast("binary")).alias("h2"), first, "words"), "line-words")
-    # rows of one id may hold different lines at one place; a line's first place is its own
-    lines = lines.dropDuplicates(["h1", "h2"])
-
-    without = lambda k: F.array_join(F.concat(F.slice("words", 1, k - 1), F.slice("words", k + 1, F.size("words"))), " ")
-    places = F.sequence(F.lit(1), F.size("words"))
-    left_out = F.transform(places, lambda k: F.struct(k.alias("place"), F.xxhash64(without(k)).alias("key")))
-    whole = F.array(F.struct(F.lit(0).alias("place"), F.col("h1").alias("key")))
-    variants = lines.select("h1", "h2", "first", F.explode(F.concat(whole, left_out)).alias("v")).select("h1", "h2", "first", "v.*")
+    wanted = saved(_candidates(distinct).withColumnsRenamed({"doc_id": "_id", "pos": "_pos"}), "line-candidates")
+    each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    each = _maybe_in(each, F.struct("doc_id", "pos"), _bitmap(wanted, F.struct("_id", "_pos")))
+    found = each.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("pos") == F.col("_pos")))
+    # rows of one id may hold different lines at one place
+    found = found.select(F.struct("doc_id", "pos").alias("first"), _words(F.col("line")).alias("words"))
+    lines = saved(found.withColumns({"h1": F.xxhash64("words"), "h2": F.hash("words")}).dropDuplicates(["h1", "h2"]), "line-words")
+
+    variants = _variants(lines)
     heads = variants.groupBy("key", "place").agg(F.min("first").alias("head"), F.count("*").alias("lines"))
+    places = F.struct(F.col("place"), F.col("head"))
     by_key = heads.groupBy("key").agg(
         F.min(F.when(F.col("place") == 0, F.col("head"))).alias("whole"),
         F.min(F.when(F.col("place") > 0, F.col("head"))).alias("shortened"),
+        F.collect_set(places).alias("places"),  # one per place of a line
         F.sum("lines").alias("all"),
     )
-    heads = heads.join(by_key.where("all > 1"), "key")
-    partner = F.when(F.col("place") == 0, F.col("shortened")).otherwise(F.least("head", "whole"))
-    heads = heads.select("key", "place", partner.alias("earlier"))
-    links = variants.join(heads, ["key", "place"]).where("earlier < first").select("h1", "h2", "earlier").distinct()
+    partner = F.when(F.col("p.place") == 0, F.col("shortened")).otherwise(F.least("p.head", "whole"))
+    by_key = by_key.where("all > 1").select("key", "whole", "shortened", F.explode("places").alias("p"))
+    heads = saved(by_key.select("key", F.col("p.place").alias("place"), partner.alias("earlier")).where("earlier is not null"), "line-heads")
+    met = _maybe_in(variants, F.struct("key", "place"), _bitmap(heads, F.struct("key", "place"))).join(heads, ["key", "place"])
+    links = met.where("earlier < first").select("first", "earlier").distinct()
     other = lines.select(F.col("first").alias("earlier"), F.col("words").alias("theirs"))
-    verified = links.join(other, "earlier").join(lines.select("h1", "h2", "words"), ["h1", "h2"])
+    verified = links.join(other, "earlier").join(lines.select("first", "words", "h1", "h2"), "first")
     return verified.where(_within_one_word(F.col("words"), F.col("theirs"))).select("h1", "h2").distinct()
 
 
@@ -105,16 +161,14 @@ def repeated_lines(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc
     are one document: their lines at one place are equally early.
     """
     docs = _documents(df, doc_id, text)
-    lines = _lines(docs, min_words)
-    keyed = lines.select("doc_id", "pos", "n", "h1", "h2", F.when(F.col("n") >= HALVED - 1, _halves()).alias("halves"))
-    keyed = keyed.select("doc_id", "pos", "n", "h1", "h2", *(F.get("halves", F.lit(i)).alias(f"k{i}") for i in range(3)))
-    distinct = keyed.groupBy("h1", "h2", "n", "k0", "k1", "k2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times"))
-    distinct = distinct.select("h1", "h2", "n", "first.doc_id", "first.pos", "times", F.array("k0", "k1", "k2").alias("halves"))
-    distinct = saved(distinct, "lines")
+    lines = saved(_lines(docs, min_words), "lines")
+    distinct = lines.groupBy("h1", "h2", "n", "k0", "k1", "k2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times"))
+    distinct = saved(distinct.select("h1", "h2", "n", "first.doc_id", "first.pos", "times", "k0", "k1", "k2"), "different-lines")
     near = _earlier_lines(docs, distinct).withColumn("near", F.lit(True))
     repeated = distinct.select("h1", "h2", F.struct("doc_id", "pos").alias("first"), "times").join(near, ["h1", "h2"], "left")
     repeated = repeated.where("times > 1 or near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
-    places = lines.select("doc_id", "pos", "h1", "h2").join(repeated, ["h1", "h2"])
+    repeated = saved(repeated, "repeated-lines")
+    places = _maybe_in(lines.select("doc_id", "pos", "h1", "h2"), F.col("h1"), _bitmap(repeated, F.col("h1"))).join(repeated, ["h1", "h2"])
     dropped = places.where(F.col("near") | (F.struct("doc_id", "pos") > F.col("first")))
     return dropped.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("positions"))
 
