@@ -196,9 +196,12 @@ def fit_rates(rows: DataFrame, targets: list[float], tokens: float | None = None
         found = ahead.agg(*(F.sum(F.col("tokens") * F.col(c) * p[i]).alias(f"{c}{i}") for c in "ry" for i in range(d))).first()
         miss = (np.array([found[f"r{i}"] for i in range(d)]) - goal) * scale
         errors.append(float(miss @ miss))
-        if np.abs(miss).max() < PRECISE or (k >= 16 and errors[-1] > 0.98 * errors[-9]):  # reached, or as near as it gets
+        if np.abs(miss).max() < PRECISE or (k >= 24 and min(errors[-12:]) > 0.98 * min(errors[:-12])):  # reached, or as near as it gets
             break
-        gradient = length * scale * ((np.array([found[f"y{i}"] for i in range(d)]) - goal) * scale)
+        if k and errors[-1] > errors[-2]:  # momentum overshot
+            momentum, beta = 1.0, 0.0
+        at = "y" if beta else "r"
+        gradient = length * scale * ((np.array([found[f"{at}{i}"] for i in range(d)]) - goal) * scale)
         steps.append((beta, gradient))
         if len(steps) == WRITTEN_EVERY:
             rate, before = _walk(steps, d)

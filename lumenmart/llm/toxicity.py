@@ -28,7 +28,7 @@ from lumenmart.llm.segments import Memo
 #: Labelled documents that the model is fitted on, at most.
 MAX_LABELLED = 5000
 #: An entry occurs in this share of the toxic sample and in this many documents at least, with this log-odds.
-LEAST_SHARE, LEAST_DOCS, LEAST_ODDS = 0.02, 3, 3.0
+LEAST_SHARE, LEAST_DOCS, LEAST_ODDS = 0.02, 5, 3.0
 #: Letters of the shortest stem and of the longest prefix looked at; a longer word is covered by its prefix.
 STEM, LONGEST = 4, 12
 #: Tokens on either side that belong to a hit's context.
