@@ -11,7 +11,7 @@ from lumenmart.functions import (
     seconds_between,
     surrogate_key,
 )
-from lumenmart.sources.contract import COLD_START_EVENTS, CORE_ACTIONS, DEFAULT_PERIOD, RATING_EVENTS
+from lumenmart.sources.contract import COLD_START_EVENTS, CORE_ACTIONS, RATING_EVENTS
 
 
 # Payload fields that dimension keys are made of.
@@ -34,7 +34,7 @@ def flag(condition: Column) -> Column:
     return F.max(F.when(condition, 1).otherwise(0))
 
 
-def fct_events(events: DataFrame, dim_users: DataFrame, default_period: str = DEFAULT_PERIOD) -> DataFrame:
+def fct_events(events: DataFrame, dim_users: DataFrame) -> DataFrame:
     """One row per event with its dimension keys.
 
     Screen, professor, course and period keys are hashes of values in the event
@@ -45,7 +45,9 @@ def fct_events(events: DataFrame, dim_users: DataFrame, default_period: str = DE
         "user_id", F.col("user_sk").alias("_user_sk"), F.col("course_sk").alias("_course_sk")
     )
     course = F.coalesce("_p.course_id", "_p.discipline_id")
-    period = F.coalesce("_p.academic_period", "_p.ano_periodo", F.lit(default_period))
+    # An event that names no term belongs to the one of its day, which the calendar has.
+    term = F.concat_ws(".", F.year("event_ts"), F.when(F.month("event_ts") <= 6, 1).otherwise(2))
+    period = F.coalesce("_p.academic_period", "_p.ano_periodo", term)
     # The payload is parsed once for all of its fields.
     parsed = events.withColumn("_p", F.from_json("payload_json", KEY_FIELDS))
     return parsed.join(current, "user_id", "left").select(

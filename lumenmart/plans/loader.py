@@ -55,10 +55,15 @@ def _now() -> datetime:
 
 
 class Warehouse:
-    """`lookback_days`: how late an event may arrive and still be loaded (see readers.incremental)."""
+    """Incremental loads into one folder.
+
+    Events are read by arrival (`created_at`): whatever arrived since the last
+    load is taken, however old it is. `lookback_days` reads by event time
+    instead, for sources without arrival times; events later than that are lost.
+    """
 
     def __init__(
-        self, spark: SparkSession, root: str, dag_id: str = "load_events", lane: str = "sample", lookback_days: int = 3
+        self, spark: SparkSession, root: str, dag_id: str = "load_events", lane: str = "sample", lookback_days: int | None = None
     ):
         self.spark, self.root, self.dag_id, self.lane = spark, root.rstrip("/"), dag_id, lane
         self.lookback_days = lookback_days
@@ -83,7 +88,7 @@ class Warehouse:
         try:
             yield counts
         except Exception as e:
-            status, error = "FAILED", str(e)[:500]
+            status, error = "FAILED", str(e)
             raise
         finally:
             self._unlogged.append(
@@ -98,8 +103,21 @@ class Warehouse:
         source = f"events_{self.lane}"
         if full_refresh:
             self.watermarks.reset(source)
-        batch = readers.incremental(events, self.watermarks.get(source), full_refresh, limit, self.lookback_days)
-        return sinks.append_events(self.spark, self.path("analytics_events"), batch, "id", "timestamp")
+            self.watermarks.reset(f"arrivals_{self.lane}")
+        if self.lookback_days is None:
+            batch, oldest_first = events, "created_at"
+            if not full_refresh:
+                since = F.lit(self.watermarks.get(f"arrivals_{self.lane}"))
+                batch = events.where(F.col("created_at").isNull() | (F.col("created_at") >= readers.utc(since)))
+        else:
+            batch, oldest_first = readers.incremental(events, self.watermarks.get(source), full_refresh, None, self.lookback_days), "timestamp"
+        path = self.path("analytics_events")
+        if limit is not None:
+            # Rows already stored must not use up the limit, or it would never get past them.
+            if sinks.table_exists(self.spark, path):
+                batch = batch.join(self.table("analytics_events").select("id"), "id", "left_anti").select(*batch.columns)
+            batch = batch.dropDuplicates(["id"]).orderBy(F.col(oldest_first).asc_nulls_first(), "timestamp", "id").limit(limit)
+        return sinks.append_events(self.spark, path, batch, "id", "timestamp", "created_at")
 
     def pending(self, months: list[str]) -> DataFrame:
         """Landing rows that the fact does not have yet, kept in a table until the
@@ -255,8 +273,9 @@ class Warehouse:
         finally:
             self.write_log()
         sinks.drop_table(self.spark, self.path("pending_events"))
-        if loaded.newest is not None:
-            self.watermarks.update(f"events_{self.lane}", loaded.newest.isoformat() + "+00:00")
+        for source, newest in ((f"events_{self.lane}", loaded.newest), (f"arrivals_{self.lane}", loaded.newest_arrival)):
+            if newest is not None:
+                self.watermarks.update(source, newest.isoformat() + "+00:00")
         return loaded
 
 

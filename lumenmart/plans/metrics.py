@@ -170,13 +170,13 @@ def cohort_week_matrix(daily: DataFrame, dim_users: DataFrame) -> DataFrame:
     )
 
 
-def cohort_week_pivot(daily: DataFrame, dim_users: DataFrame, weeks: int = 5) -> DataFrame:
-    """Wide form of the matrix: one column per week number (known in advance, so no extra job)."""
+def cohort_week_pivot(daily: DataFrame, dim_users: DataFrame) -> DataFrame:
+    """Wide form of the matrix: one column per week, up to the last one that has activity (one number, read first)."""
     matrix = cohort_week_matrix(daily, dim_users)
-    wide = matrix.groupBy("cohort_week", "cohort_size").pivot("week_number", list(range(weeks))).agg(F.first("active_users"))
-    return wide.select(
-        "cohort_week", "cohort_size", *[F.coalesce(F.col(str(n)), F.lit(0)).alias(f"week_{n}") for n in range(weeks)]
-    )
+    last = matrix.agg(F.max("week_number")).first()[0]
+    weeks = range(0 if last is None else last + 1)
+    active = [F.coalesce(F.max(F.when(F.col("week_number") == n, F.col("active_users"))), F.lit(0)).alias(f"week_{n}") for n in weeks]
+    return matrix.groupBy("cohort_week", "cohort_size").agg(*(active or [F.lit(0).alias("week_0")]))
 
 
 def rolling_retention(daily: DataFrame, dim_users: DataFrame, offsets: tuple[int, ...] = (1, 7, 14, 30)) -> DataFrame:

@@ -15,7 +15,7 @@ from lumenmart.operators.ranking import exact_percentiles, trailing_actives
 from lumenmart.operators.slots import inactivity_sessions
 from lumenmart.operators.staging import stg_users
 from lumenmart.plans import marts, metrics, quality, workloads
-from lumenmart.plans.loader import MARTS, materialise
+from lumenmart.plans.loader import MARTS, Warehouse, materialise
 from lumenmart.plans.star import TABLES, Star
 from lumenmart.plans.views import publish_views
 from lumenmart.session import configure, shared_dir
@@ -191,36 +191,38 @@ def _event_stream(s: Star) -> DataFrame:
     return src.analytics_events(jobs.read_stream(s.spark, f"{src.sf_dir}/events.parquet", schema))
 
 
-def stream_deduplicated(s: Star) -> DataFrame:
+def _twice(s: Star) -> DataFrame:
+    """Deliveries as a stream: events that arrived late come a second time."""
     late = F.timestamp_diff("DAY", "timestamp", "created_at") >= 2
-    twice = _event_stream(s).unionByName(_event_stream(s).where(late))
-    kept = jobs.deduplicated(twice, "400 days").select("id", "event_name", "user_id", "timestamp")
-    return jobs.stored(s.spark, kept, "stream-dedupe")
+    return _event_stream(s).unionByName(_event_stream(s).where(late))
+
+
+def stream_deduplicated(s: Star) -> DataFrame:
+    """Retries of any age are caught by the ids already stored, not by state."""
+    root = shared_dir(s.spark, "stream-dedupe")
+    kept = _twice(s).select("id", "event_name", "user_id", "timestamp")
+    jobs.run_append(kept, f"{root}/events", f"{root}/checkpoint")
+    return sinks.read_table(s.spark, f"{root}/events").drop(sinks.MONTH)
 
 
 def stream_daily_activity(s: Star) -> DataFrame:
-    return jobs.daily_activity(jobs.stored(s.spark, jobs.daily_sessions(_event_stream(s)), "stream-daily"))
+    return jobs.daily_activity(jobs.partials(_event_stream(s), "stream-daily", jobs.daily_sessions))
 
 
 def stream_session_windows(s: Star) -> DataFrame:
-    out = jobs.stored(s.spark, jobs.session_windows(_event_stream(s)), "stream-sessions")
-    return out.select(
-        "user_id",
-        "events_count",
-        F.col("session_start").cast("timestamp_ntz").alias("session_start"),
-        F.col("session_end").cast("timestamp_ntz").alias("session_end"),
-    )
+    return jobs.sessions_of_slots(jobs.partials(_event_stream(s), "stream-sessions", jobs.slot_sums))
 
 
 def stream_trailing_actives(s: Star) -> DataFrame:
-    """Exact trailing actives: the stream keeps one row per user and day, and the
-    rollup counts from these."""
-    days = jobs.stored(s.spark, jobs.user_days(_event_stream(s), "400 days"), "stream-user-days")
+    """Exact trailing actives from the user-days of the batches."""
+    days = jobs.partials(_event_stream(s), "stream-user-days", jobs.user_days).distinct()
     return trailing_actives(days, "user_id", "activity_date", {"wau": 7, "mau": 30}).withColumnRenamed("active", "dau")
 
 
 def stream_sliding_actives(s: Star) -> DataFrame:
-    return jobs.stored(s.spark, jobs.sliding_actives(_event_stream(s)), "stream-actives")
+    """Exact users of the last seven days, per day."""
+    days = jobs.partials(_event_stream(s), "stream-actives", jobs.user_days).distinct()
+    return trailing_actives(days, "user_id", "activity_date", {"active_users": 7}).select("activity_date", "active_users")
 
 
 def stream_upsert(s: Star) -> DataFrame:
@@ -239,12 +241,42 @@ def stream_upsert(s: Star) -> DataFrame:
 
 def stream_append(s: Star) -> DataFrame:
     root = shared_dir(s.spark, "stream-append")
-    late = F.timestamp_diff("DAY", "timestamp", "created_at") >= 2
-    twice = _event_stream(s).unionByName(_event_stream(s).where(late))
-    jobs.run_append(twice, f"{root}/analytics_events", f"{root}/checkpoint")
+    jobs.run_append(_twice(s), f"{root}/analytics_events", f"{root}/checkpoint")
     return sinks.read_table(s.spark, f"{root}/analytics_events").select("id", "event_name", "user_id", "timestamp")
 
 
+def stream_audit(s: Star) -> DataFrame:
+    """What the audit rows of a stream's batches add up to."""
+    root = shared_dir(s.spark, "stream-audit")
+    jobs.run_append(_twice(s), f"{root}/analytics_events", f"{root}/checkpoint", f"{root}/pipeline_runs")
+    runs = sinks.read_table(s.spark, f"{root}/pipeline_runs")
+    return runs.groupBy("dag_id", "lane", "status").agg(F.sum("rows_extracted").alias("rows_extracted"), F.sum("rows_loaded").alias("rows_loaded"))
+
+
+def append_other_month(s: Star) -> DataFrame:
+    """An id that comes again with a time of another month is stored once."""
+    path = shared_dir(s.spark, "append-months")
+    events = s.raw_events.select("id", "event_name", "timestamp")
+    sinks.append_events(s.spark, path, events, "id", "timestamp")
+    moved = events.withColumn("timestamp", F.expr("timestamp + INTERVAL 60 DAYS"))
+    sinks.append_events(s.spark, path, moved, "id", "timestamp")
+    return sinks.read_table(s.spark, path).select("id", "event_name", "timestamp")
+
+
+def limited_loads(s: Star) -> DataFrame:
+    """Loads of a limited number of rows, repeated until nothing is left, equal one full load."""
+    w = Warehouse(s.spark, shared_dir(s.spark, "limited"))
+    size = s.raw_events.count()
+    events = s.sample.deliveries()
+    while True:
+        loaded = w.extract_events(events, limit=size // 3 + 1)
+        for source, newest in (("events_sample", loaded.newest), ("arrivals_sample", loaded.newest_arrival)):
+            if newest is not None:
+                w.watermarks.update(source, newest.isoformat() + "+00:00")
+        if not loaded.added:
+            return w.table("analytics_events").select("id", "event_name", "timestamp")
+
+
 # --- the registry ---------------------------------------------------------------------------
 
 
@@ -409,6 +441,9 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "stream_trailing_actives": stream_trailing_actives,
     "stream_sliding_actives": stream_sliding_actives,
     "stream_upsert": stream_upsert,
+    "stream_audit": stream_audit,
+    "append_other_month": append_other_month,
+    "limited_loads": limited_loads,
     # the generic operators on other entities
     "orders_trailing_customers": orders_trailing_customers,
     "orders_history": orders_history,

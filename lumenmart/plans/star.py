@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenmart.functions import surrogate_key
 from lumenmart.operators import dimensions as dims
 from lumenmart.operators import facts, history, staging
-from lumenmart.operators.sinks import only_months, table_exists
+from lumenmart.operators.sinks import MONTH, between_months, only_months, table_exists
 from lumenmart.sources.sample import SampleSource
 
 TABLES = (
@@ -42,10 +42,6 @@ class Star:
     def __init__(self, spark: SparkSession, landing: dict[str, Callable[[], DataFrame]]):
         self.spark = spark
         self._landing = landing
-        self._filters_users = False
-        self._event_filter: Column | None = None
-        self._user_filter: Column | None = None
-        self._run_filter: Column | None = None
 
     @staticmethod
     def of_sample(spark: SparkSession, sf_dir: str) -> Star:
@@ -67,40 +63,13 @@ class Star:
     def raw_disciplines(self) -> DataFrame:
         return self._landing["curriculo_disciplinas"]()
 
-    def filtered(
-        self,
-        date_from: str | None = None,
-        date_to: str | None = None,
-        platform: str | None = None,
-        app_version: str | None = None,
-        university_id: int | None = None,
-        course_id: int | None = None,
-        period: str | None = None,
-        run_status: str | None = None,
-    ) -> Star:
-        """Dashboard filters, applied to the facts before any aggregation."""
-        out = Star(self.spark, self._landing)
-        keep = F.lit(True)
-        if date_from:
-            keep = keep & (F.col("event_ts") >= F.lit(date_from).cast("timestamp_ntz"))
-        if date_to:
-            keep = keep & (F.col("event_ts") < F.date_add(F.lit(date_to).cast("date"), 1).cast("timestamp_ntz"))
-        if platform:
-            exact = F.col("platform") == platform
-            keep = keep & (F.col("platform").startswith("mobile") if platform == "mobile" else exact)
-        if app_version:
-            keep = keep & (F.col("app_version") == app_version)
-        if course_id is not None:
-            keep = keep & (F.col("course_sk") == surrogate_key(F.lit(course_id)))
-        if period:
-            keep = keep & (F.col("period_sk") == surrogate_key(F.lit(period)))
-        out._event_filter = keep
-        out._filters_users = university_id is not None or course_id is not None or period is not None
-        if university_id is not None:
-            out._user_filter = F.col("university_id") == university_id
-        if run_status:
-            out._run_filter = F.col("status") == run_status
-        return out
+    def filtered(self, **filters: object) -> Star:
+        """Dashboard filters, applied to the facts before any aggregation; filters of several calls all hold."""
+        return FilteredStar(self, **filters)
+
+    def of_months(self, first: str, last: str) -> Star:
+        """The same star, whose facts need not hold other months than those of the two days (yyyy-mm-dd)."""
+        return self
 
     # staging
     @cached_property
@@ -109,8 +78,7 @@ class Star:
 
     @cached_property
     def stg_users(self) -> DataFrame:
-        users = staging.stg_users(self.raw_users)
-        return users if self._user_filter is None else users.where(self._user_filter)
+        return staging.stg_users(self.raw_users)
 
     @cached_property
     def stg_disciplines(self) -> DataFrame:
@@ -118,8 +86,7 @@ class Star:
 
     @cached_property
     def pipeline_runs(self) -> DataFrame:
-        runs = self._landing["pipeline_runs"]()
-        return runs if self._run_filter is None else runs.where(self._run_filter)
+        return self._landing["pipeline_runs"]()
 
     # dimensions
     @cached_property
@@ -153,19 +120,12 @@ class Star:
     # facts
     @cached_property
     def fct_events(self) -> DataFrame:
-        fact = facts.fct_events(self.stg_events, self.dim_users)
-        if self._event_filter is not None:
-            fact = fact.where(self._event_filter)
-        # With a user filter the other users' events have no user row left.
-        return fact if self._user_filter is None else fact.where(facts.is_known("user_sk"))
+        return facts.fct_events(self.stg_events, self.dim_users)
 
     @cached_property
     def event_rows(self) -> DataFrame:
         """`fct_events` for queries that need no user columns."""
-        if self._filters_users:
-            return self.fct_events
-        rows = facts.event_rows(self.stg_events)
-        return rows if self._event_filter is None else rows.where(self._event_filter)
+        return facts.event_rows(self.stg_events)
 
     @cached_property
     def fct_daily_user_activity(self) -> DataFrame:
@@ -180,17 +140,97 @@ class Star:
         return facts.fct_sessions(self.fct_events)
 
 
+class FilteredStar(Star):
+    """A star whose facts hold what the filters leave, with rollups made from these facts.
+
+    Dates are inclusive days. Works on a lazy star, a stored one and a filtered one.
+    """
+
+    def __init__(
+        self,
+        star: Star,
+        date_from: str | None = None,
+        date_to: str | None = None,
+        platform: str | None = None,
+        app_version: str | None = None,
+        university_id: int | None = None,
+        course_id: int | None = None,
+        period: str | None = None,
+        run_status: str | None = None,
+    ):
+        super().__init__(star.spark, {})
+        if date_from and date_to:
+            star = star.of_months(date_from, date_to)
+        self._star, self._university_id, self._run_status = star, university_id, run_status
+        # The user's columns are in the full fact only.
+        self._filters_users = university_id is not None or course_id is not None or period is not None
+        keep = F.lit(True)
+        if date_from:
+            keep = keep & (F.col("event_ts") >= F.lit(date_from).cast("timestamp_ntz"))
+        if date_to:
+            keep = keep & (F.col("event_ts") < F.date_add(F.lit(date_to).cast("date"), 1).cast("timestamp_ntz"))
+        if platform:
+            exact = F.col("platform") == platform
+            keep = keep & (F.col("platform").startswith("mobile") if platform == "mobile" else exact)
+        if app_version:
+            keep = keep & (F.col("app_version") == app_version)
+        if course_id is not None:
+            keep = keep & (F.col("course_sk") == surrogate_key(F.lit(course_id)))
+        if period:
+            keep = keep & (F.col("period_sk") == surrogate_key(F.lit(period)))
+        self._keep = keep
+
+    @cached_property
+    def stg_events(self) -> DataFrame:
+        return self._star.stg_events
+
+    @cached_property
+    def stg_users(self) -> DataFrame:
+        users = self._star.stg_users
+        return users if self._university_id is None else users.where(F.col("university_id") == self._university_id)
+
+    @cached_property
+    def stg_disciplines(self) -> DataFrame:
+        return self._star.stg_disciplines
+
+    @cached_property
+    def dim_users(self) -> DataFrame:
+        users = self._star.dim_users
+        return users if self._university_id is None else users.where(F.col("university_sk") == surrogate_key(F.lit(self._university_id)))
+
+    @cached_property
+    def pipeline_runs(self) -> DataFrame:
+        runs = self._star.pipeline_runs
+        return runs if self._run_status is None else runs.where(F.col("status") == self._run_status)
+
+    @cached_property
+    def fct_events(self) -> DataFrame:
+        fact = self._star.fct_events.where(self._keep)
+        # With a user filter the other users' events have no user row left.
+        return fact if self._university_id is None else fact.join(self.dim_users.select("user_sk"), "user_sk", "leftsemi")
+
+    @cached_property
+    def event_rows(self) -> DataFrame:
+        return self.fct_events if self._filters_users else self._star.event_rows.where(self._keep)
+
+
 class StoredStar(Star):
     """The same tables, read from where the loader wrote them."""
 
     def __init__(self, spark: SparkSession, root: str, fixed: bool = False, months: list[str] | None = None):
         super().__init__(spark, {})
         self._root = root.rstrip("/")
-        # Facts of these months only.
+        # Facts of these months only: a list, or the first and the last.
         self._months = months
+        self._span: tuple[str, str] | None = None
         # Tables that never change again are opened once.
         self._opened: dict[str, DataFrame] | None = {} if fixed else None
 
+    def of_months(self, first: str, last: str) -> StoredStar:
+        out = StoredStar(self.spark, self._root, months=self._months)
+        out._span = (first[:7], last[:7])
+        return out
+
     def __getattribute__(self, name: str):
         if name == "event_rows":
             name = "fct_events"
@@ -210,6 +250,8 @@ class StoredStar(Star):
         table = self.spark.read.parquet(path)
         if self._months is not None and name.startswith("fct_"):
             table = only_months(table, self._months)
+        if self._span is not None and name.startswith("fct_") and MONTH in table.columns:
+            table = between_months(table, *self._span)
         return table.drop("event_month", "_day")
 
 

@@ -129,5 +129,4 @@ ACTIVATION_EVENTS = (
     "planning_session_completed",
 )
 HIGH_VALUE_EVENTS = ("material_downloaded", "planning_session_completed")
-DEFAULT_PERIOD = "2026.1"
 EPOCH = "1970-01-01T00:00:00+00:00"

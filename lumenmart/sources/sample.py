@@ -43,9 +43,6 @@ SCHEMAS = {
 }
 
 
-SMALL_SPLIT = 8 << 20
-
-
 class SampleSource:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -55,12 +52,7 @@ class SampleSource:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.sf_dir}/{name}.parquet")
 
     def events(self) -> DataFrame:
-        """The event rows. A table of a few megabytes per core comes in fewer
-        splits than cores and is spread over them; a large one is read as it is."""
-        e = self.table("events")
-        cores = self.spark.sparkContext.defaultParallelism
-        size = int(str(e._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        return e if size > cores * SMALL_SPLIT else e.repartition(cores, "event_id")
+        return self.table("events")
 
     def analytics_events(self, events: DataFrame | None = None) -> DataFrame:
         """Landing rows of the telemetry log; takes a stream as well."""

@@ -1,9 +1,11 @@
 """Structured Streaming versions of the loads and rollups.
 
-All jobs take landing rows as a stream (`timestamp` is cast from the stored
-wall clock to an instant, which watermarks need) and run with `availableNow`,
-so one run handles everything that has arrived and then stops. Progress lives in
-the query's checkpoint, which plays the part of the batch watermark.
+All jobs take landing rows as a stream and run with `availableNow`, so one run
+handles everything that has arrived and then stops. Progress lives in the
+query's checkpoint, which plays the part of the batch watermark. Rollups are
+sums per micro-batch that are added up when they are read, so a hot user is
+pre-aggregated in every batch, no state grows with time, and rows of any age
+count.
 """
 
 from __future__ import annotations
@@ -16,7 +18,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lumenmart.functions import date_key
 from lumenmart.operators.facts import flag, hits
-from lumenmart.operators.sinks import append_events, delete_insert_table, is_folder
+from lumenmart.operators.sinks import Loaded, append_events, delete_insert_table, is_folder, logged_batches
+from lumenmart.operators.slots import inactivity_sessions, slot_of
 from lumenmart.session import shared_dir
 from lumenmart.sources.contract import CORE_ACTIONS, RATING_EVENTS
 
@@ -43,30 +46,23 @@ def deduplicated(raw: DataFrame, delay: str = "3 days") -> DataFrame:
     return with_event_time(raw, delay).dropDuplicatesWithinWatermark(["id"])
 
 
-def daily_sessions(raw: DataFrame, delay: str = "3 days") -> DataFrame:
-    """First stage of daily activity: sums per (day, user, session).
-
-    A stream cannot count distinct values, so the day rollup is left to
-    `daily_activity`, which reads this table: one row per session instead of
-    one row per event.
-    """
+def daily_sessions(events: DataFrame) -> DataFrame:
+    """Sums per (day, user, session): what a batch adds to the daily activity."""
     name = F.col("event_name")
-    return (
-        with_event_time(raw, delay)
-        .groupBy(F.window("event_ts", "1 day").alias("w"), "user_id", "session_id")
-        .agg(
-            F.count("*").alias("events_count"),
-            hits(name.isin(*RATING_EVENTS)).alias("ratings"),
-            hits(name == "material_downloaded").alias("downloads"),
-            hits(name == "material_uploaded").alias("uploads"),
-            flag(name.isin(*CORE_ACTIONS)).alias("core"),
-        )
-        .select(date_key("w.start").alias("date_sk"), "user_id", "session_id", "events_count", "ratings", "downloads", "uploads", "core")
+    return events.groupBy(date_key("timestamp").alias("date_sk"), "user_id", "session_id").agg(
+        F.count("*").alias("events_count"),
+        hits(name.isin(*RATING_EVENTS)).alias("ratings"),
+        hits(name == "material_downloaded").alias("downloads"),
+        hits(name == "material_uploaded").alias("uploads"),
+        flag(name.isin(*CORE_ACTIONS)).alias("core"),
     )
 
 
 def daily_activity(per_session: DataFrame) -> DataFrame:
-    return per_session.groupBy("date_sk", "user_id").agg(
+    """Daily activity from the sums of all batches; a session of several batches counts once."""
+    sums = [F.sum(c).alias(c) for c in ("events_count", "ratings", "downloads", "uploads")]
+    once = per_session.groupBy("date_sk", "user_id", "session_id").agg(*sums, F.max("core").alias("core"))
+    return once.groupBy("date_sk", "user_id").agg(
         F.count("session_id").alias("session_count"),
         F.sum("events_count").alias("events_count"),
         F.sum("ratings").alias("ratings_submitted_count"),
@@ -76,32 +72,23 @@ def daily_activity(per_session: DataFrame) -> DataFrame:
     )
 
 
-def session_windows(raw: DataFrame, gap: str = "30 minutes", delay: str = "3 days") -> DataFrame:
-    """Inactivity sessions; one is emitted when the watermark has passed its end."""
-    return (
-        with_event_time(raw, delay)
-        .groupBy("user_id", F.session_window("event_ts", gap).alias("w"))
-        .agg(F.count("*").alias("events_count"), F.min("event_ts").alias("session_start"), F.max("event_ts").alias("session_end"))
-        .drop("w")
+def slot_sums(events: DataFrame, gap_seconds: int = 1800) -> DataFrame:
+    """First, last and number of a user's events in each slot as wide as the gap (see inactivity_sessions)."""
+    return events.groupBy("user_id", slot_of(F.col("timestamp"), gap_seconds).alias("slot")).agg(
+        F.min("timestamp").alias("first_ts"), F.max("timestamp").alias("last_ts"), F.count("*").alias("n")
     )
 
 
-def user_days(raw: DataFrame, delay: str = "3 days") -> DataFrame:
-    """First event of each (user, day); state is kept for `delay`."""
-    days = raw.select("user_id", F.to_date("timestamp").alias("activity_date"))
-    timed = days.withColumn("day_ts", F.col("activity_date").cast("timestamp")).withWatermark("day_ts", delay)
-    return timed.dropDuplicatesWithinWatermark(["user_id", "activity_date"]).select("user_id", "activity_date")
+def sessions_of_slots(sums: DataFrame, gap_seconds: int = 1800) -> DataFrame:
+    """Inactivity sessions from the slot sums of all batches."""
+    ends = sums.select("user_id", F.explode(F.array("first_ts", "last_ts")).alias("timestamp"), F.lit(0).cast("bigint").alias("n"))
+    counted = ends.unionByName(sums.select("user_id", F.col("first_ts").alias("timestamp"), "n"))
+    sessions = inactivity_sessions(counted, "user_id", "timestamp", gap_seconds, {"events": F.col("n")})
+    return sessions.select("user_id", F.col("events").alias("events_count"), "session_start", "session_end")
 
 
-def sliding_actives(raw: DataFrame, days: int = 7, delay: str = "3 days") -> DataFrame:
-    """Approximate distinct users of the trailing `days` days, per day."""
-    w = F.window("event_ts", f"{days} days", "1 day")
-    return (
-        with_event_time(raw, delay)
-        .groupBy(w.alias("w"))
-        .agg(F.approx_count_distinct("user_id", 0.01).alias("active_users"))
-        .select(F.to_date(F.col("w.end") - F.expr("INTERVAL 1 DAY")).alias("activity_date"), "active_users")
-    )
+def user_days(events: DataFrame) -> DataFrame:
+    return events.select("user_id", F.to_date("timestamp").alias("activity_date")).distinct()
 
 
 # --- running ---------------------------------------------------------------------
@@ -134,13 +121,26 @@ def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], che
     return q
 
 
-def run_append(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def run_append(raw: DataFrame, path: str, checkpoint: str, log: str | None = None, dag_id: str = "load_events") -> StreamingQuery:
     """Exactly-once ingest: each batch is appended without the ids already stored,
-    so a batch that is replayed after a failure adds nothing twice."""
+    so a batch that is replayed after a failure adds nothing twice. With `log`,
+    every batch leaves an audit row there."""
     spark = raw.sparkSession
 
-    def load(batch: DataFrame, _: int) -> None:
-        append_events(spark, path, batch, "id", "timestamp")
+    def load(batch: DataFrame, _: int) -> Loaded:
+        return append_events(spark, path, batch, "id", "timestamp")
+
+    handle = logged_batches(spark, log, dag_id, load) if log else lambda batch, n: load(batch, n) and None
+    return run_batches(raw, handle, checkpoint)
+
+
+def run_partials(raw: DataFrame, path: str, checkpoint: str, shape: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+    """Each batch leaves its own sums in a folder of its number, which a replay
+    overwrites. Nothing is kept as state and nothing is late: readers add up
+    the sums of all batches."""
+
+    def load(batch: DataFrame, number: int) -> None:
+        shape(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return run_batches(raw, load, checkpoint)
 
@@ -157,9 +157,8 @@ def run_delete_insert(
     return run_batches(raw, load, checkpoint)
 
 
-def stored(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
-    """Run a stream into a new table in the shared folder and read it back."""
-    root = shared_dir(spark, name)
-    run_to_table(stream, f"{root}/data", f"{root}/checkpoint")
-    return spark.read.schema(stream.schema).parquet(f"{root}/data")
-
+def partials(stream: DataFrame, name: str, shape: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Run a stream into sums of its batches in the shared folder and read them back."""
+    root = shared_dir(stream.sparkSession, name)
+    run_partials(stream, f"{root}/data", f"{root}/checkpoint", shape)
+    return stream.sparkSession.read.parquet(f"{root}/data").drop("batch")

@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
-from lumenmart.plans.loader import MARTS, Warehouse
+from lumenmart.operators import sinks
+from lumenmart.plans.loader import MARTS, Warehouse, materialise
 from lumenmart.plans.registry import latest_profiles, mart
+from lumenmart.plans.star import StoredStar
 
 
 def test_two_loads_and_a_repeat(spark, star, tmp_path):
@@ -69,3 +71,53 @@ def test_cut_short_run_is_completed_by_the_next(spark, star, tmp_path, monkeypat
     assert w.table("fct_sessions").count() == star.fct_sessions.count()
     assert sorted(map(str, w.mart("mrt_engagement").collect())) == sorted(map(str, mart(star, "mrt_engagement").collect()))
     assert w.watermarks.get("events_sample").startswith("2024-01-30")
+
+
+def test_first_load_without_events(spark, star, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    nothing = star.sample.analytics_events().where("false")
+    loaded = w.extract_events(nothing)
+    assert (loaded.added, loaded.newest) == (0, None)
+    assert w.table("analytics_events").count() == 0
+    assert w.extract_events(star.sample.analytics_events()).added == star.raw_events.count()
+
+
+def test_late_arrivals_of_any_age_are_loaded(spark, star, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    raw = star.sample.analytics_events()
+    old = F.col("timestamp") < F.lit("2024-01-05").cast("timestamp_ntz")
+    stamped = raw.withColumn("created_at", F.when(old, F.lit("2024-06-01")).otherwise(F.lit("2024-02-01")).cast("timestamp_ntz"))
+    first = w.extract_events(stamped.where(~old))
+    w.watermarks.update("arrivals_sample", first.newest_arrival.isoformat() + "+00:00")
+    assert w.extract_events(stamped).added == raw.where(old).count() > 0
+
+
+def test_watermark_never_goes_back(spark, tmp_path):
+    marks = sinks.Watermarks(spark, str(tmp_path / "marks"))
+    marks.update("a", "2024-01-05T00:00:00+00:00")
+    marks.update("a", "2024-01-03T00:00:00+00:00")
+    assert marks.get("a").startswith("2024-01-05")
+    marks.reset("a")
+    assert marks.get("a").startswith("1970")
+
+
+def test_filters_on_a_stored_star(spark, star, tmp_path):
+    stored = materialise(star, str(tmp_path / "stored"))
+    for filters in ({"platform": "mobile"}, {"university_id": 1}, {"date_from": "2024-01-08", "date_to": "2024-01-21"}):
+        for name in ("fct_sessions", "fct_daily_user_activity"):
+            lazy, kept = getattr(star.filtered(**filters), name), getattr(stored.filtered(**filters), name)
+            assert sorted(map(str, lazy.select(sorted(lazy.columns)).collect())) == sorted(map(str, kept.select(sorted(lazy.columns)).collect()))
+    both = stored.filtered(platform="mobile").filtered(date_from="2024-01-20").fct_events
+    assert both.where("NOT startswith(platform, 'mobile') OR event_ts < timestamp_ntz'2024-01-20'").count() == 0
+    assert 0 < both.count() < stored.filtered(platform="mobile").fct_events.count()
+
+
+def test_days_prune_months_of_a_loaded_warehouse(spark, star, tmp_path):
+    path = str(tmp_path / "wh")
+    fact = star.fct_events
+    moved = fact.withColumn("event_ts", F.expr("event_ts + INTERVAL 60 DAYS")).withColumn("event_id", F.concat("event_id", F.lit("x")))
+    sinks.write_months(fact.unionByName(moved), f"{path}/fct_events", "event_ts", ["event_id"])
+    pruned = StoredStar(spark, path).of_months("2024-01-08", "2024-01-21").fct_events
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "event_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert pruned.count() == fact.count()
