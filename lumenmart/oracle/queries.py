@@ -556,11 +556,10 @@ QUERIES: dict[str, str] = {
     "event_contract": _contract(),
     "schema_drift": _drift(),
     "payload_types": f"""SELECT event_name, field, field_type, count(*) AS events
-        FROM (SELECT a.event_name, t.field, t.field_type, json_extract_string(a.payload, '$.' || t.field) AS v
-            FROM ae a JOIN {_payload_field_values(('integer', 'boolean', 'number'))} t(event_name, field, field_type)
-            ON t.event_name = a.event_name)
-        WHERE v IS NOT NULL AND CASE field_type WHEN 'integer' THEN TRY_CAST(v AS BIGINT) IS NULL
-            WHEN 'number' THEN TRY_CAST(v AS DOUBLE) IS NULL ELSE v NOT IN ('true', 'false') END
+        FROM (SELECT a.event_name, t.field, t.field_type, json_type(a.payload, '$.' || t.field) AS found
+            FROM ae a JOIN {_payload_field_values()} t(event_name, field, field_type) ON t.event_name = a.event_name)
+        WHERE found <> 'NULL' AND NOT CASE field_type WHEN 'integer' THEN found IN ('BIGINT', 'UBIGINT')
+            WHEN 'number' THEN found IN ('BIGINT', 'UBIGINT', 'DOUBLE') WHEN 'string' THEN found = 'VARCHAR' ELSE found = upper(field_type) END
         GROUP BY 1, 2, 3""",
     "health_probe": " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {_DQ_TABLES[t]}" for t in TABLES),
     "threshold_breaches": _breaches(),

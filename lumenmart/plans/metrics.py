@@ -402,7 +402,9 @@ def navigation_flow(events: DataFrame, screens: DataFrame) -> DataFrame:
         .join(names.select(F.col("screen_sk").alias("next_screen_sk"), F.col("screen_name").alias("next_screen")), "next_screen_sk")
         .select("prev_screen", "next_screen", "transition_count")
     )
-    return named.withColumn("rank", F.dense_rank().over(Window.orderBy(F.desc("transition_count"))))
+    # The window orders the different counts, not the pairs.
+    ranks = named.select("transition_count").distinct().withColumn("rank", F.row_number().over(Window.orderBy(F.desc("transition_count"))))
+    return named.join(ranks, "transition_count").select("prev_screen", "next_screen", "transition_count", "rank")
 
 
 # --- quality ---------------------------------------------------------------

@@ -366,21 +366,27 @@ def breaches(quality: DataFrame, runs: DataFrame, events: DataFrame, as_of: str,
     )
 
 
+#: JSON types as Spark names them, by the six declared types.
+_JSON_TYPES = {
+    "integer": r"^(BIGINT|DECIMAL\([0-9]+,0\))$",
+    "number": r"^(BIGINT|DECIMAL.*|DOUBLE|FLOAT)$",
+    "boolean": "^BOOLEAN$",
+    "string": "^STRING$",
+    "array": "^ARRAY",
+    "object": "^OBJECT",
+}
+
+
 def unknown_payload_types(raw_events: DataFrame) -> DataFrame:
-    """Catalogued scalar fields whose text does not read as the declared type."""
-    fields = F.broadcast(payload_fields(raw_events.sparkSession).where("field_type IN ('integer', 'boolean', 'number')"))
-    keys = raw_events.select("event_name", "payload", F.explode(F.json_object_keys("payload")).alias("field"))
-    typed = keys.join(fields, ["event_name", "field"]).select(
-        "event_name", "field", "field_type", F.from_json("payload", "map<string,string>")[F.col("field")].alias("v")
-    )
-    ok = (
-        F.when(F.col("field_type") == "integer", F.col("v").try_cast("bigint").isNotNull())
-        .when(F.col("field_type") == "number", F.col("v").try_cast("double").isNotNull())
-        .otherwise(F.lower("v").isin("true", "false"))
-    )
-    return (
-        typed.where(F.col("v").isNotNull() & ~ok)
-        .groupBy("event_name", "field", "field_type")
-        .agg(F.count("*").alias("events"))
-    )
+    """Catalogued fields whose JSON type is not the declared one; JSON nulls are no values.
 
+    A payload is parsed once, into its fields.
+    """
+    fields = F.broadcast(payload_fields(raw_events.sparkSession))
+    parsed = raw_events.select("event_name", F.explode(F.from_json("payload", "map<string,variant>")).alias("field", "v"))
+    typed = parsed.join(fields, ["event_name", "field"]).select("event_name", "field", "field_type", F.schema_of_variant("v").alias("found"))
+    known = F.lit(False)
+    for kind, pattern in _JSON_TYPES.items():
+        known = known | ((F.col("field_type") == kind) & F.col("found").rlike(pattern))
+    broken = typed.where(~known & (F.col("found") != "VOID"))
+    return broken.groupBy("event_name", "field", "field_type").agg(F.count("*").alias("events"))

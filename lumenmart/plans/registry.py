@@ -277,6 +277,12 @@ def limited_loads(s: Star) -> DataFrame:
             return w.table("analytics_events").select("id", "event_name", "timestamp")
 
 
+def _on_lookup_day(s: Star) -> Star:
+    """The star whose facts need hold the month of the lookup only."""
+    day = f"{LOOKUP_DAY // 10000}-{LOOKUP_DAY // 100 % 100:02d}-{LOOKUP_DAY % 100:02d}"
+    return s.of_months(day, day)
+
+
 # --- the registry ---------------------------------------------------------------------------
 
 
@@ -359,15 +365,15 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "north_star_weekly": lambda s: metrics.north_star_weekly(s.fct_daily_user_activity),
     "retention_first_activity": lambda s: metrics.retention_first_activity(s.fct_daily_user_activity),
     "workload_a": lambda s: workloads.activity_lookup(
-        s.fct_daily_user_activity,
+        _on_lookup_day(s).fct_daily_user_activity,
         LOOKUP_DAY,
         surrogate_key_of(_lookup_version()),
     ),
-    "workload_b": lambda s: workloads.course_scores(s.fct_ratings, s.dim_courses, LOOKUP_DAY),
+    "workload_b": lambda s: workloads.course_scores(_on_lookup_day(s).fct_ratings, s.dim_courses, LOOKUP_DAY),
     "workload_b_all_days": lambda s: workloads.course_scores(s.fct_ratings, s.dim_courses),
-    "workload_c": lambda s: workloads.user_durations(s.fct_sessions, s.dim_users, LOOKUP_DAY),
+    "workload_c": lambda s: workloads.user_durations(_on_lookup_day(s).fct_sessions, s.dim_users, LOOKUP_DAY),
     "workload_c_all_days": lambda s: workloads.user_durations(s.fct_sessions, s.dim_users),
-    "month_scan": lambda s: workloads.month_scan(s.event_rows, "2024-01-01", "2024-02-01"),
+    "month_scan": lambda s: workloads.month_scan(s.of_months("2024-01-01", "2024-01-31").event_rows, "2024-01-01", "2024-02-01"),
     "stickiness_scalar": lambda s: metrics.stickiness_scalar(s.fct_daily_user_activity),
     "latest_run": lambda s: workloads.latest_run(s.pipeline_runs),
     "sql_over_views": sql_over_views,

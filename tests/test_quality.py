@@ -108,3 +108,14 @@ def test_rating_scores_with_odd_payloads(spark):
     )
     got = [(r["dificuldade"], r["esforco"], r["passou"], r["course_sk"]) for r in fct_ratings(df).orderBy("rating_id").collect()]
     assert got == [(4, 2, 1, -1), (3, 3, 0, -1), (3, 3, 1, -1), (3, 3, 0, -1), (3, 3, 1, -1)]
+
+
+def test_payload_types_of_planted_rows(spark):
+    from lumenmart.sources.catalog import payload_fields
+
+    kinds = {"integer": '"7"', "string": "7", "boolean": '"true"', "number": '"x"', "array": "{}", "object": "[]"}
+    fields = payload_fields(spark).collect()
+    rows = [(r.event_name, f'{{"{r.field}": {kinds[r.field_type]}, "other": 1}}') for r in fields]
+    rows += [(r.event_name, f'{{"{r.field}": null}}') for r in fields] + [(fields[0].event_name, "no json"), (fields[0].event_name, "{}")]
+    found = quality.unknown_payload_types(spark.createDataFrame(rows, "event_name string, payload string")).collect()
+    assert {(r.event_name, r.field, r.events) for r in found} == {(r.event_name, r.field, 1) for r in fields}
