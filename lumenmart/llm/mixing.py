@@ -10,8 +10,8 @@ in the metric of the documents' lengths.
 A gradient step moves a document by a combination of its posteriors, so rates
 depend on posteriors alone, and documents with equal posteriors (rounded to
 1/1000) are summed first. Each iteration is one aggregate over these rows; what
-goes between the driver and the rows is one number per domain. A rate is
-recomputed from the steps, and now and then the rates are written.
+goes between the driver and the rows is one number per domain. A document's
+rate is replayed from the steps, without a join.
 """
 
 from __future__ import annotations
@@ -147,12 +147,12 @@ def with_posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     return found.withColumns({"tokens": F.col("_found.tokens"), "posteriors": F.col("_found.p")}).drop("_found")
 
 
-def _walk(steps: list[tuple[float, np.ndarray]], d: int) -> tuple[Column, Column]:
-    """The rate and the one before, after these steps from the columns ``rate`` and ``before``."""
+def _walk(steps: list[tuple[float, np.ndarray]], d: int, rate: Column, before: Column) -> tuple[Column, Column]:
+    """The rate and the one before, after these steps from a rate and the one before it."""
     if not steps:
-        return F.col("rate"), F.col("before")
+        return rate, before
     moves = F.array(*(F.struct(F.lit(float(b)).alias("b"), *(F.lit(float(g[i])).alias(f"g{i}") for i in range(d))) for b, g in steps))
-    start = F.struct(F.col("rate").alias("r"), F.col("before").alias("q"))
+    start = F.struct(rate.alias("r"), before.alias("q"))
 
     def move(s: Column, m: Column) -> Column:
         ahead = s["r"] + m["b"] * (s["r"] - s["q"])
@@ -163,8 +163,8 @@ def _walk(steps: list[tuple[float, np.ndarray]], d: int) -> tuple[Column, Column
     return end["r"], end["q"]
 
 
-def fit_rates(rows: DataFrame, targets: list[float], tokens: float | None = None) -> DataFrame:
-    """``posteriors`` and ``rate`` for each different vector of posteriors.
+def fit_rates(rows: DataFrame, targets: list[float], tokens: float | None = None) -> Column:
+    """The rate as an expression of ``posteriors``, fitted on ``posteriors`` and ``tokens`` of all rows.
 
     ``targets`` are weights of the domains. ``tokens`` is the expected total;
     by default the largest for which no domain has to be repeated. A target of
@@ -179,16 +179,17 @@ def fit_rates(rows: DataFrame, targets: list[float], tokens: float | None = None
     have = np.array([sums[f"a{i}"] or 0.0 for i in range(d)])
     used = (weight > 0) & (have > 0)
     if not used.any():
-        return cells.select("posteriors", "rate")
+        return F.lit(1.0)
     goal = (tokens if tokens is not None else (have[used] / weight[used]).min()) * weight
     unit = np.where(used, goal, 0) if tokens != 0 else have
     scale = np.where(used, 1 / np.where(unit > 0, unit, 1), np.where(have > 0, 1 / np.maximum(have, 1), 0))
     square = np.array([[sums[f"m{max(i, j)}_{min(i, j)}"] for j in range(d)] for i in range(d)]) * np.outer(scale, scale)
     length = 1 / np.linalg.eigvalsh(square)[-1]
-    steps: list[tuple[float, np.ndarray]] = []
+    steps: list[tuple[float, np.ndarray]] = []  # those that the written rates lack
+    every: list[tuple[float, np.ndarray]] = []
     momentum, errors = 1.0, []
     for k in range(MOST_STEPS):
-        rate, before = _walk(steps, d)
+        rate, before = _walk(steps, d, F.col("rate"), F.col("before"))
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         beta = (momentum - 1) / following if k else 0.0
         momentum = following
@@ -203,11 +204,12 @@ def fit_rates(rows: DataFrame, targets: list[float], tokens: float | None = None
         at = "y" if beta else "r"
         gradient = length * scale * ((np.array([found[f"{at}{i}"] for i in range(d)]) - goal) * scale)
         steps.append((beta, gradient))
+        every.append((beta, gradient))
         if len(steps) == WRITTEN_EVERY:
-            rate, before = _walk(steps, d)
+            rate, before = _walk(steps, d, F.col("rate"), F.col("before"))
             cells = saved(cells.select("posteriors", "tokens", rate.alias("rate"), before.alias("before")), "rates")
             steps = []
-    return cells.select("posteriors", _walk(steps, d)[0].alias("rate"))
+    return _walk(every, d, F.lit(1.0), F.lit(1.0))[0]
 
 
 def mixed(docs: DataFrame, model: Classifier, targets: dict[str, float], tokens: float | None = None) -> DataFrame:
@@ -218,8 +220,7 @@ def mixed(docs: DataFrame, model: Classifier, targets: dict[str, float], tokens:
     the same. Repeated rows are rated alike. An empty table stays empty.
     """
     rows = saved(with_posteriors(docs, model).drop("rate", "copies"), "posteriors")
-    rates = saved(fit_rates(rows, [targets.get(n, 0.0) for n in model.names], tokens), "fitted-rates")
+    rated = rows.withColumn("rate", fit_rates(rows, [targets.get(n, 0.0) for n in model.names], tokens))
     chance = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "text"), F.lit(1_000_003)) / 1_000_003
-    rated = rows.join(rates, "posteriors")
     copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")
     return rated.withColumn("copies", copies.cast("bigint"))

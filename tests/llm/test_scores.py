@@ -272,7 +272,8 @@ def test_rates_reach_the_targets(spark):
     n = rng.integers(0, 500, 2000)
     rows = spark.createDataFrame([(int(a), b.tolist()) for a, b in zip(n, p)], "tokens bigint, posteriors array<double>")
     for weights in ([0.5, 0.3, 0.2], [0.1, 0.2, 0.7]):
-        rates = {tuple(r.posteriors): r.rate for r in mixing.fit_rates(rows, weights).collect()}
+        fitted = rows.select("posteriors", mixing.fit_rates(rows, weights).alias("rate"))
+        rates = {tuple(r.posteriors): r.rate for r in fitted.collect()}
         rate = np.array([rates[tuple(x)] for x in p])
         goal = ((n @ p) / weights).min() * np.array(weights)
         assert rate.min() >= 0
