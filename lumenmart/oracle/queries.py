@@ -176,12 +176,12 @@ def _flows() -> str:
         FROM ({flat})"""
 
 
-def _contract() -> str:
+def _contract_rules() -> dict[str, str]:
     needs = {n: catalog.required_fields(n) for n, _, p, _ in catalog.EVENTS if p in ("Critical", "High")}
     missing = " ".join(
         f"WHEN '{n}' THEN NOT ({' AND '.join(f'''list_contains(keys, '{f}')''' for f in fields)})" for n, fields in needs.items() if fields
     )
-    broken = {
+    return {
         "event_id": f"NOT regexp_full_match(id, '{C.UUID_PATTERN}')",
         "event_name": f"NOT regexp_full_match(e.event_name, '{C.EVENT_NAME_PATTERN}')",
         "schema_version": "coalesce(TRY_CAST(e.schema_version AS INTEGER), 0) < 1",
@@ -193,9 +193,14 @@ def _contract() -> str:
         "priority": "e.priority IS DISTINCT FROM cat.priority OR cat.priority IS NULL",
         "payload": f"CASE e.event_name {missing} ELSE false END",
     }
-    counts = ", ".join(f"count(*) FILTER ({cond}) AS bad_{rule}" for rule, cond in broken.items())
-    return f"""SELECT e.event_name, count(*) AS events, {counts}
-        FROM (SELECT *, json_keys(payload) AS keys FROM ae) e LEFT JOIN cat ON cat.event_name = e.event_name GROUP BY 1"""
+
+
+_CHECKED = "(SELECT *, json_keys(payload) AS keys FROM ae) e LEFT JOIN cat ON cat.event_name = e.event_name"
+
+
+def _contract() -> str:
+    counts = ", ".join(f"count(*) FILTER ({cond}) AS bad_{rule}" for rule, cond in _contract_rules().items())
+    return f"SELECT e.event_name, count(*) AS events, {counts} FROM {_CHECKED} GROUP BY 1"
 
 
 def _payload_field_values(kinds: tuple[str, ...] | None = None) -> str:
@@ -554,6 +559,10 @@ QUERIES: dict[str, str] = {
         UNION ALL SELECT 'avg_esforco', metric_date, avg_esforco FROM ({content()})
             WHERE total_ratings > 0 AND avg_esforco NOT BETWEEN 1 AND 5""",
     "event_contract": _contract(),
+    "quarantined_events": f"""SELECT id, e.event_name FROM {_CHECKED}
+        WHERE {' OR '.join(f'coalesce({cond}, true)' for cond in _contract_rules().values())}""",
+    "watermark_state": """SELECT 'events_sample' AS source, max("timestamp") AS value FROM ae
+        UNION ALL SELECT 'arrivals_sample', max(created_at) FROM ae""",
     "schema_drift": _drift(),
     "payload_types": f"""SELECT event_name, field, field_type, count(*) AS events
         FROM (SELECT a.event_name, t.field, t.field_type, json_type(a.payload, '$.' || t.field) AS found
@@ -637,3 +646,4 @@ LOCAL_CTES: dict[str, dict[str, str]] = {
     "mrt_engagement_period": {"fe": f"SELECT * FROM fe0 WHERE {_PERIOD}"},
 }
 QUERIES["mrt_engagement_period"] = ENGAGEMENT
+QUERIES["json_source"] = QUERIES["normalised_events"]

@@ -191,6 +191,25 @@ def _event_stream(s: Star) -> DataFrame:
     return src.analytics_events(jobs.read_stream(s.spark, f"{src.sf_dir}/events.parquet", schema))
 
 
+def json_source(s: Star) -> DataFrame:
+    """Event files as JSON lines, read and brought into the landing form."""
+    path = shared_dir(s.spark, "event-files")
+    s.sample.event_records().write.json(path)
+    return readers.normalise_events(readers.read_event_file(s.spark, path), F.lit(AS_OF).cast("timestamp_ntz"))
+
+
+def watermark_state(s: Star) -> DataFrame:
+    """The stored watermarks after two loads and an attempt to move one back."""
+    w = Warehouse(s.spark, shared_dir(s.spark, "marks"))
+    for events in (loaded_before(s), s.raw_events):
+        loaded = w.extract_events(events)
+        w.watermarks.update("events_sample", loaded.newest.isoformat() + "+00:00")
+        w.watermarks.update("arrivals_sample", loaded.newest_arrival.isoformat() + "+00:00")
+    w.watermarks.update("events_sample", WATERMARK)
+    log = w.table("extract_watermarks").groupBy("source").agg(F.max_by("value", "seq").alias("value"))
+    return log.select("source", readers.utc("value").alias("value"))
+
+
 def _twice(s: Star) -> DataFrame:
     """Deliveries as a stream: events that arrived late come a second time."""
     late = F.timestamp_diff("DAY", "timestamp", "created_at") >= 2
@@ -424,6 +443,9 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
         s.sample.table("orders"), "o_custkey", s.sample.table("events"), "user_id"
     ),
     "dq_metric_bounds": lambda s: quality.metric_bounds(mart(s, "mrt_engagement"), mart(s, "mrt_content")),
+    "quarantined_events": lambda s: quality.split_quarantine(quality.check_contract(s.raw_events))[1].select("id", "event_name"),
+    "json_source": json_source,
+    "watermark_state": watermark_state,
     "event_contract": lambda s: quality.contract_summary(quality.check_contract(s.raw_events)),
     "schema_drift": lambda s: quality.schema_drift(s.raw_events.withColumn("extra", F.lit(1)).drop("created_at")),
     "payload_types": lambda s: quality.unknown_payload_types(s.raw_events),

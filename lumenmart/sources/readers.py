@@ -35,9 +35,9 @@ def utc(c: Column | str) -> Column:
     return F.to_timestamp(c).cast("timestamp_ntz")
 
 
-def read_event_file(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Events from JSON. Use line-delimited files (multi_line=False) for volume:
-    a multi-line document cannot be split between tasks."""
+def read_event_file(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Events from JSON, one per line, or one document per file (`multi_line`),
+    which cannot be split between tasks."""
     return spark.read.schema(C.EVENT_FILE).option("multiLine", multi_line).json(path)
 
 

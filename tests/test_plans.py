@@ -8,7 +8,7 @@ from lumenmart.plans.registry import QUERIES
 from lumenmart.plans.star import Star
 from tests.conftest import SF
 
-EAGER = ("stream", "stored", "dq_suite")
+EAGER = ("stream", "stored", "dq_suite", "limited", "append_other", "watermark", "json_source")
 
 
 @pytest.fixture(scope="module")

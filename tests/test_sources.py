@@ -19,7 +19,7 @@ RECORDS = [
 def test_event_file_to_landing_rows(spark, tmp_path):
     path = tmp_path / "events.json"
     path.write_text(json.dumps(RECORDS))
-    raw = readers.read_event_file(spark, str(path))
+    raw = readers.read_event_file(spark, str(path), multi_line=True)
     landing = readers.normalise_events(raw, F.lit("2026-01-11 00:00:00").cast("timestamp_ntz"))
     assert landing.columns == contract.ANALYTICS_EVENTS.fieldNames()
     got = {r["id"]: r for r in landing.collect()}
@@ -33,7 +33,7 @@ def test_event_file_to_landing_rows(spark, tmp_path):
 def test_lines_file(spark, tmp_path):
     path = tmp_path / "events.jsonl"
     path.write_text("\n".join(json.dumps(r) for r in RECORDS))
-    assert readers.read_event_file(spark, str(path), multi_line=False).count() == 3
+    assert readers.read_event_file(spark, str(path)).count() == 3
 
 
 def events(spark):
