@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenmart.llm.segments import Segments, id_bytes, id_lists
+from lumenmart.llm.segments import MEMO_PIECES, Segments, id_bytes, id_lists
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -78,7 +78,7 @@ def _segments(model: bytes, pattern: str) -> Segments:
         one = whole.get(piece)
         return id_bytes([one] if one is not None else sp.encode(piece))
 
-    return Segments(find, merge)
+    return Segments(find, merge, MEMO_PIECES // 3)
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", result: str = "ids") -> DataFrame:
@@ -125,8 +125,8 @@ def round_trip(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str =
         segments, tokens = _segments(model, pattern), _token_bytes(model).__getitem__
         for batch in batches:
             buffers = [segments.encode(x.as_py() or "") for x in batch]
-            back = [b"".join(map(tokens, memoryview(b).cast("i"))) for b in buffers]
-            yield pa.StructArray.from_arrays([id_lists(buffers), pa.array(back, pa.binary())], ["ids", "decoded"])
+            back = pa.array((b"".join(map(tokens, memoryview(b).cast("i"))) for b in buffers), pa.binary(), size=len(buffers))
+            yield pa.StructArray.from_arrays([id_lists(buffers), back], ["ids", "decoded"])
 
     pair = df.withColumn("_pair", both(F.col(text)))
     return pair.withColumns({ids: F.col("_pair.ids"), decoded: F.col("_pair.decoded")}).drop("_pair")
