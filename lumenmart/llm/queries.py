@@ -79,7 +79,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "token-files")
-    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2)
+    token_files.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), 2, added_tokens=True)
     rows = token_files.read(spark, path).select(
         "seq", "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), token_files.ids_crc32("ids").alias("ids_crc32")
     )

@@ -11,6 +11,9 @@ only the row groups that may hold it, and offsets come from ``seq`` and
 Null texts count as empty and give the end id alone. A null ``doc_id`` sorts
 first. Rows of one ``doc_id`` are ordered by text; repeated rows are all kept.
 An empty table gives files without rows. Other columns are not written.
+
+The strings of the tokenizer's added tokens are ordinary text, or with
+``added_tokens`` their ids, as the library's ``encode`` has it.
 """
 
 from __future__ import annotations
@@ -40,6 +43,24 @@ LAYOUT = {
 SCHEMA = "seq bigint, doc_id bigint, n_tokens bigint, ids array<int>"
 
 
+@lru_cache(2)
+def _added(tokenizer_json: str):
+    """The tokenizer as it is, and the strings of its added tokens."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_str(tokenizer_json)
+    return tokenizer, [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+
+def encoded(text: str, tokenizer_json: str, added_tokens: bool) -> bytes:
+    """The ids of a text; with ``added_tokens`` the library takes the texts that hold one."""
+    if added_tokens:
+        tokenizer, strings = _added(tokenizer_json)
+        if any(s in text for s in strings):
+            return id_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
+    return _segments(tokenizer_json).encode(text)
+
+
 @lru_cache(2)
 def _segments(tokenizer_json: str) -> Segments:
     from tokenizers import Tokenizer
@@ -60,7 +81,7 @@ def _segments(tokenizer_json: str) -> Segments:
     return Segments(cut, merge, 2 * MEMO_PIECES)
 
 
-def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text") -> None:
+def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, doc_id: str = "doc_id", text: str = "text", added_tokens: bool = False) -> None:
     """Encodes every whole text, appends ``end_id`` and writes the files.
 
     Texts are dealt out and sorted before they are encoded, so that Spark's
@@ -72,9 +93,8 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, doc_id: st
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        segments = _segments(tokenizer_json)
         for batch in batches:
-            yield id_lists([segments.encode(x.as_py() or "") + end for x in batch])
+            yield id_lists([encoded(x.as_py() or "", tokenizer_json, added_tokens) + end for x in batch])
 
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")

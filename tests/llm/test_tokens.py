@@ -116,3 +116,17 @@ def test_lookups_push_the_id_down(spark):
     one = token_files.read(spark, path).where(F.col("doc_id") == 17)
     assert one.count() == 1
     assert "EqualTo(doc_id,17)" in one._jdf.queryExecution().toString()
+
+
+def test_op10_encodes_added_tokens_like_the_library(spark, tmp_path):
+    texts = ["a <|endoftext|> b", *strange_texts(300)]
+    schema = "doc_id bigint, text string"
+    spark.createDataFrame(list(enumerate(texts)), schema).write.parquet(str(tmp_path / "documents.parquet"))
+    library = Tokenizer.from_file(JSON)  # as it is
+    assert library.encode(texts[0], add_special_tokens=False).ids == [64, 220, 50256, 275]
+    rows = {r.doc_id: r for r in queries.op10_token_files(spark, str(tmp_path)).collect()}
+    start = 0
+    for i, text in enumerate(texts):
+        own = library.encode(text, add_special_tokens=False).ids + [2]
+        assert (rows[i].start, rows[i].n_tokens, rows[i].ids_crc32) == (start, len(own), zlib.crc32(np.array(own, "<u4").tobytes()))
+        start += len(own)
