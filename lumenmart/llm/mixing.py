@@ -16,6 +16,7 @@ rate is replayed from the steps, without a join.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from lumenmart.llm import features
 from lumenmart.llm.common import saved, total
 
+_LOG = logging.getLogger(__name__)
+
 #: Labelled documents that the classifier is fitted on, at most.
 MAX_LABELLED = 4000
 #: Words that speak for a domain: in so many documents of the sample, with such log odds.
@@ -147,8 +150,8 @@ def with_posteriors(docs: DataFrame, model: Classifier) -> DataFrame:
     return found.withColumns({"tokens": F.col("_found.tokens"), "posteriors": F.col("_found.p")}).drop("_found")
 
 
-def _walk(steps: list[tuple[float, np.ndarray]], d: int, rate: Column, before: Column) -> tuple[Column, Column]:
-    """The rate and the one before, after these steps from a rate and the one before it."""
+def _walk(steps: list[tuple[float, np.ndarray]], d: int, rate: Column, before: Column, most: float | None = None) -> tuple[Column, Column]:
+    """The rate and the one before, after these steps from a rate and the one before it; rates stay in 0 to ``most``."""
     if not steps:
         return rate, before
     moves = F.array(*(F.struct(F.lit(float(b)).alias("b"), *(F.lit(float(g[i])).alias(f"g{i}") for i in range(d))) for b, g in steps))
@@ -157,18 +160,21 @@ def _walk(steps: list[tuple[float, np.ndarray]], d: int, rate: Column, before: C
     def move(s: Column, m: Column) -> Column:
         ahead = s["r"] + m["b"] * (s["r"] - s["q"])
         down = total([F.get("posteriors", F.lit(i)) * m[f"g{i}"] for i in range(d)])
-        return F.struct(F.greatest(ahead - down, F.lit(0.0)).alias("r"), s["r"].alias("q"))
+        moved = F.greatest(ahead - down, F.lit(0.0))
+        return F.struct((moved if most is None else F.least(moved, F.lit(float(most)))).alias("r"), s["r"].alias("q"))
 
     end = F.aggregate(moves, start, move)
     return end["r"], end["q"]
 
 
-def fit_rates(rows: DataFrame, targets: list[float], tokens: float | None = None) -> Column:
+def fit_rates(rows: DataFrame, targets: list[float], tokens: float | None = None, most: float | None = None, whole: int | None = None) -> Column:
     """The rate as an expression of ``posteriors``, fitted on ``posteriors`` and ``tokens`` of all rows.
 
     ``targets`` are weights of the domains. ``tokens`` is the expected total;
-    by default the largest for which no domain has to be repeated. A target of
-    0 or a domain without words is left to the others' steps.
+    by default the largest for which no domain has to be repeated, or that for
+    which the domain ``whole`` is taken whole. A target of 0 or a domain without
+    words is left to the others' steps. ``most`` (1 at least) is the highest
+    rate. A miss that the steps leave is logged.
     """
     d = len(targets)
     weight = np.array(targets, np.float64) / sum(targets)
@@ -180,16 +186,18 @@ def fit_rates(rows: DataFrame, targets: list[float], tokens: float | None = None
     used = (weight > 0) & (have > 0)
     if not used.any():
         return F.lit(1.0)
-    goal = (tokens if tokens is not None else (have[used] / weight[used]).min()) * weight
-    unit = np.where(used, goal, 0) if tokens != 0 else have
-    scale = np.where(used, 1 / np.where(unit > 0, unit, 1), np.where(have > 0, 1 / np.maximum(have, 1), 0))
+    if tokens is None:
+        tokens = have[whole] / weight[whole] if whole is not None and used[whole] else (have[used] / weight[used]).min()
+    goal = tokens * weight
+    # only a total of 0 asks for less of a domain without a target
+    scale = np.where(used, 1 / np.where(goal > 0, goal, 1), 0) if tokens != 0 else np.where(have > 0, 1 / np.maximum(have, 1), 0)
     square = np.array([[sums[f"m{max(i, j)}_{min(i, j)}"] for j in range(d)] for i in range(d)]) * np.outer(scale, scale)
     length = 1 / np.linalg.eigvalsh(square)[-1]
     steps: list[tuple[float, np.ndarray]] = []  # those that the written rates lack
     every: list[tuple[float, np.ndarray]] = []
     momentum, errors = 1.0, []
     for k in range(MOST_STEPS):
-        rate, before = _walk(steps, d, F.col("rate"), F.col("before"))
+        rate, before = _walk(steps, d, F.col("rate"), F.col("before"), most)
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         beta = (momentum - 1) / following if k else 0.0
         momentum = following
@@ -206,21 +214,24 @@ def fit_rates(rows: DataFrame, targets: list[float], tokens: float | None = None
         steps.append((beta, gradient))
         every.append((beta, gradient))
         if len(steps) == WRITTEN_EVERY:
-            rate, before = _walk(steps, d, F.col("rate"), F.col("before"))
+            rate, before = _walk(steps, d, F.col("rate"), F.col("before"), most)
             cells = saved(cells.select("posteriors", "tokens", rate.alias("rate"), before.alias("before")), "rates")
             steps = []
-    return _walk(every, d, F.lit(1.0), F.lit(1.0))[0]
+    if np.abs(miss).max() >= PRECISE:
+        _LOG.warning("mixing: %d steps leave the domains at %s of %s words", len(every), np.round(miss / np.where(scale > 0, scale, 1) + goal).tolist(), np.round(goal).tolist())
+    return _walk(every, d, F.lit(1.0), F.lit(1.0), most)[0]
 
 
-def mixed(docs: DataFrame, model: Classifier, targets: dict[str, float], tokens: float | None = None) -> DataFrame:
+def mixed(docs: DataFrame, model: Classifier, targets: dict[str, float], tokens: float | None = None, most: float | None = None, whole: str | None = None) -> DataFrame:
     """Adds ``tokens``, ``posteriors``, ``rate`` and ``copies`` to every row, in place of columns of these names.
 
     ``copies`` is the rate rounded up or down at random, by a hash of the id
     and the text, so that its expectation is the rate and a repeated run gives
     the same. Repeated rows are rated alike. An empty table stays empty.
+    ``most`` and the name of the domain ``whole`` are those of ``fit_rates``.
     """
     rows = saved(with_posteriors(docs, model).drop("rate", "copies"), "posteriors")
-    rated = rows.withColumn("rate", fit_rates(rows, [targets.get(n, 0.0) for n in model.names], tokens))
+    rated = rows.withColumn("rate", fit_rates(rows, [targets.get(n, 0.0) for n in model.names], tokens, most, None if whole is None else model.names.index(whole)))
     chance = F.pmod(F.xxhash64(F.lit("mix"), "doc_id", "text"), F.lit(1_000_003)) / 1_000_003
     copies = F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")
     return rated.withColumn("copies", copies.cast("bigint"))
