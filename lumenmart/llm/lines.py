@@ -20,6 +20,10 @@ line come from one array of running sums. Before rows are joined with a small
 part of them, the keys of that part are put into a bitmap of fixed size, which
 is broadcast (``BITS`` / 8 bytes), so that the other rows stay where they are.
 The texts are shuffled once, when the lines to drop meet their documents.
+
+One word is much of a short line, so lines under ``MIN_WORDS`` words are left
+alone, or with ``short`` go where their words equal those of an earlier line.
+Lines without words always stay.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from pyspark.sql import functions as F
 
 from lumenmart.llm.common import WORD_GAP, saved
 
-#: Words of the shortest line that is compared, and of the shortest whose halves are looked at first.
+#: Words of the shortest line that is compared with changes, and of the shortest whose halves are looked at first.
 MIN_WORDS, HALVED = 5, 10
 #: Bits of a bitmap: 4 MB. With far more keys than bits all rows pass, and the joins do the work alone.
 BITS = 1 << 25
@@ -74,7 +78,7 @@ def _halves() -> list[Column]:
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id``, ``pos``, ``n``, the line's hashes ``h1`` and ``h2``, and its half keys ``k0`` to ``k2``."""
     each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    each = each.select("doc_id", "pos", _words(F.col("line")).alias("words")).withColumn("n", F.size("words")).where(F.col("n") >= min_words)
+    each = each.select("doc_id", "pos", _words(F.col("line")).alias("words")).withColumn("n", F.size("words")).where((F.col("n") >= min_words) & (F.element_at("words", 1) != ""))
     return each.select("doc_id", "pos", "n", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), *(k.alias(f"k{i}") for i, k in enumerate(_halves())))
 
 
@@ -153,18 +157,19 @@ def _earlier_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return verified.where(_within_one_word(F.col("words"), F.col("theirs"))).select("h1", "h2").distinct()
 
 
-def repeated_lines(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def repeated_lines(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
     """``doc_id`` and ``positions`` (from 0) of the lines that repeat an earlier one.
 
     Earlier is by ``doc_id``, then place in the document; a null id comes first.
-    Lines of fewer than ``min_words`` words never count. Rows that share an id
-    are one document: their lines at one place are equally early.
+    Lines of fewer than ``min_words`` words never count, or with ``short`` count
+    by equality. Rows that share an id are one document: their lines at one place
+    are equally early.
     """
     docs = _documents(df, doc_id, text)
-    lines = saved(_lines(docs, min_words), "lines")
+    lines = saved(_lines(docs, 1 if short else min_words), "lines")
     distinct = lines.groupBy("h1", "h2", "n", "k0", "k1", "k2").agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.count("*").alias("times"))
     distinct = saved(distinct.select("h1", "h2", "n", "first.doc_id", "first.pos", "times", "k0", "k1", "k2"), "different-lines")
-    near = _earlier_lines(docs, distinct).withColumn("near", F.lit(True))
+    near = _earlier_lines(docs, distinct.where(F.col("n") >= min_words)).withColumn("near", F.lit(True))
     repeated = distinct.select("h1", "h2", F.struct("doc_id", "pos").alias("first"), "times").join(near, ["h1", "h2"], "left")
     repeated = repeated.where("times > 1 or near").select("h1", "h2", "first", F.coalesce("near", F.lit(False)).alias("near"))
     repeated = saved(repeated, "repeated-lines")
@@ -173,14 +178,14 @@ def repeated_lines(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc
     return dropped.groupBy("doc_id").agg(F.array_sort(F.collect_set("pos")).alias("positions"))
 
 
-def without_repeated_lines(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def without_repeated_lines(df: DataFrame, min_words: int = MIN_WORDS, doc_id: str = "doc_id", text: str = "text", short: bool = False) -> DataFrame:
     """All rows and columns, with the repeated lines taken out of the text, and ``n_lines`` and ``n_dropped``.
 
     A null text stays null. Empty texts, empty tables and very long lines need
     no rule of their own. Columns named ``n_lines`` or ``n_dropped`` are
     replaced.
     """
-    gone = repeated_lines(df, min_words, doc_id, text).withColumnRenamed("doc_id", "_id").withColumnRenamed("positions", "_gone")
+    gone = repeated_lines(df, min_words, doc_id, text, short).withColumnRenamed("doc_id", "_id").withColumnRenamed("positions", "_gone")
     rows = df.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")), "left").withColumn("_lines", F.split(F.col(text), "\n"))
     # rows of one id may be of different length; places beyond the end are no lines
     all_ = F.sequence(F.lit(0), F.size("_lines") - 1)

@@ -73,7 +73,7 @@ def op8_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = lines.without_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), short=True)
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("text_sha256"))
 
 
