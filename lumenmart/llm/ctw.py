@@ -3,23 +3,23 @@
 A text is the sequence of its lower-cased words, each closed by a space, and a
 line break at the end. A byte is coded as eight binary decisions. The decision
 nodes of a byte hang below each of its contexts: the last 0 to ``DEPTH`` bytes
-since the word began (before it, spaces). Every node holds a
-Krichevsky-Trofimov estimate of its zeros and ones in the training documents,
-and a node's weighted probability is half its own estimate's and half the
-product of its longer contexts'. Predicting mixes the estimates of all depths
-by these posterior weights, which gives each byte its code length.
-
-Contexts end where a word begins, so a word costs the same wherever it stands,
-and work goes by different words and different byte strings (grams: a context
-of ``DEPTH`` bytes and the byte after it), not by tokens:
-
-1. Words are counted per task and summed.
-2. Grams are summed over words. The tree is built in groups of grams whose last
+of the running text (before it, spaces), or without ``across_words`` of the word.
+Every node holds a Krichevsky-Trofimov estimate of its zeros and ones in the
+training documents, and a node's weighted probability is half its own estimate's
+and half the product of its longer contexts'. Predicting mixes the estimates of
+all depths by these posterior weights, which gives each byte its code length.
+
+Work goes by different units (a word, or the end, behind the ``DEPTH`` bytes
+before it) and different byte strings (grams: a context of ``DEPTH`` bytes and
+the byte after it), not by tokens:
+
+1. Units are counted per task and summed.
+2. Grams are summed over units. The tree is built in groups of grams whose last
    two context bytes agree; the two levels above have at most 256 contexts.
-3. Every word adds up the code lengths of its grams, from a broadcast table
+3. Every unit adds up the code lengths of its grams, from a broadcast table
    while that has at most ``TABLE_GRAMS`` rows, else through a join.
 4. Documents are dealt into blocks of some ``BLOCK_CHARS`` characters. A block
-   asks for each of its different words once, and adds up the answers.
+   asks for each of its different units once, and adds up the answers.
 """
 
 from __future__ import annotations
@@ -37,7 +37,8 @@ from lumenmart.llm.common import saved
 
 DEPTH, TABLE_GRAMS, BLOCK_CHARS = 6, 4_000_000, 12_000_000
 _SPACE, _END = 0x20, 0x0A
-#: Words that a task counts before it hands them on.
+_PAD = b" " * DEPTH
+#: Units that a task counts before it hands them on.
 _HELD = 300_000
 
 
@@ -45,18 +46,36 @@ def words_of(text: str) -> list[bytes]:
     return text.encode().lower().split()  # bytes: only A-Z change, only ASCII white space splits
 
 
+def units_of(text: str, across_words: bool) -> list[bytes]:
+    """Every word with its closing space, and the end, behind the ``DEPTH`` bytes before it."""
+    words = words_of(text)
+    if not across_words:
+        return [*(_PAD + w + b" " for w in words), _PAD + b"\n"]
+    running = _PAD + b"".join([w + b" " for w in words])
+    out, at = [], 0
+    for w in words:
+        out.append(running[at : at + DEPTH + len(w) + 1])
+        at += len(w) + 1
+    out.append(running[at:] + b"\n")
+    return out
+
+
 # --- grams ---------------------------------------------------------------------------
 
 
 def grams_of(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The gram of every byte of the words and their closing spaces, and the word's number."""
-    pad = b" " * DEPTH
-    data = np.frombuffer(pad + b"".join([w + b" " + pad for w in words]), np.uint8).astype(np.int64)
-    lengths = np.array([len(w) + 1 for w in words], np.int64)
-    codes = np.zeros(len(data) - DEPTH, np.int64)
+    return unit_grams([_PAD + w + b" " for w in words])
+
+
+def unit_grams(units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The gram of every byte of the units behind their first ``DEPTH``, and the unit's number."""
+    data = np.frombuffer(b"".join(units), np.uint8).astype(np.int64)
+    lengths = np.array([len(u) - DEPTH for u in units], np.int64)
+    codes = np.zeros(max(0, len(data) - DEPTH), np.int64)
     for i in range(DEPTH + 1):
         codes = codes << 8 | data[i : i + len(codes)]
-    owner = np.repeat(np.arange(len(words)), lengths)
+    owner = np.repeat(np.arange(len(units)), lengths)
     begins = np.cumsum(lengths + DEPTH) - lengths - DEPTH
     within = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     return codes[begins[owner] + within], owner
@@ -172,86 +191,86 @@ def tree_table(grams: DataFrame) -> DataFrame:
     return grams.groupBy("tail").applyInPandas(predict, "gram bigint, logp double")
 
 
-# --- words ---------------------------------------------------------------------------
+# --- units ---------------------------------------------------------------------------
 
 
-def count_words(docs: DataFrame) -> DataFrame:
-    """``word`` and ``n``, its tokens in training rows (column ``train``), for the words of all rows."""
+def count_units(docs: DataFrame, across_words: bool) -> DataFrame:
+    """``unit`` and ``n``, its tokens in training rows (column ``train``), for the units of all rows."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
 
         def flush() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
+            batch = pa.RecordBatch.from_arrays([pa.array(list(held), pa.binary()), pa.array(list(held.values()), pa.int64())], ["unit", "n"])
             held.clear()
             return batch
 
         for batch in batches:
             for text, train in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                words = words_of(text.as_py() or "")
+                units = units_of(text.as_py() or "", across_words)
                 if train:
-                    held.update(words)
+                    held.update(units)
                 else:
-                    held.update(dict.fromkeys(words, 0))
+                    held.update(dict.fromkeys(units, 0))
                 if len(held) >= _HELD:
                     yield flush()
         yield flush()
 
-    return docs.select("text", "train").mapInArrow(counted, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text", "train").mapInArrow(counted, "unit binary, n bigint").groupBy("unit").agg(F.sum("n").alias("n"))
 
 
-def _grams(words: DataFrame, ends: int) -> DataFrame:
+def _grams(units: DataFrame) -> DataFrame:
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, owner = grams_of(batch.column(0).to_pylist())
+            codes, owner = unit_grams(batch.column(0).to_pylist())
             keys, at = np.unique(codes, return_inverse=True)
             n = np.bincount(at, batch.column(1).to_numpy()[owner].astype(np.float64), len(keys)) if len(keys) else np.zeros(0)
             yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int64))], ["gram", "n"])
 
-    end = words.sparkSession.createDataFrame([(END_GRAM, ends)], "gram bigint, n bigint")
-    return words.mapInArrow(emit, "gram bigint, n bigint").unionByName(end).groupBy("gram").agg(F.sum("n").alias("n"))
+    end = units.sparkSession.createDataFrame([(END_GRAM, 0)], "gram bigint, n bigint")  # so that there is one
+    return units.mapInArrow(emit, "gram bigint, n bigint").unionByName(end).groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _word_lengths(words: DataFrame, table: DataFrame) -> DataFrame:
-    """``word``, ``n`` and ``logp``, the sum over the word's grams."""
+def _unit_lengths(units: DataFrame, table: DataFrame) -> DataFrame:
+    """``unit``, ``n`` and ``logp``, the sum over the unit's grams."""
     if table.count() <= TABLE_GRAMS:
         rows = table.select("gram", F.col("logp").cast("float")).toArrow().sort_by("gram")  # 12 bytes for each of TABLE_GRAMS at most
         grams, logp = rows["gram"].to_numpy(), rows["logp"].to_numpy()
 
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                codes, owner = grams_of(batch.column(0).to_pylist())
+                codes, owner = unit_grams(batch.column(0).to_pylist())
                 total = np.bincount(owner, logp[np.searchsorted(grams, codes)], batch.num_rows) if len(codes) else np.zeros(batch.num_rows)
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(total)], ["word", "n", "logp"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(total)], ["unit", "n", "logp"])
 
-        return words.mapInArrow(add, "word binary, n bigint, logp double")
+        return units.mapInArrow(add, "unit binary, n bigint, logp double")
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes, owner = grams_of(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(codes)], ["word", "n", "gram"])
+            codes, owner = unit_grams(batch.column(0).to_pylist())
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(owner)), batch.column(1).take(pa.array(owner)), pa.array(codes)], ["unit", "n", "gram"])
 
-    joined = words.mapInArrow(each, "word binary, n bigint, gram bigint").join(table.select("gram", F.col("logp").cast("float").alias("logp")), "gram")
-    return joined.groupBy("word", "n").agg(F.sum("logp").alias("logp"))
+    joined = units.mapInArrow(each, "unit binary, n bigint, gram bigint").join(table.select("gram", F.col("logp").cast("float").alias("logp")), "gram")
+    return joined.groupBy("unit", "n").agg(F.sum("logp").alias("logp"))
 
 
 # --- documents -----------------------------------------------------------------------
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
+def _hashes(units: list[bytes]) -> np.ndarray:
     from xxhash import xxh64_intdigest
 
-    return np.array([xxh64_intdigest(w, 42) for w in words], np.uint64).view(np.int64)
+    return np.array([xxh64_intdigest(w, 42) for w in units], np.uint64).view(np.int64)
 
 
-def _ask(block: pd.DataFrame) -> pd.DataFrame:
+def _ask(block: pd.DataFrame, across_words: bool) -> pd.DataFrame:
     different: set[bytes] = set()
     for text in block["text"]:
-        different.update(words_of(text))
+        different.update(units_of(text, across_words))
     return pd.DataFrame({"block": block["block"].iloc[0], "h": _hashes(sorted(different))})
 
 
-def score(df: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def score(df: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "text", across_words: bool = False) -> DataFrame:
     """Scores of every row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
     ``score`` (log10 probability of the text) and ``bits_per_byte``.
 
@@ -263,35 +282,36 @@ def score(df: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "
     """
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"), held_out.alias("held_out"))
     docs = docs.withColumn("held_out", F.coalesce("held_out", F.lit(False)))
-    words = saved(count_words(docs.select("text", (~F.col("held_out")).alias("train"))), "words")
-    facts = docs.agg(F.sum((~F.col("held_out")).cast("int")).alias("ends"), F.sum(F.length("text").cast("bigint")).alias("chars")).first()
-    ends, chars = facts.ends or 0, facts.chars or 0
+    units = saved(count_units(docs.select("text", (~F.col("held_out")).alias("train")), across_words), "units")
+    units = units.withColumn("word", F.expr("substring(unit, DEPTH + 1, length(unit) - DEPTH - 1)".replace("DEPTH", str(DEPTH))))  # empty for the end
+    words = saved(units.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    chars = docs.agg(F.sum(F.length("text").cast("bigint"))).first()[0] or 0
     known = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count_if(F.col("n") > 0).alias("types")).first()
-    tokens, types = known.tokens + ends, known.types + (ends > 0)
-    table = saved(tree_table(saved(_grams(words, ends), "grams")), "code-lengths")
-    end_logp = table.where(F.col("gram") == END_GRAM).first().logp
-    answers = _word_lengths(words, table).select(F.xxhash64("word").alias("h"), "n", "logp")
+    tokens, types = known.tokens, known.types
+    units_n = units.select("unit", "n")
+    table = saved(tree_table(saved(_grams(units_n), "grams")), "code-lengths")
+    lengths = _unit_lengths(units_n, table).drop("n").join(units.select("unit", "word"), "unit").join(words, "word")
+    answers = lengths.select(F.xxhash64("unit").alias("h"), "n", "logp")
 
     blocks = max(1, -(-chars // BLOCK_CHARS))
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "held_out", "text")
-    asked = dealt.groupBy("block").applyInPandas(_ask, "block bigint, h bigint")
+    asked = dealt.groupBy("block").applyInPandas(lambda block: _ask(block, across_words), "block bigint, h bigint")
     told = asked.join(answers, "h").select("block", "h", "n", "logp")
     floor = float(np.log10(tokens + types + 1))
-    base_end = float(np.log10(ends + 1)) - floor
 
     def tell(block: pd.DataFrame, told: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(told["h"].to_numpy(), kind="stable")
         h, n, logp = (told[c].to_numpy()[order] for c in ("h", "n", "logp"))
         base = np.log10(n + 1.0) - floor
         number: dict[bytes, int] = {}
-        own = [[number.setdefault(w, len(number)) for w in words_of(t)] for t in block["text"]]
+        own = [[number.setdefault(u, len(number)) for u in units_of(t, across_words)] for t in block["text"]]
         at = np.searchsorted(h, _hashes(list(number)))
-        sizes = np.array([len(w) + 1 for w in number], np.int64)
+        sizes = np.array([len(u) - DEPTH for u in number], np.int64)
         rows = []
         for ids in own:
             ids = np.array(ids, np.int64)
             where = at[ids]
-            rows.append((len(ids) + 1, int((n[where] > 0).sum()) + (ends > 0), int(sizes[ids].sum()) + 1, base[where].sum() + base_end, logp[where].sum() + end_logp))
+            rows.append((len(ids), int((n[where] > 0).sum()), int(sizes[ids].sum()), base[where].sum(), logp[where].sum()))
         out = pd.DataFrame(rows, columns=["n_tokens", "n_known", "n_bytes", "base_score", "score"])
         out["bits_per_byte"] = -out["score"] * np.log2(10) / out["n_bytes"]
         out["doc_id"], out["held_out"], out["train_tokens"] = block["doc_id"].to_numpy(), block["held_out"].to_numpy(), tokens

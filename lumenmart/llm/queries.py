@@ -52,7 +52,7 @@ def op5_toxicity_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ctw.score(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 7, 2))
+    return ctw.score(table(spark, sf_dir, "documents"), held_out(F.col("doc_id"), 7, 2), across_words=True)
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
