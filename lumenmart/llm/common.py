@@ -31,5 +31,17 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """Names for columns of one's own that the rows don't have yet, whatever their case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def total(columns: list[Column]) -> Column:
     return reduce(lambda a, b: a + b, columns)

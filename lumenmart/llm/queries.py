@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.llm import bpe, ctw, lines, mixing, quality, rules, simhash, token_files, toxicity, vectors
-from lumenmart.llm.common import held_out, table
+from lumenmart.llm import bpe, ctw, language, lines, mixing, quality, rules, runs, simhash, token_files, toxicity, vectors, whitening
+from lumenmart.llm.common import WORD_GAP, held_out, table
 from lumenmart.session import shared_dir
 
 
@@ -86,6 +86,51 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(token_files.starts(spark, path), "seq").select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """Texts where the words of every tenth document by hash go round in a circle from some place on."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split("text", WORD_GAP), lambda w: w != "")
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    circled = F.transform("words", lambda w, i: F.when(i < F.col("a"), w).otherwise(F.get("words", (F.col("a") + (i - F.col("a")) % F.col("p")).cast("int"))))
+    some = (F.col("h") % 10 == 0) & F.col("text").isNotNull()
+    docs = docs.withColumn("h", h).withColumn("words", F.when(some, words)).withColumn("words", F.when(n > 0, F.col("words")))
+    docs = docs.withColumns({"a": a, "p": p})
+    return docs.select("doc_id", F.coalesce(F.array_join(circled, " "), "text").alias("text"))
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = planted_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = runs.with_runs(docs)
+    # The first of the greatest: by length, then the smallest start and period.
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    lines_ = F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise("")
+    found = found.withColumn("best", longest)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.period")).alias("exponent_milli"),
+        F.sha2(lines_.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_language_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = held_out(F.col("doc_id"), 4, 2)
+    model = language.fit(docs.where(~out))
+    return language.with_language(docs.select("doc_id", "text"), model).select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_neighbours": op1_quality_neighbours,
     "op2_soft_mixing": op2_soft_mixing,
@@ -97,5 +142,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_robust_outliers": op8_robust_outliers,
     "op9_line_dedup": op9_line_dedup,
     "op10_token_files": op10_token_files,
+    "op11_runs": op11_runs,
+    "op12_language_filters": op12_language_filters,
+    "op13_whitening": op13_whitening,
 }
 ORACLE_SQL: dict[str, str] = {}
