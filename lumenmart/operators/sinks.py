@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumenmart.functions import month_key, surrogate_key
+from lumenmart.operators import files
+from lumenmart.operators.key_index import KeyIndex
 from lumenmart.sources.contract import EPOCH, PIPELINE_RUNS
 
 MONTH = "event_month"
@@ -61,21 +63,16 @@ def delete_insert(existing: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 # --- stored tables ----------------------------------------------------------------
 
 
-def _path(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Also brings back the previous table when a swap was cut short."""
     path = path.rstrip("/")
-    fs, p = _path(spark, path)
-    _, old = _path(spark, f"{path}__old")
+    fs, p = files.hadoop(spark, path)
+    _, old = files.hadoop(spark, f"{path}__old")
     return fs.exists(p) or (fs.exists(old) and fs.rename(old, p))
 
 
 def is_folder(spark: SparkSession, path: str) -> bool:
-    fs, p = _path(spark, path)
+    fs, p = files.hadoop(spark, path)
     return fs.getFileStatus(p).isDirectory()
 
 
@@ -126,33 +123,62 @@ def append_events(spark: SparkSession, path: str, batch: DataFrame, key: str, ts
     """Idempotent append of the rows whose key is not stored yet, in whatever month.
 
     The batch goes to a staging folder first, so its size, its newest times, its
-    months and the rows to add all come from one reading of the source. Of the
-    stored rows the key column alone is read, and reduced to the batch's keys
-    before it is joined, so a small batch shuffles nothing of the history.
+    months and the rows to add all come from one reading of the source. Which
+    keys are stored is asked of the table's key index, so the table itself is
+    not read. The rows to add stay in a folder of their own until the table and
+    the index have them; a load that was cut short is completed by the next
+    one. A table takes one load at a time.
     """
     path = path.rstrip("/")
-    stage, fresh = f"{path}__stage", f"{path}__added"
+    index = KeyIndex(spark, path, key)
+    _complete_appends(spark, path, key, ts, index)
+    run = uuid.uuid4().hex[:12]
+    stage, fresh = f"{path}__stage-{run}", f"{path}__added-{run}"
     with_month(batch, ts).write.mode("overwrite").parquet(stage)
     staged = read_table(spark, stage)
     size = staged.agg(F.count("*").alias("n"), F.max(ts).alias("newest"), F.max(arrival or ts).alias("arrival")).first()
     months = months_of(staged) if size["n"] else []
-    known = staged.select(key).where("false")
     stored = table_exists(spark, path)
-    if months and stored:
-        known = read_table(spark, path).select(key).join(staged.select(key), key, "left_semi")
+    if stored and not index.exists():  # written before there was an index
+        index.add(read_table(spark, path))
+    known = index.holding(staged) if months and stored else staged.select(key).where("false")
     order = [ts, *[c for c in batch.columns if c not in (key, ts)]]
     insert_if_absent(known, staged.drop(MONTH), key, order).write.mode("overwrite").parquet(fresh)
     new = read_table(spark, fresh)
     n = new.count()
     if n:
         write_months(new, path, ts, [ts, key])
+        index.add(new, n)
     elif not stored:  # a table without rows still has columns
         new.write.parquet(f"{path}/{MONTH}={NULL_MONTH}")
-    drop_table(spark, stage)
+        index.add(new, 0)
     drop_table(spark, fresh)
+    drop_table(spark, stage)
     return Loaded(size["n"], n, size["newest"], months, size["arrival"] if arrival else None)
 
 
+def _complete_appends(spark: SparkSession, path: str, key: str, ts: str, index: KeyIndex) -> None:
+    """Rows that a load had found new but may not have stored: the table gets
+    those it lacks, and the index all of them. Of the table only the months of
+    these rows are read, since a row is stored in the month of its time."""
+    folder, name = path.rsplit("/", 1)
+    for left in files.children(spark, folder):
+        if left.startswith(f"{name}__added-") and files.complete(spark, f"{folder}/{left}"):
+            rows = with_month(read_table(spark, f"{folder}/{left}"), ts)
+            lacking = rows
+            if table_exists(spark, path):
+                there = only_months(read_table(spark, path), months_of(rows)).select(key, ts)
+                same = F.col(f"r.{key}").eqNullSafe(F.col(f"t.{key}")) & F.col(f"r.{ts}").eqNullSafe(F.col(f"t.{ts}"))
+                lacking = rows.alias("r").join(there.alias("t"), same, "left_anti")
+            again = f"{folder}/{name}__stage-{uuid.uuid4().hex[:12]}"
+            lacking.drop(MONTH).write.parquet(again)
+            write_months(read_table(spark, again), path, ts, [ts, key])
+            drop_table(spark, again)
+            index.add(rows)
+        if left.startswith((f"{name}__added-", f"{name}__stage-")):
+            drop_table(spark, f"{folder}/{left}")
+
+
 def delete_insert_table(
     spark: SparkSession,
     path: str,
@@ -168,25 +194,48 @@ def delete_insert_table(
     (a corrected event may have moved). A month left without rows is dropped,
     since a dynamic overwrite alone would keep its old files. Where a key always
     keeps its month, `keys_may_move=False` saves the search through the table.
+
+    The batch is read once, into a folder of its own. The months as they will
+    be are complete in another before the table is touched, so a run that was
+    cut short while it put them in place is completed by the next one.
     """
-    stage = f"{path.rstrip('/')}__stage"
+    path = path.rstrip("/")
+    incoming, stage = f"{path}__incoming", f"{path}__months"
     sort_by = sort_by or [ts, key]
+    _put_in_place(spark, path, ts, sort_by)
+    batch.write.mode("overwrite").parquet(incoming)
+    batch = read_table(spark, incoming).select(*batch.columns)
     if not table_exists(spark, path):
         write_months(batch, path, ts, sort_by)
+        drop_table(spark, incoming)
         return
     old = read_table(spark, path)
     batch_months = months_of(with_month(batch, ts))
     holding = months_of(old.select(key, MONTH).join(batch.select(key), key, "left_semi")) if keys_may_move else []
     touched = sorted({*batch_months, *holding})
+    named = spark.createDataFrame([(m,) for m in touched], "month string")
+    named.coalesce(1).write.mode("overwrite").parquet(f"{path}__touched")
     kept = only_months(old, touched).drop(MONTH)
-    write_months(delete_insert(kept, batch, key), stage, ts, sort_by, mode="overwrite")
-    staged = read_table(spark, stage)
-    left = set(months_of(staged))
-    write_months(staged.drop(MONTH), path, ts, sort_by, mode="overwrite")
-    for month in touched:
-        if month not in left:
-            drop_table(spark, f"{path.rstrip('/')}/{MONTH}={month}")
+    with_month(delete_insert(kept, batch, key), ts).write.mode("overwrite").parquet(stage)
+    _put_in_place(spark, path, ts, sort_by)
+    index = KeyIndex(spark, path, key)
+    if index.exists():
+        index.add(batch)
+    drop_table(spark, incoming)
+
+
+def _put_in_place(spark: SparkSession, path: str, ts: str, sort_by: list[str]) -> None:
+    """Overwrite the touched months by the staged ones and drop those that have no rows any more; may be repeated."""
+    stage, touched = f"{path}__months", f"{path}__touched"
+    if files.complete(spark, stage) and files.complete(spark, touched):
+        staged = read_table(spark, stage)
+        left = set(months_of(staged))
+        write_months(staged.drop(MONTH), path, ts, sort_by, mode="overwrite")
+        for row in read_table(spark, touched).collect():  # one per calendar month
+            if row.month not in left:
+                drop_table(spark, f"{path}/{MONTH}={row.month}")
     drop_table(spark, stage)
+    drop_table(spark, touched)
 
 
 def replace_table(spark: SparkSession, df: DataFrame, path: str, *partition_by: str) -> None:
@@ -194,20 +243,18 @@ def replace_table(spark: SparkSession, df: DataFrame, path: str, *partition_by:
     path = path.rstrip("/")
     fresh, old = f"{path}__next", f"{path}__old"
     df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(fresh)
-    fs, target = _path(spark, path)
+    fs, target = files.hadoop(spark, path)
     if table_exists(spark, path):
         drop_table(spark, old)
-        if not fs.rename(target, _path(spark, old)[1]):
+        if not fs.rename(target, files.hadoop(spark, old)[1]):
             raise OSError(f"cannot move {path} aside")
-    if not fs.rename(_path(spark, fresh)[1], target):
+    if not fs.rename(files.hadoop(spark, fresh)[1], target):
         raise OSError(f"cannot move the new rows to {path}")
     drop_table(spark, old)
 
 
 def drop_table(spark: SparkSession, path: str) -> None:
-    fs, p = _path(spark, path)
-    if fs.exists(p):
-        fs.delete(p, True)
+    files.drop(spark, path)
 
 
 # --- state ---------------------------------------------------------------------------

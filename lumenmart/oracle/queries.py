@@ -467,9 +467,8 @@ QUERIES: dict[str, str] = {
                 FROM fe GROUP BY 1, 2) GROUP BY 1) USING (user_sk) GROUP BY 1)""",
     "retention_rates": retention((1, 7, 14, 30)),
     "cohort_week_matrix": f"""SELECT m.*, {ratio('active_users', 'cohort_size')} AS retention_rate FROM ({{matrix}}) m""",
-    "cohort_week_pivot": """SELECT cohort_week, cohort_size, coalesce(COLUMNS('week_[0-9]+'), 0)
-        FROM (PIVOT (SELECT cohort_week, cohort_size, active_users, 'week_' || week_number AS week FROM ({matrix}))
-            ON week USING max(active_users) GROUP BY cohort_week, cohort_size)""",
+    "cohort_week_pivot": f"""SELECT cohort_week, cohort_size, {', '.join(f"coalesce(max(active_users) FILTER (week_number = {n}), 0) AS week_{n}" for n in range(6))}
+        FROM ({{matrix}}) GROUP BY 1, 2""",
     "rolling_retention": f"""SELECT *, {', '.join(f"{ratio(f'd{n}_rolling_users', 'cohort_size')} AS d{n}_rolling_rate" for n in (1, 7, 14, 30))}
         FROM (SELECT registration_date AS cohort_date, count(DISTINCT u.user_sk) AS cohort_size,
             {', '.join(f"count(DISTINCT u.user_sk) FILTER (activity_date >= registration_date + {n}) AS d{n}_rolling_users" for n in (1, 7, 14, 30))}
@@ -595,6 +594,16 @@ QUERIES: dict[str, str] = {
         FROM (SELECT DISTINCT "timestamp"::DATE AS d FROM ae)""",
     "stream_audit": """SELECT 'load_events' AS dag_id, 'stream' AS lane, 'SUCCESS' AS status,
             count(*) + count(*) FILTER (date_diff('second', "timestamp", created_at) >= 172800) AS rows_extracted, count(*) AS rows_loaded FROM ae""",
+    "stream_closed_sessions": f"""SELECT user_id, events_count, session_start, session_end
+        FROM ({sessionized('in_time', 'user_id', 't', "INTERVAL 30 MINUTE")})
+        WHERE session_end + INTERVAL 30 MINUTE <= (SELECT max(t) FROM in_time) - INTERVAL {registry.CLOSING_DELAY} SECOND""",
+    "stream_late_rows": """SELECT user_id, count(*) AS late_events, max(t) AS last_ts FROM parts WHERE t < mark GROUP BY 1""",
+    "sketched_actives": f"""SELECT activity_date, 'all' AS platform, wau, mau, true AS wau_close, true AS mau_close FROM marks
+        UNION ALL SELECT d, 'mobile_ios', (SELECT count(DISTINCT user_sk) FROM mobile_days x WHERE x.d BETWEEN m.d - 6 AND m.d),
+            (SELECT count(DISTINCT user_sk) FROM mobile_days x WHERE x.d BETWEEN m.d - 29 AND m.d), true, true
+        FROM (SELECT DISTINCT d FROM mobile_days) m""",
+    "sketched_durations": f"""SELECT date_trunc('week', {day_of('session_start_date_sk')})::DATE AS week, count(*) AS sessions,
+        true AS p50_close, true AS p90_close FROM fs GROUP BY 1""",
     "append_other_month": 'SELECT id, event_name, "timestamp" FROM ae',
     "limited_loads": 'SELECT id, event_name, "timestamp" FROM ae',
     "stream_trailing_actives": """SELECT d AS activity_date, count(DISTINCT user_id) AS dau,
@@ -638,9 +647,23 @@ _MATRIX = """SELECT cohort_week, week_number, cohort_size, active_users FROM (
 QUERIES["cohort_week_matrix"] = QUERIES["cohort_week_matrix"].replace("{matrix}", _MATRIX)
 QUERIES["cohort_week_pivot"] = QUERIES["cohort_week_pivot"].replace("{matrix}", _MATRIX)
 
+QUERIES["bitmap_retention_rates"] = QUERIES["retention_rates"]
+for _name in ("rolling_retention", "dormant_users", "cohort_week_matrix"):
+    QUERIES[f"bitmap_{_name}"] = QUERIES[_name]
+
+# A part is what arrives between two runs; its mark is the newest time of the parts before, less the delay.
+_PARTS = {
+    "parts": f"""SELECT user_id, t, (SELECT max("timestamp") FROM ae x WHERE x.created_at < a.since) - INTERVAL {registry.CLOSING_DELAY} SECOND AS mark
+        FROM (SELECT user_id, "timestamp" AS t, CASE {' '.join(f"WHEN created_at >= TIMESTAMP '{d}' THEN TIMESTAMP '{d}'" for d in reversed(registry.ARRIVALS))} END AS since FROM ae) a""",
+    "in_time": "SELECT user_id, t FROM parts WHERE mark IS NULL OR t >= mark",
+}
+
 # Table expressions that only single queries need.
 LOCAL_CTES: dict[str, dict[str, str]] = {
     "funnel_conversion": _FUNNEL_CTES,
+    "stream_closed_sessions": _PARTS,
+    "stream_late_rows": _PARTS,
+    "sketched_actives": {"mobile_days": f"SELECT user_sk, {day_of('event_date_sk')} AS d FROM fe WHERE platform = 'mobile_ios' AND user_sk <> {U}"},
     "mrt_content_university": {"one_univ": f"SELECT user_sk FROM d_users WHERE university_sk = {sk('1')}"},
     # The period filter acts on the fact, so everything above it is rebuilt on the filtered fact.
     "mrt_engagement_period": {"fe": f"SELECT * FROM fe0 WHERE {_PERIOD}"},

@@ -115,7 +115,8 @@ class Warehouse:
         if limit is not None:
             # Rows already stored must not use up the limit, or it would never get past them.
             if sinks.table_exists(self.spark, path):
-                batch = batch.join(self.table("analytics_events").select("id"), "id", "left_anti").select(*batch.columns)
+                known = sinks.KeyIndex(self.spark, path, "id").holding(batch)
+                batch = batch.join(known, "id", "left_anti").select(*batch.columns)
             batch = batch.dropDuplicates(["id"]).orderBy(F.col(oldest_first).asc_nulls_first(), "timestamp", "id").limit(limit)
         return sinks.append_events(self.spark, path, batch, "id", "timestamp", "created_at")
 

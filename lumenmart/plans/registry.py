@@ -10,17 +10,19 @@ from pyspark.sql import functions as F
 
 from lumenmart.functions import month_key, ratio, surrogate_key_of
 from lumenmart.operators import dimensions, history, sinks
+from lumenmart.operators.bitmaps import extend_blocks
 from lumenmart.operators.facts import hits
 from lumenmart.operators.ranking import exact_percentiles, trailing_actives
 from lumenmart.operators.slots import inactivity_sessions
 from lumenmart.operators.staging import stg_users
-from lumenmart.plans import marts, metrics, quality, workloads
+from lumenmart.plans import marts, metrics, quality, summaries, workloads
 from lumenmart.plans.loader import MARTS, Warehouse, materialise
 from lumenmart.plans.star import TABLES, Star
 from lumenmart.plans.views import publish_views
 from lumenmart.session import configure, shared_dir
 from lumenmart.sources import readers
 from lumenmart.streaming import jobs
+from lumenmart.streaming.sessions import SessionStream
 
 # Parameters of the registered queries (the oracle uses the same ones).
 AS_OF = "2024-02-01 00:00:00"
@@ -29,6 +31,7 @@ LOOKUP_DAY, LOOKUP_USER = 20240115, 42
 LOOKUP_REGISTERED = "2023-12-27 00:00:00.000000"
 LATE_SECONDS = 86400
 SALT = "campus"
+ARRIVALS, CLOSING_DELAY = ("2024-01-08", "2024-01-16", "2024-01-24"), 86400
 
 
 def mart(s: Star, name: str) -> DataFrame:
@@ -244,6 +247,31 @@ def stream_sliding_actives(s: Star) -> DataFrame:
     return trailing_actives(days, "user_id", "activity_date", {"active_users": 7}).select("activity_date", "active_users")
 
 
+def _closing_sessions(s: Star) -> SessionStream:
+    """A stream that runs whenever a part of the events has arrived."""
+    root = shared_dir(s.spark, "closing-sessions")
+    stream = SessionStream(s.spark, f"{root}/out", CLOSING_DELAY)
+    events = s.raw_events.select("user_id", "timestamp", "created_at")
+    schema = events.drop("created_at").schema
+    at = [F.lit(d).cast("timestamp_ntz") for d in ARRIVALS]
+    for k in range(len(at) + 1):
+        part = events.where(F.col("created_at") >= at[k - 1]) if k else events
+        part = part.where(F.col("created_at") < at[k]) if k < len(at) else part
+        part.drop("created_at").write.mode("append").parquet(f"{root}/landing")
+        stream.run(jobs.read_stream(s.spark, f"{root}/landing", schema))
+    return stream
+
+
+def stream_closed_sessions(s: Star) -> DataFrame:
+    """Sessions that a stream has written once the watermark passed them."""
+    return _closing_sessions(s).closed()
+
+
+def stream_late_rows(s: Star) -> DataFrame:
+    """Events below the watermark of the parts that arrived before theirs."""
+    return _closing_sessions(s).late().groupBy("user_id").agg(F.count("*").alias("late_events"), F.max("event_ts").alias("last_ts"))
+
+
 def stream_upsert(s: Star) -> DataFrame:
     """Corrected events arrive as a stream and replace the stored ones."""
     root = shared_dir(s.spark, "stream-upsert")
@@ -272,6 +300,31 @@ def stream_audit(s: Star) -> DataFrame:
     return runs.groupBy("dag_id", "lane", "status").agg(F.sum("rows_extracted").alias("rows_extracted"), F.sum("rows_loaded").alias("rows_loaded"))
 
 
+def active_blocks(s: Star) -> DataFrame:
+    """Active days as stored bits, after two loads that overlap in time."""
+    path = shared_dir(s.spark, "active-days")
+    days = summaries.active_days(s.fct_daily_user_activity)
+    middle = F.lit(WATERMARK[:10]).cast("date")
+    for part in (days.where(F.col("activity_date") < middle), days.where(F.col("activity_date") >= F.date_sub(middle, 3))):
+        extend_blocks(s.spark, path, part, "user_sk", "activity_date")
+    return sinks.read_table(s.spark, path)
+
+
+def sketched_actives(s: Star) -> DataFrame:
+    """Trailing actives, of all and of one platform, and whether estimates from stored sketches keep to their bound."""
+    path = shared_dir(s.spark, "activity-sketches")
+    events = s.fct_events.select("user_sk", "event_date_sk", "platform")
+    summaries.activity_sketches(events, s.dim_users).write.parquet(path)
+    stored = sinks.read_table(s.spark, path)
+    return summaries.checked_actives(events, stored).unionByName(summaries.checked_actives(events, stored, "mobile_ios"))
+
+
+def sketched_durations(s: Star) -> DataFrame:
+    path = shared_dir(s.spark, "duration-sketches")
+    summaries.duration_sketches(s.fct_sessions).write.parquet(path)
+    return summaries.checked_durations(s.fct_sessions, sinks.read_table(s.spark, path))
+
+
 def append_other_month(s: Star) -> DataFrame:
     """An id that comes again with a time of another month is stored once."""
     path = shared_dir(s.spark, "append-months")
@@ -470,7 +523,16 @@ QUERIES: dict[str, Callable[[Star], DataFrame]] = {
     "stream_sliding_actives": stream_sliding_actives,
     "stream_upsert": stream_upsert,
     "stream_audit": stream_audit,
+    "stream_closed_sessions": stream_closed_sessions,
+    "stream_late_rows": stream_late_rows,
     "append_other_month": append_other_month,
+    # metrics from stored summaries
+    "bitmap_retention_rates": lambda s: summaries.retention_rates(active_blocks(s), s.dim_users),
+    "bitmap_rolling_retention": lambda s: summaries.rolling_retention(active_blocks(s), s.dim_users),
+    "bitmap_dormant_users": lambda s: summaries.dormant_users(active_blocks(s)),
+    "bitmap_cohort_week_matrix": lambda s: summaries.cohort_week_matrix(active_blocks(s), s.dim_users),
+    "sketched_actives": sketched_actives,
+    "sketched_durations": sketched_durations,
     "limited_loads": limited_loads,
     # the generic operators on other entities
     "orders_trailing_customers": orders_trailing_customers,

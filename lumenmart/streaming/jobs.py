@@ -20,6 +20,7 @@ from lumenmart.functions import date_key
 from lumenmart.operators.facts import flag, hits
 from lumenmart.operators.sinks import Loaded, append_events, delete_insert_table, is_folder, logged_batches
 from lumenmart.operators.slots import inactivity_sessions, slot_of
+from lumenmart.operators.spans import FANOUT, Span, Spans
 from lumenmart.session import shared_dir
 from lumenmart.sources.contract import CORE_ACTIONS, RATING_EVENTS
 
@@ -35,17 +36,6 @@ def read_stream(spark: SparkSession, path: str, schema, max_files: int | None =
     return reader.option("pathGlobFilter", name).parquet(folder)
 
 
-def with_event_time(raw: DataFrame, delay: str) -> DataFrame:
-    """Rows with `event_ts` as an instant and a watermark on it."""
-    return raw.withColumn("event_ts", F.col("timestamp").cast("timestamp")).withWatermark("event_ts", delay)
-
-
-def deduplicated(raw: DataFrame, delay: str = "3 days") -> DataFrame:
-    """First delivery of each event id. State is kept for `delay` only, so retries
-    that come later than that must be caught by the sink (see `run_append`)."""
-    return with_event_time(raw, delay).dropDuplicatesWithinWatermark(["id"])
-
-
 def daily_sessions(events: DataFrame) -> DataFrame:
     """Sums per (day, user, session): what a batch adds to the daily activity."""
     name = F.col("event_name")
@@ -60,9 +50,7 @@ def daily_sessions(events: DataFrame) -> DataFrame:
 
 def daily_activity(per_session: DataFrame) -> DataFrame:
     """Daily activity from the sums of all batches; a session of several batches counts once."""
-    sums = [F.sum(c).alias(c) for c in ("events_count", "ratings", "downloads", "uploads")]
-    once = per_session.groupBy("date_sk", "user_id", "session_id").agg(*sums, F.max("core").alias("core"))
-    return once.groupBy("date_sk", "user_id").agg(
+    return added_sessions(per_session).groupBy("date_sk", "user_id").agg(
         F.count("session_id").alias("session_count"),
         F.sum("events_count").alias("events_count"),
         F.sum("ratings").alias("ratings_submitted_count"),
@@ -91,21 +79,26 @@ def user_days(events: DataFrame) -> DataFrame:
     return events.select("user_id", F.to_date("timestamp").alias("activity_date")).distinct()
 
 
-# --- running ---------------------------------------------------------------------
+def added_sessions(sums: DataFrame) -> DataFrame:
+    """Several batches' `daily_sessions` as one."""
+    added = [F.sum(c).alias(c) for c in ("events_count", "ratings", "downloads", "uploads")]
+    return sums.groupBy("date_sk", "user_id", "session_id").agg(*added, F.max("core").alias("core"))
 
 
-def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Handle all that has arrived, write Parquet, and stop."""
-    q = (
-        stream.writeStream.format("parquet")
-        .outputMode(mode)
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return q
+def added_slots(sums: DataFrame) -> DataFrame:
+    """Several batches' `slot_sums` as one."""
+    return sums.groupBy("user_id", "slot").agg(F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts"), F.sum("n").alias("n"))
+
+
+#: What makes one row of the rows that several batches leave for a key.
+ADDED: dict[Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]] = {
+    daily_sessions: added_sessions,
+    slot_sums: added_slots,
+    user_days: DataFrame.distinct,
+}
+
+
+# --- running ---------------------------------------------------------------------
 
 
 def run_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str, mode: str = "append") -> StreamingQuery:
@@ -134,17 +127,25 @@ def run_append(raw: DataFrame, path: str, checkpoint: str, log: str | None = Non
     return run_batches(raw, handle, checkpoint)
 
 
-def run_partials(raw: DataFrame, path: str, checkpoint: str, shape: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+def run_partials(raw: DataFrame, path: str, checkpoint: str, shape: Callable[[DataFrame], DataFrame], fanout: int = FANOUT) -> StreamingQuery:
     """Each batch leaves its own sums in a folder of its number, which a replay
     overwrites. Nothing is kept as state and nothing is late: readers add up
-    the sums of all batches."""
+    the sums of all batches. Folders of one size are added up into greater ones,
+    so their number grows with the logarithm of the batches."""
+    spans = Spans(raw.sparkSession, path, fanout)
 
     def load(batch: DataFrame, number: int) -> None:
-        shape(batch).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        spans.put(number, lambda _, folder: shape(batch).write.mode("overwrite").parquet(folder))
+        spans.merge(lambda group, _, folder: add_up(spans, group, folder, shape))
 
     return run_batches(raw, load, checkpoint)
 
 
+def add_up(spans: Spans, group: list[Span], folder: str, shape: Callable[[DataFrame], DataFrame]) -> None:
+    sums = spans.spark.read.parquet(*(spans.path(s) for s in group))
+    ADDED[shape](sums).write.mode("overwrite").parquet(folder)
+
+
 def run_delete_insert(
     raw: DataFrame, path: str, checkpoint: str, key: str, ts: str, shape: Callable[[DataFrame], DataFrame]
 ) -> StreamingQuery:
@@ -161,4 +162,4 @@ def partials(stream: DataFrame, name: str, shape: Callable[[DataFrame], DataFram
     """Run a stream into sums of its batches in the shared folder and read them back."""
     root = shared_dir(stream.sparkSession, name)
     run_partials(stream, f"{root}/data", f"{root}/checkpoint", shape)
-    return stream.sparkSession.read.parquet(f"{root}/data").drop("batch")
+    return Spans(stream.sparkSession, f"{root}/data").read()

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from lumenmart.operators import sinks
+from lumenmart.operators import key_index, sinks
 from lumenmart.sources.contract import EPOCH
 
 
@@ -132,3 +132,102 @@ def test_export(spark, tmp_path):
 def test_first_per_key_with_many_copies(spark, copies):
     df = spark.range(copies).selectExpr("'k' AS id", "id AS v").unionByName(spark.createDataFrame([("z", 5)], "id string, v bigint"))
     assert sorted(tuple(r) for r in sinks.first_per_key(df, "id", ["v"]).collect()) == [("k", 0), ("z", 5)]
+
+
+def year_of_rows(spark, n, first=0):
+    """Rows of twelve months with ids that nothing orders."""
+    ids = spark.range(first, first + n)
+    return ids.select(
+        F.md5(F.col("id").cast("string")).alias("id"),
+        F.expr("timestamp_ntz'2026-01-10 00:00:00' + make_interval(0, cast(id % 12 as int))").alias("ts"),
+        F.col("id").cast("int").alias("v"),
+    )
+
+
+def test_a_small_load_opens_few_files_of_the_index(spark, tmp_path, monkeypatch):
+    """Twelve months are stored; a load of new rows and one retry reads the files that may hold the retry, none of the table."""
+    monkeypatch.setattr(key_index, "BUCKET_KEYS", 500)
+    monkeypatch.setattr(key_index.KeyIndex.__init__, "__defaults__", (500,))
+    path = str(tmp_path / "t")
+    sinks.append_events(spark, path, year_of_rows(spark, 20_000), "id", "ts")
+    index = key_index.KeyIndex(spark, path, "id")
+    files_of_all = len(index._read(index.spans.current()).inputFiles())
+    assert files_of_all >= 8 and len(sinks.months_of(sinks.read_table(spark, path))) == 12
+    small = year_of_rows(spark, 20, first=19_999)
+    assert 1 <= len(index.holding(small).inputFiles()) <= 2 and index.holding(small).count() == 1
+    assert not any("event_month" in f for f in index.holding(small).inputFiles())
+    assert sinks.append_events(spark, path, small, "id", "ts").added == 19
+    assert sinks.read_table(spark, path).select("id").distinct().count() == sinks.read_table(spark, path).count() == 20_019
+
+
+def test_key_index_finds_all_and_lets_few_through(spark, tmp_path):
+    index = key_index.KeyIndex(spark, str(tmp_path), "k", bucket_keys=1000)
+    index.add(spark.range(30_000).withColumnRenamed("id", "k"))
+    assert index.holding(spark.range(0, 60_000, 7).withColumnRenamed("id", "k")).count() == len(range(0, 30_000, 7))
+    through = sum(bool(index.buckets(spark.createDataFrame([(k,)], "k bigint"))) for k in range(40_000, 40_005))
+    assert through == 0
+    nulls = spark.createDataFrame([(None,), (None,)], "k bigint")
+    index.add(nulls)
+    assert index.holding(nulls).count() == 0 and index.buckets(nulls) == []
+
+
+def test_spans_of_many_loads_are_few(spark, tmp_path):
+    index = key_index.KeyIndex(spark, str(tmp_path), "k")
+    index.spans.fanout = 3
+    for i in range(10):
+        index.add(spark.range(i * 10, i * 10 + 10).withColumnRenamed("id", "k"))
+    assert index.spans.current() == [(0, 8), (9, 9)]
+    assert index.holding(spark.range(-5, 200).withColumnRenamed("id", "k")).count() == 100
+
+
+def test_append_cut_short_is_completed_by_the_next(spark, tmp_path, monkeypatch):
+    """Rows are stored but the index lacks them: they count as stored all the same, once."""
+    path = str(tmp_path / "t")
+    sinks.append_events(spark, path, batch(spark, ("a", "2026-01-15 10:00:00", 1)), "id", "ts")
+    more = batch(spark, ("b", "2026-02-15 10:00:00", 2), ("c", "2026-03-15 10:00:00", 3))
+    with monkeypatch.context() as m:
+        m.setattr(key_index.KeyIndex, "add", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            sinks.append_events(spark, path, more, "id", "ts")
+    assert len(content(spark, path)) == 3
+    # Half of what was added is gone as well: the write itself was cut short.
+    sinks.drop_table(spark, f"{path}/event_month=2026-03")
+    again = sinks.append_events(spark, path, more.unionByName(batch(spark, ("d", "2026-03-16 10:00:00", 4))), "id", "ts")
+    assert again.added == 1 and [r[0] for r in content(spark, path)] == ["a", "b", "c", "d"]
+    assert sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_delete_insert_cut_short_between_overwrite_and_drop(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    sinks.delete_insert_table(spark, path, batch(spark, ("a", "2026-01-15 10:00:00", 1), ("b", "2026-02-15 10:00:00", 2)), "id", "ts")
+    moved = batch(spark, ("b", "2026-03-01 00:00:00", 20))
+    drop = sinks.drop_table
+
+    def lost(spark, path):
+        if "event_month" in path:
+            raise OSError("lost")
+        drop(spark, path)
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "drop_table", lost)
+        with pytest.raises(OSError):
+            sinks.delete_insert_table(spark, path, moved, "id", "ts")
+    assert [r[0] for r in content(spark, path)] == ["a", "b", "b"]  # both months hold the key for now
+    sinks.delete_insert_table(spark, path, batch(spark, ("c", "2026-05-01 00:00:00", 3)), "id", "ts")
+    assert [(r[0], r[3]) for r in content(spark, path)] == [("a", "2026-01"), ("b", "2026-03"), ("c", "2026-05")]
+    assert sorted(os.listdir(tmp_path)) == ["t"]
+
+
+def test_delete_insert_reads_its_batch_once(spark, tmp_path):
+    """A source that changes between readings would otherwise give months, keys and rows that don't fit each other."""
+    path, seen = str(tmp_path / "t"), spark.sparkContext.accumulator(0)
+    sinks.delete_insert_table(spark, path, batch(spark, ("a", "2026-01-15 10:00:00", 1)), "id", "ts")
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    new = batch(spark, ("a", "2026-02-15 10:00:00", 2)).coalesce(1)
+    sinks.delete_insert_table(spark, path, new.mapInArrow(count, new.schema), "id", "ts")
+    assert seen.value == 1 and content(spark, path) == [("a", "2026-02-15 10:00:00", 2, "2026-02")]

@@ -1,10 +1,15 @@
 """Streams against batch results, with a late row at the end that closes every window."""
 
+import os
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from lumenmart.operators import sinks
 from lumenmart.operators.slots import inactivity_sessions
+from lumenmart.operators.spans import Spans
 from lumenmart.sources import contract
 from lumenmart.streaming import jobs
 
@@ -54,6 +59,49 @@ def test_a_replayed_batch_counts_once(spark, star, tmp_path):
     assert total == 2 * raw.count()
 
 
+def test_two_hundred_batches_leave_few_folders(spark, tmp_path):
+    """What many batches leave, with merges cut short and batches repeated, adds up to all of it."""
+    spans, cuts = Spans(spark, str(tmp_path), fanout=6), []
+
+    def write(numbers, folder, done=True):
+        os.makedirs(folder, exist_ok=True)
+        pq.write_table(pa.table({"number": numbers}), f"{folder}/part-0.parquet")
+        if done:
+            open(f"{folder}/_SUCCESS", "w").close()
+
+    def merge(group, span, folder):
+        numbers = [n for s in group for n in pq.read_table(f"{spans.path(s)}/part-0.parquet")["number"].to_pylist()]
+        cut = span in ((0, 5), (36, 71)) and span not in cuts
+        write(numbers[: len(numbers) // 2] if cut else numbers, folder, done=not cut)
+        if cut:
+            cuts.append(span)
+            raise OSError("lost")
+
+    for number in range(200):
+        for again in range(3):
+            try:
+                if again != 1 or number % 9 == 0:  # batches are repeated, also when they were merged
+                    spans.put(number - 20 if again == 2 and number > 20 else number, lambda s, folder: write([s[0]], folder))
+                spans.merge(merge)
+            except OSError:
+                pass
+    assert len(cuts) == 2 and len(spans.current()) <= 3 * 5
+    assert sorted(r.number for r in spans.read().collect()) == list(range(200))
+    spans.sweep()
+    assert len([f for f in os.listdir(tmp_path) if f.startswith("span=")]) == len(spans.current())
+
+
+def test_merged_stream_equals_batch(spark, star, landing, tmp_path):
+    """Three batches, merged two by two, give the sessions of all rows."""
+    one_by_one = jobs.read_stream(spark, landing, contract.ANALYTICS_EVENTS, max_files=1)
+    jobs.run_partials(one_by_one, str(tmp_path / "data"), str(tmp_path / "checkpoint"), jobs.daily_sessions, fanout=2)
+    spans = Spans(spark, str(tmp_path / "data"), fanout=2)
+    assert spans.current() == [(0, 1), (2, 2)]
+    got = jobs.daily_activity(spans.read())
+    expected = jobs.daily_activity(jobs.daily_sessions(spark.read.parquet(landing)))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+
+
 def test_append_stream_runs_twice(spark, star, landing, tmp_path):
     path, checkpoint = str(tmp_path / "events"), str(tmp_path / "checkpoint")
     log = str(tmp_path / "runs")
