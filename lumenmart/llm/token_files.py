@@ -19,7 +19,7 @@ The strings of the tokenizer's added tokens are ordinary text, or with
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -52,13 +52,23 @@ def _added(tokenizer_json: str):
     return tokenizer, [t.content for t in tokenizer.get_added_tokens_decoder().values()]
 
 
-def encoded(text: str, tokenizer_json: str, added_tokens: bool) -> bytes:
-    """The ids of a text; with ``added_tokens`` the library takes the texts that hold one."""
-    if added_tokens:
-        tokenizer, strings = _added(tokenizer_json)
+def encoder(tokenizer_json: str, added_tokens: bool) -> Callable[[str], bytes]:
+    """From a text to its ids; with ``added_tokens`` the library takes the texts that hold one.
+
+    The tokenizer is looked up here, once for many texts: a lookup compares the
+    whole of ``tokenizer_json``.
+    """
+    plain = _segments(tokenizer_json).encode
+    if not added_tokens:
+        return plain
+    tokenizer, strings = _added(tokenizer_json)
+
+    def encoded(text: str) -> bytes:
         if any(s in text for s in strings):
             return id_bytes(tokenizer.encode(text, add_special_tokens=False).ids)
-    return _segments(tokenizer_json).encode(text)
+        return plain(text)
+
+    return encoded
 
 
 @lru_cache(2)
@@ -93,8 +103,9 @@ def write(df: DataFrame, path: str, tokenizer_path: str, end_id: int, doc_id: st
 
     @F.arrow_udf("array<int>")
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encode = encoder(tokenizer_json, added_tokens)
         for batch in batches:
-            yield id_lists([encoded(x.as_py() or "", tokenizer_json, added_tokens) + end for x in batch])
+            yield id_lists([encode(x or "") + end for x in batch.to_pylist()])
 
     rows = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
