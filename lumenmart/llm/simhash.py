@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lumenmart.llm.common import saved
+from lumenmart.llm.common import fresh_names, saved
 from lumenmart.llm.components import components
 
 BLOCKS = ("golay23", "golay23")
@@ -199,6 +199,12 @@ def with_fingerprint(df: DataFrame, text: str = "text", result: str = "print") -
     return df.withColumn(result, of(F.col(text)))
 
 
+def _roots(prints: DataFrame, threshold: int, blocks: tuple[str, ...]) -> DataFrame:
+    """Adds ``root``, one fingerprint of its group, to rows with a ``print`` of their own each."""
+    linked = components(print_links(prints, threshold, blocks))
+    return prints.join(linked, prints["print"] == linked["node"], "left").withColumn("root", F.coalesce("component", "print")).drop("node", "component")
+
+
 def near_duplicates(df: DataFrame, threshold: int = 2, doc_id: str = "doc_id", text: str = "text", blocks: tuple[str, ...] = BLOCKS) -> DataFrame:
     """``doc_id``, ``print`` and ``component_id`` (smallest id reachable over links) of each row.
 
@@ -210,7 +216,23 @@ def near_duplicates(df: DataFrame, threshold: int = 2, doc_id: str = "doc_id", t
     docs = df.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     docs = saved(with_fingerprint(docs).select("doc_id", "print"), "prints")
     prints = docs.groupBy("print").agg(F.min("doc_id").alias("least"))
-    linked = components(print_links(prints, threshold, blocks))
-    rooted = prints.join(linked, prints["print"] == linked["node"], "left").select("print", "least", F.coalesce("component", "print").alias("root"))
+    rooted = _roots(prints, threshold, blocks)
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     return docs.join(rooted.join(named, "root").select("print", "component_id"), "print").select("doc_id", "print", "component_id")
+
+
+def first_of_each(df: DataFrame, threshold: int = 2, doc_id: str = "doc_id", text: str = "text", blocks: tuple[str, ...] = BLOCKS) -> DataFrame:
+    """The least row, by ``doc_id`` and text, of every group of near-duplicates; all columns stay.
+
+    A row without an id stays only where all of its group lack one. Texts
+    without words are alike. Rows of one id are told apart by their texts, and
+    repeated rows are one group, also where their other columns differ. An
+    empty table gives no rows.
+    """
+    own, root, first = fresh_names(df, "print", "root", "first")
+    rows = saved(with_fingerprint(df, text, own), "rows-with-prints")
+    prints = rows.select(F.col(own).alias("print")).distinct()
+    rooted = _roots(prints, threshold, blocks).select(F.col("print").alias(own), F.col("root").alias(root))
+    row = F.struct(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id), F.col(text)).alias("order"), F.struct(*df.columns).alias("row"))
+    least = rows.join(rooted, own).select(root, row.alias(first)).groupBy(root).agg(F.min(first)["row"].alias(first))
+    return least.select(*(F.col(first)[c].alias(c) for c in df.columns))
