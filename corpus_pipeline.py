@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lumenmart.llm import bpe, lines, mixing, overlap, quality
+from lumenmart.llm import bpe, lines, mixing, quality, simhash
 from lumenmart.llm.common import held_out, saved, table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -36,8 +36,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that share 0.8 or more of their five-word shingles, the one with the smallest id stays."""
-    return overlap.first_of_each(docs.select(*COLUMNS), percent=80, shingle=5)
+    """Of documents whose fingerprints are linked by two or fewer differing bits, the one with the smallest id stays."""
+    return simhash.first_of_each(docs.select(*COLUMNS), threshold=2)
 
 
 def mix_domains(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
