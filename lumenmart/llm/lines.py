@@ -28,16 +28,19 @@ Lines without words always stay.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lumenmart.llm.common import WORD_GAP, saved
+from lumenmart.llm.common import WORD_GAP, fresh_names, saved
 
 #: Words of the shortest line that is compared with changes, and of the shortest whose halves are looked at first.
 MIN_WORDS, HALVED = 5, 10
 #: Bits of a bitmap: 4 MB. With far more keys than bits all rows pass, and the joins do the work alone.
 BITS = 1 << 25
-#: Primes and bases of the polynomial hashes.
+#: Words whose sums are made together; primes and bases of the polynomial hashes.
+SUMS = 128
 PRIMES, BASES = (2147483647, 2147483629), (1000003, 998244353 % 2147483629)
 
 
@@ -57,7 +60,11 @@ def _maybe_in(rows: DataFrame, key: Column, bitmap: DataFrame) -> DataFrame:
 
 
 def _words(line: Column) -> Column:
-    return F.split(F.lower(F.btrim(line, F.lit(" \t\n\x0b\x0c\r"))), WORD_GAP)
+    """Lower-cased words of a line. Most lines have single spaces between them, and splitting there takes no pattern."""
+    gaps = reduce(Column.__or__, [F.contains(line, F.lit(c)) for c in ("  ", "\t", "\x0b", "\x0c", "\r")])
+    uneven = gaps | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" "))
+    trimmed = F.split(F.btrim(F.lower(line), F.lit(" \t\n\x0b\x0c\r")), WORD_GAP)
+    return F.when(uneven, trimmed).otherwise(F.split(F.lower(line), " "))
 
 
 def _documents(df: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -83,14 +90,37 @@ def _lines(docs: DataFrame, min_words: int) -> DataFrame:
 
 
 def _running_sums(prime: int, base: int) -> Column:
-    """Sums of the words' hashes times powers of the base, modulo the prime; the first is 0."""
-    start = F.struct(F.array(F.lit(0).cast("bigint")).alias("sums"), F.lit(1).cast("bigint").alias("power"))
+    """Sums of the words' hashes times powers of the base, modulo the prime; the first is 0.
+
+    In a line of more than ``SUMS`` words they are made per block of so many and
+    then moved to the block's place in the line, so that no array longer than a
+    block, or than the number of blocks, is ever copied to append to it.
+    """
+    none = F.struct(F.array(F.lit(0).cast("bigint")).alias("sums"), F.lit(1).cast("bigint").alias("power"))
 
-    def step(state: Column, word: Column) -> Column:
-        following = (F.element_at(state["sums"], -1) + F.pmod(F.xxhash64(word), F.lit(prime)) * state["power"]) % prime
+    def add(state: Column, h: Column) -> Column:
+        following = (F.element_at(state["sums"], -1) + F.pmod(h, F.lit(prime)) * state["power"]) % prime
         return F.struct(F.array_append(state["sums"], following).alias("sums"), (state["power"] * base % prime).alias("power"))
 
-    return F.aggregate("words", start, step, lambda state: state["sums"])
+    summed = lambda hashes: F.aggregate(hashes, none, add, lambda state: state["sums"])
+    block = lambda b: summed(F.slice("hashes", b * SUMS + 1, F.lit(SUMS)))
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size("hashes") - 1) / SUMS).cast("int")), block)
+
+    here = F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(1).cast("bigint").alias("power"))
+    step = pow(base, SUMS, prime)
+
+    def move(places: Column, sums: Column) -> Column:
+        last = F.element_at(places, -1)
+        following = (last["sum"] + F.element_at(sums, -1) * last["power"]) % prime
+        return F.array_append(places, F.struct(following.alias("sum"), (last["power"] * step % prime).alias("power")))
+
+    places = F.aggregate(blocks, F.array(here), move)
+    moved = F.zip_with(
+        blocks, F.slice(places, 1, F.size(places) - 1),
+        lambda sums, at: F.transform(F.slice(sums, 1, F.size(sums) - 1), lambda x: (at["sum"] + x * at["power"]) % prime),
+    )
+    long = F.concat(F.flatten(moved), F.array(F.element_at(places, -1)["sum"]))
+    return F.when(F.size("hashes") <= SUMS, summed(F.col("hashes"))).otherwise(long)
 
 
 def _without(sums: Column, place: Column, prime: int, base: int) -> Column:
@@ -136,9 +166,10 @@ def _earlier_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     found = each.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("pos") == F.col("_pos")))
     # rows of one id may hold different lines at one place
     found = found.select(F.struct("doc_id", "pos").alias("first"), _words(F.col("line")).alias("words"))
-    lines = saved(found.withColumns({"h1": F.xxhash64("words"), "h2": F.hash("words")}).dropDuplicates(["h1", "h2"]), "line-words")
+    each_hash = F.transform("words", lambda w: F.xxhash64(w))
+    lines = saved(found.withColumns({"h1": F.xxhash64("words"), "h2": F.hash("words"), "hashes": each_hash}).dropDuplicates(["h1", "h2"]), "line-words")
 
-    variants = _variants(lines)
+    variants = saved(_variants(lines), "line-variants")
     heads = variants.groupBy("key", "place").agg(F.min("first").alias("head"), F.count("*").alias("lines"))
     places = F.struct(F.col("place"), F.col("head"))
     by_key = heads.groupBy("key").agg(
@@ -182,20 +213,21 @@ def without_repeated_lines(df: DataFrame, min_words: int = MIN_WORDS, doc_id: st
     """All rows and columns, with the repeated lines taken out of the text, and ``n_lines`` and ``n_dropped``.
 
     A null text stays null. Empty texts, empty tables and very long lines need
-    no rule of their own. Columns named ``n_lines`` or ``n_dropped`` are
-    replaced.
+    no rule of their own: the work grows with the words of a line. Columns named
+    ``n_lines`` or ``n_dropped`` are replaced, all others stay.
     """
-    gone = repeated_lines(df, min_words, doc_id, text, short).withColumnRenamed("doc_id", "_id").withColumnRenamed("positions", "_gone")
-    rows = df.join(gone, F.col(doc_id).eqNullSafe(F.col("_id")), "left").withColumn("_lines", F.split(F.col(text), "\n"))
+    key, gone, each, kept = fresh_names(df, "_id", "_gone", "_lines", "_kept")
+    found = repeated_lines(df, min_words, doc_id, text, short).withColumnsRenamed({"doc_id": key, "positions": gone})
+    rows = df.join(found, F.col(doc_id).eqNullSafe(F.col(key)), "left").withColumn(each, F.split(F.col(text), "\n"))
     # rows of one id may be of different length; places beyond the end are no lines
-    all_ = F.sequence(F.lit(0), F.size("_lines") - 1)
-    rows = rows.withColumn("_kept", F.when(F.col("_gone").isNotNull(), F.array_except(all_, "_gone")).otherwise(all_))
-    n_lines = F.coalesce(F.size("_lines"), F.lit(0)).cast("bigint")
+    all_ = F.sequence(F.lit(0), F.size(each) - 1)
+    rows = rows.withColumn(kept, F.when(F.col(gone).isNotNull(), F.array_except(all_, F.col(gone))).otherwise(all_))
+    n_lines = F.coalesce(F.size(each), F.lit(0)).cast("bigint")
     rows = rows.withColumns(
         {
             "n_lines": F.greatest(n_lines, F.lit(0)),
-            "n_dropped": F.greatest(n_lines - F.coalesce(F.size("_kept"), F.lit(0)), F.lit(0)).cast("bigint"),
-            text: F.when(F.col("_gone").isNull() | F.col(text).isNull(), F.col(text)).otherwise(F.array_join(F.transform("_kept", lambda i: F.get("_lines", i)), "\n")),
+            "n_dropped": F.greatest(n_lines - F.coalesce(F.size(kept), F.lit(0)), F.lit(0)).cast("bigint"),
+            text: F.when(F.col(gone).isNull() | F.col(text).isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda i: F.get(each, i)), "\n")),
         }
     )
-    return rows.drop("_id", "_gone", "_lines", "_kept")
+    return rows.drop(key, gone, each, kept)
