@@ -24,10 +24,10 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     return F.crc32(digits) % modulus == remainder
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
+def saved(df: DataFrame, name: str, **options: str) -> DataFrame:
     """The rows, written to the shared folder and read back: lineage ends here, lost executors cost nothing."""
     path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

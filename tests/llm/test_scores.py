@@ -196,16 +196,24 @@ def test_context_tree_against_a_plain_one(documents):
         assert r.score == pytest.approx(plain, rel=1e-4)
 
 
-def test_a_joined_table_gives_the_same_scores(documents, monkeypatch):
+def test_small_blocks_give_the_same_scores(documents, monkeypatch):
     docs = documents(TEXTS)
-    plain = {r.doc_id: r.score for r in ctw.score(docs, F.lit(False)).collect()}
-    monkeypatch.setattr(ctw, "TABLE_GRAMS", 0)
-    joined = {r.doc_id: r.score for r in ctw.score(docs, F.lit(False)).collect()}
-    assert plain == pytest.approx(joined)
+    plain = {r.doc_id: r.score for r in ctw.score(docs, F.lit(False), across_words=True).collect()}
+    for name, size in (("BLOCK_CHARS", 20), ("FAN", 2), ("_BYTES", 16), ("_GRAMS", 5)):
+        monkeypatch.setattr(ctw, name, size)
+    cut = {r.doc_id: r.score for r in ctw.score(docs, F.lit(False), across_words=True).collect()}
+    assert plain == pytest.approx(cut)
+
+
+def test_numbers_survive_packing():
+    for kind in (np.int64, np.int32):
+        for numbers in ([], [3], [1, 1 << 20, 7]):
+            own = np.array(numbers, kind)
+            assert np.array_equal(ctw.unpack(ctw.pack(own), kind), own)
 
 
 def test_probabilities_of_a_byte_sum_to_one():
-    codes, _ = ctw.grams_of([b"abc", b"abd", b"xbc"])
+    codes = ctw.grams_of([b"abc", b"abd", b"xbc"])
     context = codes[2] >> 8 << 8
     every = np.concatenate([codes, context + np.arange(256)])
     counts = np.concatenate([np.ones(len(codes)), np.zeros(256)])
