@@ -56,10 +56,12 @@ def words_of(text: str) -> list[bytes]:
 
 def _codes(data: bytes) -> np.ndarray:
     """The gram of every byte behind the first ``DEPTH``."""
-    data = np.frombuffer(data, np.uint8).astype(np.int64)
-    codes = np.zeros(max(0, len(data) - DEPTH), np.int64)
-    for i in range(DEPTH + 1):
-        codes = codes << 8 | data[i : i + len(codes)]
+    codes, width = np.frombuffer(data, np.uint8).astype(np.int64), 1
+    # strings of 1, 2, 4 and then 7 bytes, each of a shorter one and the bytes that follow it
+    while width <= DEPTH and len(codes):
+        more = min(width, DEPTH + 1 - width)
+        codes = codes[: max(0, len(codes) - more)] << 8 * more | codes[more:] & ((1 << 8 * more) - 1)
+        width += more
     return codes
 
 
@@ -104,12 +106,16 @@ def split_words(data: bytes) -> list[bytes]:
     return data.split(b" ") if data else []
 
 
+def first_of_equal(ordered: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.concatenate([np.ones(min(1, len(ordered)), bool), ordered[1:] != ordered[:-1]]))
+
+
 def summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """The different keys in order, and the sums of their counts."""
     key, count = np.concatenate(keys), np.concatenate(counts)
     order = np.argsort(key, kind="stable")  # merges runs that are sorted already
     key, count = key[order], count[order]
-    begins = np.flatnonzero(np.diff(key, prepend=-1))
+    begins = first_of_equal(key)
     return key[begins], np.add.reduceat(count, begins) if len(key) else count
 
 
@@ -126,7 +132,9 @@ class Counts:
     def add(self, text: str, train: bool, across_words: bool) -> None:
         words = words_of(text)
         for codes in text_grams(words, across_words):
-            self.new.append(codes << 1 | train)
+            codes <<= 1
+            codes |= train
+            self.new.append(codes)
             self.size += len(codes)
             if self.size >= _GRAMS:
                 self.sort_new()
@@ -136,11 +144,13 @@ class Counts:
     def sort_new(self) -> None:
         """One more run; runs are merged when the later ones outgrow the first, so that each gram is merged a few times."""
         if self.new:
-            marked = np.sort(np.concatenate(self.new))
+            marked = np.concatenate(self.new)
             self.new, self.size = [], 0
-            keys = marked >> 1
-            begins = np.flatnonzero(np.diff(keys, prepend=-1))
-            self.runs.append((keys[begins], np.add.reduceat(marked & 1, begins)))
+            marked.sort()
+            begins = first_of_equal(marked >> 1)
+            keys = marked[begins] >> 1
+            marked &= 1
+            self.runs.append((keys, np.add.reduceat(marked, begins)))
             if sum(len(k) for k, _ in self.runs[1:]) > max(_GRAMS, len(self.runs[0][0])):
                 self.merge()
 
@@ -407,22 +417,25 @@ def score(df: DataFrame, held_out: Column, doc_id: str = "doc_id", text: str = "
         scores, sizes = np.zeros(block.num_rows), np.zeros(block.num_rows)
 
         def add(numbers: list[int], codes: list[np.ndarray]) -> None:
-            owner, codes = np.repeat(numbers, [len(c) for c in codes]), np.concatenate(codes)
+            lengths, codes = [len(c) for c in codes], np.concatenate(codes)
             order = np.argsort(codes)  # ascending look-ups stay in the processor's cache
-            scores[:] += np.bincount(owner[order], logp[np.searchsorted(grams, codes[order])], len(scores))
-            sizes[:] += np.bincount(owner, minlength=len(sizes))
+            found = np.empty(len(codes))
+            found[order] = logp[np.searchsorted(grams, codes[order])]
+            np.add.at(scores, numbers, np.add.reduceat(found, np.cumsum([0, *lengths[:-1]])))
+            np.add.at(sizes, numbers, lengths)
 
         rows, held, size = [], ([], []), 0
         for number, text in enumerate(block["text"]):
             own = words_of(text.as_py())
-            for codes in text_grams(own, across_words):
+            for codes in filter(len, text_grams(own, across_words)):
                 held[0].append(number)
                 held[1].append(codes)
                 size += len(codes)
                 if size >= _BYTES:
                     add(*held)
                     held, size = ([], []), 0
-            n = np.array([times[w] for w in [*own, _END]], np.float64)
+            own.append(_END)
+            n = np.fromiter(map(times.__getitem__, own), np.float64, len(own))
             rows.append((len(n), int((n > 0).sum()), (np.log10(n + 1) - floor).sum()))
         if held[0]:
             add(*held)
