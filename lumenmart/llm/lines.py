@@ -85,7 +85,9 @@ def _halves() -> list[Column]:
 def _lines(docs: DataFrame, min_words: int) -> DataFrame:
     """``doc_id``, ``pos``, ``n``, the line's hashes ``h1`` and ``h2``, and its half keys ``k0`` to ``k2``."""
     each = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
-    each = each.select("doc_id", "pos", _words(F.col("line")).alias("words")).withColumn("n", F.size("words")).where((F.col("n") >= min_words) & (F.element_at("words", 1) != ""))
+    # a generator's rows are filtered after it; a filter on a projection would be pushed below it and split every line again
+    each = each.select("doc_id", "pos", F.explode(F.array(_words(F.col("line")))).alias("words"))
+    each = each.withColumn("n", F.size("words")).where((F.col("n") >= min_words) & (F.element_at("words", 1) != ""))
     return each.select("doc_id", "pos", "n", F.xxhash64("words").alias("h1"), F.hash("words").alias("h2"), *(k.alias(f"k{i}") for i, k in enumerate(_halves())))
 
 
