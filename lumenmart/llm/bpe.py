@@ -16,6 +16,7 @@ result is replaced.
 from __future__ import annotations
 
 import base64
+from codecs import charmap_decode
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,6 +41,12 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+@lru_cache(1)
+def letters_table() -> str:
+    """The characters of bytes 0 to 255 in a row, as ``charmap_decode`` takes them."""
+    return "".join(byte_letters()[b] for b in range(256))
+
+
 def serialised_model(ranks: dict[bytes, int]) -> bytes:
     """A sentencepiece BPE model whose ids are the ranks, with identity normalisation."""
     from sentencepiece import sentencepiece_model_pb2 as pb
@@ -69,12 +76,12 @@ def _segments(model: bytes, pattern: str) -> Segments:
     from sentencepiece import SentencePieceProcessor
 
     sp = SentencePieceProcessor(model_proto=model)
-    letters = str.maketrans(byte_letters())
+    letters = letters_table()
     whole = {sp.id_to_piece(i): i for i in range(sp.get_piece_size() - 1)}
     find = regex.compile(pattern).findall
 
     def merge(pre_token: str) -> bytes:
-        piece = pre_token.encode().decode("latin-1").translate(letters)
+        piece = charmap_decode(pre_token.encode(), "strict", letters)[0]
         one = whole.get(piece)
         return id_bytes([one] if one is not None else sp.encode(piece))
 

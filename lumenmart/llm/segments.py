@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 
 _RUN = re.compile(r"\s[ \n]|[ \n]\s")
+#: White space other than spaces and line breaks; none of it lies above U+3000.
+_OTHER_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
 #: A Latin word and the punctuation after it are two pre-tokens, found here without the pattern.
 _WORD = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)").fullmatch
 #: Pieces that a process keeps, twice: those in use and those of the generation before.
@@ -46,6 +48,13 @@ def id_bytes(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}i", *ids)
 
 
+def has_run(text: str) -> bool:
+    """Whether white space follows white space, one of them a space or line break. Plain searches go before the pattern."""
+    if "  " in text or "\n\n" in text or " \n" in text or "\n " in text:
+        return True
+    return any(c in text for c in _OTHER_SPACE) and _RUN.search(text) is not None
+
+
 class Segments:
     """``encode(text)`` gives the ids' bytes, from ``cut`` (text to pre-tokens) and ``merge`` (pre-token to ids' bytes)."""
 
@@ -63,7 +72,7 @@ class Segments:
         return b"".join([known[p] for p in self.cut(text)])
 
     def encode(self, text: str) -> bytes:
-        if _RUN.search(text):
+        if has_run(text):
             return self.piece(text)
         first, spaced, out = self.first, self.spaced.__getitem__, []
         for line in text.split("\n"):

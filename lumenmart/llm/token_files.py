@@ -19,6 +19,7 @@ The strings of the tokenizer's added tokens are ordinary text, or with
 from __future__ import annotations
 
 import zlib
+from codecs import charmap_decode
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from lumenmart.llm.bpe import byte_letters
+from lumenmart.llm.bpe import letters_table
 from lumenmart.llm.segments import MEMO_PIECES, Segments, id_bytes, id_lists
 
 #: ORC layout: row groups of 1,000 documents, stripes of 32 MB.
@@ -79,11 +80,11 @@ def _segments(tokenizer_json: str) -> Segments:
     tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
     # Each pre-token is encoded once here, so the library's own cache of merges only costs time.
     getattr(tokenizer.model, "_resize_cache", lambda _: None)(1)
-    letters = str.maketrans(byte_letters())
-    model, pre = tokenizer.model, tokenizer.pre_tokenizer
+    tokens, letters = tokenizer.model.tokenize, letters_table()
+    pre = tokenizer.pre_tokenizer
 
     def merge(pre_token: str) -> bytes:
-        return id_bytes([t.id for t in model.tokenize(pre_token.encode().decode("latin-1").translate(letters))])
+        return id_bytes([t.id for t in tokens(charmap_decode(pre_token.encode(), "strict", letters)[0])])
 
     def cut(text: str) -> list[str]:
         return [text[a:b] for _, (a, b) in pre.pre_tokenize_str(text)]
