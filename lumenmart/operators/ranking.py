@@ -3,7 +3,7 @@ single-task sort of the detail rows."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 _KEY_BUCKETS = 4096
@@ -47,6 +47,30 @@ def exact_ntile(df: DataFrame, measure: str, key: str, tiles: int, out: str = "t
     )
 
 
+def nth_row(df: DataFrame, order: list[str], n: int, folder: str) -> Row | None:
+    """The `order` columns, as text, of the n-th row by them, nulls first; None if there are fewer rows.
+
+    They go into the folder by range, one range a task. The counts of the ranges
+    tell which one holds the row, and only that one is ordered as a whole.
+    """
+    ranged = df.select(*order).repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranged.write.mode("overwrite").parquet(folder)
+    stored, before = df.sparkSession.read.parquet(folder), 0
+    for r in stored.groupBy("_range").agg(F.count("*").alias("n")).orderBy("_range").collect():  # one per task of the write
+        if before + r.n >= n:
+            inside = stored.where(F.col("_range") == r["_range"]).orderBy(*order).offset(n - before - 1)
+            return inside.select(*[F.col(c).cast("string").alias(c) for c in order]).first()
+        before += r.n
+    return None
+
+
+def up_to(df: DataFrame, last: Row) -> DataFrame:
+    """Rows that are not after what `nth_row` found."""
+    order = list(last.asDict())
+    end = F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in order])
+    return df.where(F.struct(*order) <= end)
+
+
 def top_tile_sum(df: DataFrame, measure: str, tiles: int, out: str) -> DataFrame:
     """One row: sum of `measure` over the first of `tiles` equal tiles, largest first.
 

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from lumenmart.functions import key_to_date
 from lumenmart.operators import dimensions as dims
 from lumenmart.operators import facts, history, sinks, staging
+from lumenmart.operators.ranking import nth_row, up_to
 from lumenmart.plans import marts, quality
 from lumenmart.plans.star import PersonStar, Star, StoredStar
 from lumenmart.sources import readers
@@ -112,13 +113,37 @@ class Warehouse:
         else:
             batch, oldest_first = readers.incremental(events, self.watermarks.get(source), full_refresh, None, self.lookback_days), "timestamp"
         path = self.path("analytics_events")
-        if limit is not None:
-            # Rows already stored must not use up the limit, or it would never get past them.
-            if sinks.table_exists(self.spark, path):
-                known = sinks.KeyIndex(self.spark, path, "id").holding(batch)
-                batch = batch.join(known, "id", "left_anti").select(*batch.columns)
-            batch = batch.dropDuplicates(["id"]).orderBy(F.col(oldest_first).asc_nulls_first(), "timestamp", "id").limit(limit)
-        return sinks.append_events(self.spark, path, batch, "id", "timestamp", "created_at")
+        if limit is None:
+            return sinks.append_events(self.spark, path, batch, "id", "timestamp", "created_at")
+        oldest = self._oldest_new(batch, list(dict.fromkeys([oldest_first, "timestamp", "id"])), limit)
+        loaded = sinks.append_events(self.spark, path, oldest, "id", "timestamp", "created_at")
+        self._drop_candidates()
+        return loaded
+
+    def _oldest_new(self, batch: DataFrame, order: list[str], limit: int) -> DataFrame:
+        """The first `limit` rows by `order`, one per id, of those not stored yet.
+
+        The source is read once, into a folder. Where the limit falls is looked
+        up by ranges, so no task gets all rows.
+        """
+        path, folder = self.path("analytics_events"), self.path("analytics_events__candidates")
+        self._drop_candidates()
+        batch.write.parquet(folder)
+        rows = sinks.read_table(self.spark, folder).select(*batch.columns)
+        # Rows already stored must not use up the limit, or it would never get past them.
+        if sinks.table_exists(self.spark, path):
+            known = sinks.KeyIndex(self.spark, path, "id").holding(rows)
+            rows = rows.join(known, "id", "left_anti").select(*rows.columns)
+        if limit < 1:
+            return rows.limit(limit)
+        firsts = rows.groupBy("id").agg(F.min(F.struct(*order)).alias("first")).select("first.*")
+        last = nth_row(firsts, order, limit, f"{folder}_order")
+        kept = rows if last is None else up_to(rows, last)
+        return sinks.first_per_key(kept, "id", [*order, *[c for c in rows.columns if c not in order]])
+
+    def _drop_candidates(self) -> None:
+        for name in ("analytics_events__candidates", "analytics_events__candidates_order"):
+            sinks.drop_table(self.spark, self.path(name))
 
     def pending(self, months: list[str]) -> DataFrame:
         """Landing rows that the fact does not have yet, kept in a table until the

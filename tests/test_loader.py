@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lumenmart.operators import sinks
+from lumenmart.operators.ranking import nth_row, up_to
 from lumenmart.plans.loader import MARTS, Warehouse, materialise
 from lumenmart.plans.registry import latest_profiles, mart
 from lumenmart.plans.star import StoredStar
@@ -121,3 +122,35 @@ def test_days_prune_months_of_a_loaded_warehouse(spark, star, tmp_path):
     plan = pruned._jdf.queryExecution().executedPlan().toString()
     assert "event_month" in plan.split("PartitionFilters: [")[1].split("]")[0]
     assert pruned.count() == fact.count()
+
+
+def test_limit_falls_within_equal_times_and_no_task_gets_all_rows(spark, tmp_path):
+    """Rows of one arrival and time, of none, and repeated ids; the limited rows are the first of all, and lie in many tasks."""
+    w = Warehouse(spark, str(tmp_path / "wh"))
+    at = "CASE WHEN id % 7 = 0 THEN NULL WHEN id % 7 < 4 THEN timestamp_ntz'2024-01-02 03:04:05.678901' ELSE timestampadd(SECOND, id % 50, timestamp_ntz'2024-01-03') END"
+    events = spark.range(3000).selectExpr("cast(id % 2500 as string) AS id", f"{at} AS created_at", "timestamp_ntz'2024-01-01' AS timestamp", "id AS n")
+    first = {}
+    for r in sorted(events.collect(), key=lambda r: (r.created_at is not None, r.created_at, r.n)):
+        first.setdefault(r.id, r)
+    wanted = sorted(first.values(), key=lambda r: (r.created_at is not None, r.created_at, r.id))
+    taken = []
+    while loaded := w.extract_events(events, limit=1100).added:
+        taken.append(loaded)
+        stored = {tuple(r) for r in w.table("analytics_events").select("id", "created_at", "n").collect()}
+        assert stored == {(r.id, r.created_at, r.n) for r in wanted[: sum(taken)]}
+    assert taken == [1100, 1100, 300]
+    assert not [f for f in (tmp_path / "wh").iterdir() if "candidates" in f.name]
+
+
+def test_limit_is_found_by_ranges(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    rows = spark.range(4000).selectExpr("cast(null as timestamp_ntz) AS t", "cast(id as string) AS id")
+    try:
+        last = nth_row(rows, ["t", "id"], 3000, str(tmp_path / "order"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    ids = sorted(str(i) for i in range(4000))
+    assert (last.t, last.id) == (None, ids[2999])
+    assert spark.read.parquet(str(tmp_path / "order")).groupBy("_range").count().agg(F.max("count")).first()[0] < 2000
+    assert sorted(r.id for r in up_to(rows, last).collect()) == ids[:3000]
+    assert nth_row(rows, ["t", "id"], 4001, str(tmp_path / "order")) is None
