@@ -85,3 +85,23 @@ def test_another_run_adds_nothing_and_a_replayed_batch_leaves_the_same(spark, fi
     assert (stream.closed().count(), stream.late().count()) == before
     assert spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider")
     assert stream.newest.read().agg(F.max("number")).first()[0] == 3
+
+
+def test_sessions_of_one_batch_bypass_the_state(finished):
+    """State gets what another batch may have a part in; a batch that catches up is closed at once."""
+    stream, queries, _ = finished
+    closed, _, _ = expected(made_up())
+    through_state = stream.spark.read.parquet(f"{stream.root}/closed").count()
+    at_once = stream.spark.read.parquet(f"{stream.root}/in_time").where("not open").count()
+    assert at_once > 0 and through_state + at_once == len(closed)
+
+
+def test_catching_up_needs_little_state(spark, tmp_path):
+    """Users a day apart in the batch: all are closed, and only the last day's are ever in state."""
+    rows = [(u, START + timedelta(days=d, minutes=u)) for d in range(10) for u in range(30)]
+    landing = str(tmp_path / "landing")
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(landing)
+    stream = SessionStream(spark, str(tmp_path / "out"), DELAY, GAP)
+    q = stream.run(spark.readStream.schema(SCHEMA).parquet(landing))
+    assert stream.closed().count() == 9 * 30
+    assert max(p["stateOperators"][0]["numRowsUpdated"] for p in q.recentProgress) <= 30
