@@ -253,11 +253,16 @@ def _closing_sessions(s: Star) -> SessionStream:
     stream = SessionStream(s.spark, f"{root}/out", CLOSING_DELAY)
     events = s.raw_events.select("user_id", "timestamp", "created_at")
     schema = events.drop("created_at").schema
-    at = [F.lit(d).cast("timestamp_ntz") for d in ARRIVALS]
+    arrived, at = F.col("created_at"), [F.lit(d).cast("timestamp_ntz") for d in ARRIVALS]
+    part = F.when(arrived >= at[-1], len(at))
+    for k in reversed(range(len(at))):
+        part = F.when(arrived < at[k], k).otherwise(part)
+    # the source is read once, not for each part
+    parted = events.select(*schema.names, part.alias("part"))
+    parted.write.partitionBy("part").parquet(f"{root}/parts")
+    stored = s.spark.read.schema(parted.schema).parquet(f"{root}/parts")
     for k in range(len(at) + 1):
-        part = events.where(F.col("created_at") >= at[k - 1]) if k else events
-        part = part.where(F.col("created_at") < at[k]) if k < len(at) else part
-        part.drop("created_at").write.mode("append").parquet(f"{root}/landing")
+        stored.where(F.col("part") == k).drop("part").write.mode("append").parquet(f"{root}/landing")
         stream.run(jobs.read_stream(s.spark, f"{root}/landing", schema))
     return stream
 
