@@ -182,6 +182,24 @@ def _named(counts: DataFrame, names: list[str]) -> DataFrame:
     return every.join(counts, "n", "left").selectExpr("check", "coalesce(failures, 0L) AS failures")
 
 
+def _members(keys: DataFrame) -> DataFrame:
+    """(check number, key) pairs of (checks, key) rows, dealt out first: a dimension
+    may be one file, and its pairs would be counted in one task."""
+    return keys.repartition("key").select(F.explode("checks").alias("n"), "key")
+
+
+def _orphans(used: DataFrame, members: DataFrame) -> DataFrame:
+    """(check number, failures): rows of `used` pairs that are no `members`.
+
+    Both go through one aggregate. Spark would push a join below the counting and
+    broadcast the members, every user several times, into each task's memory.
+    """
+    used = used.where(F.col("key") != UNKNOWN_SK).select("n", "key", F.lit(1).alias("uses"))
+    both = used.unionByName(members.select("n", "key", F.lit(0).alias("uses"))).groupBy("n", "key")
+    counted = both.agg(F.sum("uses").alias("rows"), F.min("uses").alias("least"))
+    return counted.where("least > 0").groupBy("n").agg(F.sum("rows").alias("failures"))
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -211,14 +229,12 @@ def dq_suite(star: Star, as_of: str) -> DataFrame:
         _pairs(getattr(star, table), {number[table, fk]: fk for fk in fks}, "bigint") for table, fks in FOREIGN_KEYS.items()
     ]
     members = [
-        getattr(star, dim).selectExpr(
-            f"explode(array({', '.join(str(number[t, fk]) for t, fk, d, _ in links if d == dim)})) AS n", f"cast({key} as bigint) AS key"
+        getattr(star, dim).select(
+            F.array(*[F.lit(number[t, fk]) for t, fk, d, _ in links if d == dim]).alias("checks"), F.col(key).cast("bigint").alias("key")
         )
         for dim, key in sorted({(d, k) for _, _, d, k in links})
     ]
-    counted = _union(used).where(F.col("key") != UNKNOWN_SK).groupBy("n", "key").agg(F.count("*").alias("rows"))
-    orphans = counted.join(_union(members), ["n", "key"], "left_anti").groupBy("n").agg(F.sum("rows").alias("failures"))
-    relations = _named(orphans, [f"relationships.{table}.{fk}" for table, fk, _, _ in links])
+    relations = _named(_orphans(_union(used), _members(_union(members))), [f"relationships.{table}.{fk}" for table, fk, _, _ in links])
     return _union([*rule_rows, unique, relations])
 
 

@@ -119,3 +119,27 @@ def test_payload_types_of_planted_rows(spark):
     rows += [(r.event_name, f'{{"{r.field}": null}}') for r in fields] + [(fields[0].event_name, "no json"), (fields[0].event_name, "{}")]
     found = quality.unknown_payload_types(spark.createDataFrame(rows, "event_name string, payload string")).collect()
     assert {(r.event_name, r.field, r.events) for r in found} == {(r.event_name, r.field, 1) for r in fields}
+
+
+def test_orphans_are_counted_without_a_join(spark):
+    """Repeated members, members nobody uses, keys of another check, unknown and missing keys; no broadcast that grows with the users."""
+    used = spark.createDataFrame([(0, 1), (0, 1), (0, 2), (0, 3), (0, 3), (0, -1), (1, 2), (1, None)], "n int, key bigint")
+    members = spark.createDataFrame([(0, 1), (0, 1), (0, 9), (1, 3), (1, None), (0, -1), (2, 5)], "n int, key bigint")
+    found = quality._orphans(used, members)
+    assert sorted(tuple(r) for r in found.collect()) == [(0, 3), (1, 1)]
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_suite_broadcasts_no_members(spark, star, tmp_path):
+    plan = quality.dq_suite(star, "2024-02-01 00:00:00")._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan
+
+
+def test_members_of_one_file_are_dealt_out(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    keys = spark.range(1000).coalesce(1).selectExpr("array(0, 3) AS checks", "id AS key")
+    try:
+        sizes = [r["count"] for r in quality._members(keys).groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == 2000 and len(sizes) > 1
