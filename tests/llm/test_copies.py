@@ -2,9 +2,11 @@
 
 import random
 import re
+import time
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from xxhash import xxh64_intdigest
 
@@ -128,6 +130,52 @@ def test_vectors_against_all_pairs(spark):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got.values())
 
 
+def all_links(x, sizes=None):
+    u = np.asarray(x, np.float64)
+    u = u / np.linalg.norm(u, axis=1, keepdims=True)
+    linked = u @ u.T >= 0.95
+    np.fill_diagonal(linked, False)
+    return linked if sizes is None else linked & (sizes[:, None] == sizes)
+
+
+def test_many_near_copies_in_little_memory(spark, monkeypatch):
+    monkeypatch.setitem(spark.sparkContext.environment, "WORKERS_OF", "this test")
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=64) + rng.normal(size=(2600, 64)) * 0.09, rng.normal(size=(1500, 64))]).astype(np.float32)
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(range(len(x)), pa.int64()), "embedding": pa.array(x.tolist(), pa.list_(pa.float32()))}))
+    got = {r.vec_id: r for r in vectors.near_duplicates(df).collect()}
+    assert [got[i].n_links for i in range(len(x))] == all_links(x).sum(1).tolist()
+    assert [got[i].component_id for i in range(len(x))] == [0] * 2600 + list(range(2600, len(x)))
+
+    def peak(batches):
+        for _ in batches:
+            time.sleep(0.2)  # so that each worker gets a task
+            with open("/proc/self/status") as f:
+                yield pa.RecordBatch.from_pydict({"kb": [int(line.split()[1]) for line in f if line.startswith("VmHWM")]})
+
+    assert spark.range(0, 64, 1, 16).mapInArrow(peak, "kb bigint").agg({"kb": "max"}).first()[0] < 400_000
+
+
+def test_cells_over_many_buckets_and_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(150, 12))
+    x = np.concatenate([base, base[rng.integers(0, 150, 150)] + rng.normal(size=(150, 12)) * 0.1, base[5] + rng.normal(size=(80, 12)) * 0.1])
+    sizes = np.full(len(x), 12)
+    short = rng.choice(len(x), 60, replace=False)
+    x[short, 8:], sizes[short] = 0, 8
+    df = spark.createDataFrame([(i, v[:n].tolist()) for i, (v, n) in enumerate(zip(x, sizes))], "vec_id bigint, embedding array<double>")
+    # equal but for their length
+    df = df.union(spark.createDataFrame([(1000 + int(i), x[i, :8].tolist() + [0.0] * 4) for i in short[:5]], df.schema))
+    x, sizes = np.concatenate([x, x[short[:5]]]), np.concatenate([sizes, np.full(5, 12)])
+    one = sorted(vectors.near_duplicates(df).collect())
+    for name, value in (("BUCKETS", 60), ("ROUND", 0.5), ("LEAST_ROUND", 1)):
+        monkeypatch.setattr(vectors, name, value)
+    assert sorted(vectors.near_duplicates(df).collect()) == one
+    linked = all_links(x, sizes)
+    found = np.array([r.n_links for r in one])
+    assert (found <= linked.sum(1)).all() and found.sum() >= 0.98 * linked.sum()
+
+
 def test_multi_sequence_is_ascending():
     rng = np.random.default_rng(0)
     a, b = np.sort(rng.random(9)), np.sort(rng.random(7))
